@@ -58,6 +58,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and read it back.
+
+    Unlike a cache it survives lost executors, and unlike a checkpoint the
+    readers still prune columns and push filters down.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows, without counting past them."""
     return df.limit(rows + 1).count() <= rows
