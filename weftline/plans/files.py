@@ -15,7 +15,7 @@ from weftline.sources.tables import table
 def scan_text_lines(spark, d):
     path = scratch_path(spark, "lines")
     explode_lines(table(spark, d, "documents"), "text", name="value").write.text(path)
-    return files.read_lines(spark, path, min_partitions=2)
+    return files.read_lines(spark, path)
 
 
 @query("scan_delimited", "SELECT c_name AS name, c_nationkey AS age FROM customer")

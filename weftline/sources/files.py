@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One row per line; only ``\\n`` ends a line so texts stay whole."""
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """One row per line; only ``\\n`` ends a line so texts stay whole.
+
+    Files are split by size.  ``partitions`` spreads the lines over that many
+    tasks for input that is one small file but much work per line.
+    """
     lines = spark.read.option("lineSep", "\n").text(path)
-    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
-        return lines.repartition(min_partitions)
-    return lines
+    return lines.repartition(partitions) if partitions else lines
 
 
 def parse_fields(lines: DataFrame, sep: str, columns: dict[str, str]) -> DataFrame:

@@ -33,18 +33,16 @@ def save_managed(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame
     return df.sparkSession.table(name)
 
 
-def save_partitioned(df: DataFrame, name: str, *keys: str) -> DataFrame:
+def save_partitioned(df: DataFrame, name: str, *keys: str, files_per_key: int = 8) -> DataFrame:
     """Dynamic-partition write; the partition columns move to the end.
 
     Rows are first spread by key and a row hash, so that each key becomes a
     few files and a hot key is still written by many tasks.
     """
-    spark = df.sparkSession
-    files_per_key = int(spark.conf.get("spark.weftline.filesPerKey", "8"))
     slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
     spread = df.repartition(*keys, slot)
     spread.write.mode("overwrite").partitionBy(*keys).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return df.sparkSession.table(name)
 
 
 def create_external(spark: SparkSession, name: str, schema: str, location: str) -> DataFrame:
