@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.relational import broadcast_if_small
+from weftline.session import cut_lineage, staged
 
 
 def edge_ids(edges: DataFrame) -> DataFrame:
@@ -123,22 +124,28 @@ def highest(found: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def layout(edges: DataFrame, rows_per_split: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def layout(
+    edges: DataFrame, rows_per_split: int = 1_000_000, degree: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Edges prepared for repeated joins on their source, and the source table.
 
     Returns the edges with a ``split`` column, hash-partitioned by
     ``(src, split)`` and persisted, and ``(id, out_deg, splits)``.  A source
     with more than ``rows_per_split`` edges is spread over several splits; its
     state row is repeated once per split when it sends.  The list of such
-    sources has at most ``edges / rows_per_split`` rows.
+    sources has at most ``edges / rows_per_split`` rows.  ``degree`` is the
+    aggregate used as out-degree, by default the number of rows.
     """
-    sources = out_degrees(edges).select(
-        "id",
-        F.col("degree").alias("out_deg"),
-        F.ceil(F.col("degree") / F.lit(rows_per_split)).cast("int").alias("splits"),
+    stored = staged(edges, "edges")
+    rows = F.count("*")
+    sources = cut_lineage(
+        stored.groupBy(F.col("src").alias("id")).agg(
+            (rows if degree is None else degree).alias("out_deg"),
+            F.ceil(rows / F.lit(rows_per_split)).cast("int").alias("splits"),
+        )
     )
     large = sources.filter("splits > 1").select(F.col("id").alias("src"), "splits")
     slot = F.pmod(F.xxhash64("dst"), F.coalesce("splits", F.lit(1))).cast("int")
-    spread = edges.join(broadcast_if_small(large), "src", "left").select(*edges.columns, slot.alias("split"))
+    spread = stored.join(broadcast_if_small(large), "src", "left").select(*edges.columns, slot.alias("split"))
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return spread.repartition(parts, "src", "split").persist(StorageLevel.MEMORY_AND_DISK), sources

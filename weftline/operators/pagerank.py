@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.graph import edge_ids, layout, out_degrees
-from weftline.operators.pregel import pregel, senders
+from weftline.operators.graph import edge_ids, layout
+from weftline.operators.pregel import run_rounds, senders
 from weftline.session import cut_lineage
 
 # Rounds that are planned as one job before the state is checkpointed.
@@ -30,8 +30,9 @@ def _scaled(ranks: DataFrame, personalized: bool) -> DataFrame:
     return ranks.select("id", (F.col("rank") * F.lit(factor)).alias("rank"))
 
 
-def _vertices(edges: DataFrame, vertices: DataFrame | None) -> DataFrame:
-    ids = edge_ids(edges)
+def _vertices(placed: DataFrame, vertices: DataFrame | None) -> DataFrame:
+    """All ends of the edges and the given vertices."""
+    ids = edge_ids(placed)
     return ids if vertices is None else ids.union(vertices.select("id")).distinct()
 
 
@@ -54,14 +55,8 @@ def pagerank(
         raise ValueError("the number of iterations must be positive")
     _check(reset)
     personalized = source is not None
-    placed, splits = layout(_links(edges), rows_per_split)
-    degree = out_degrees(edges).select("id", F.col("degree").alias("out_deg"))
-    base = cut_lineage(
-        _vertices(edges, vertices)
-        .join(degree, "id", "left")
-        .join(splits.select("id", "splits"), "id", "left")
-        .select("id", "out_deg", "splits")
-    )
+    placed, sources = layout(_links(edges), rows_per_split, F.sum("n"))
+    base = cut_lineage(_vertices(placed, vertices).join(sources, "id", "left"))
     at_source = F.when(F.col("id") == F.lit(source), F.lit(1.0)).otherwise(F.lit(0.0))
     mass = at_source if personalized else F.lit(1.0)
     zero = base.select("id", F.lit(0.0).alias("c"), "out_deg", "splits")
@@ -93,6 +88,7 @@ def pagerank_until(
     source: int | None = None,
     vertices: DataFrame | None = None,
     max_rounds: int | None = None,
+    rows_per_split: int = 1_000_000,
 ) -> DataFrame:
     """``(id, rank)`` by passing on changes until none exceeds ``tol``.
 
@@ -104,16 +100,13 @@ def pagerank_until(
     _check(reset)
     personalized = source is not None
     first = F.when(F.col("id") == F.lit(source), F.lit(1.0)).otherwise(F.lit(0.0)) if personalized else F.lit(float(reset))
-    degree = out_degrees(edges).select("id", F.col("degree").alias("out_deg"))
-    start = (
-        _vertices(edges, vertices)
-        .join(degree, "id", "left")
-        .select("id", first.alias("rank"), first.alias("delta"), "out_deg")
-    )
+    placed, sources = layout(_links(edges), rows_per_split, F.sum("n"))
+    start = _vertices(placed, vertices).select("id", first.alias("rank"), first.alias("delta"))
     change = (1 - reset) * F.col("msg")
-    ranks = pregel(
+    ranks = run_rounds(
         start,
-        _links(edges),
+        placed,
+        sources,
         message=F.col("src_delta") * F.col("n") / F.col("src_out_deg"),
         when=F.col("src_delta") > tol,
         merge=F.sum("msg"),

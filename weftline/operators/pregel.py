@@ -40,14 +40,30 @@ def pregel(
     columns, expressions over its old state and ``msg``, and is active in the
     next round if ``stays_active`` holds, by default always.
 
+    """
+    placed, sources = layout(edges, rows_per_split)
+    return run_rounds(vertices, placed, sources, message, merge, update, when, stays_active, fields, max_rounds)
+
+
+def run_rounds(
+    vertices: DataFrame,
+    placed: DataFrame,
+    sources: DataFrame,
+    message: Column,
+    merge: Column,
+    update: dict[str, Column],
+    when: Column | None = None,
+    stays_active: Column | None = None,
+    fields: str = "src",
+    max_rounds: int | None = None,
+) -> DataFrame:
+    """The rounds of :func:`pregel` over edges laid out beforehand; releases them.
+
     The state is checkpointed every round, which both bounds the plan and
     makes the loop survive lost executors; the driver sees one row per round.
     """
-    placed, sources = layout(edges, rows_per_split)
     state = cut_lineage(
-        vertices.join(sources.select("id", "splits"), "id", "left").select(
-            *vertices.columns, "splits", F.lit(True).alias("active")
-        )
+        vertices.join(sources, "id", "left").select(*vertices.columns, "out_deg", "splits", F.lit(True).alias("active"))
     )
     attributes = [c for c in vertices.columns if c != "id"]
     rounds = 0
@@ -66,6 +82,7 @@ def pregel(
             state.join(inbox, "id", "left").select(
                 "id",
                 *[F.when(got, update[c]).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in attributes],
+                "out_deg",
                 "splits",
                 again.alias("active"),
             )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import similarity as sim
 from weftline.operators.ranking import first_absent, global_rank, top_per_key
+from weftline.session import cut_lineage
 
 
 def edge_pairs(ratings: DataFrame, group: str, member: str, *orders: str) -> DataFrame:
@@ -124,10 +125,10 @@ def nearest(ratings: DataFrame, targets: DataFrame, k: int, member: str = "user"
     those of smallest norm can be near: the first ``k`` of the norm order that
     share nothing with the target.
     """
-    targets = targets.select(F.col(targets.columns[0]).alias("target")).distinct()
+    targets = cut_lineage(targets.select(F.col(targets.columns[0]).alias("target")).distinct())
     norms = ratings.groupBy(member).agg(F.sum(F.col("rating") * F.col("rating")).alias("norm_sq"))
     ranked = global_rank(norms, ["norm_sq", member])
-    shared = dot_products(ratings, targets, member, by).join(ranked, member)
+    shared = cut_lineage(dot_products(ratings, targets, member, by).join(ranked, member))
     apart = first_absent(shared.select("target", "rank"), targets, "target", ranked.count(), k).join(ranked, "rank")
     candidates = (
         shared.filter(F.col(member) != F.col("target"))
@@ -152,7 +153,7 @@ def user_cf(ratings: DataFrame, targets: DataFrame, k: int = 2) -> DataFrame:
     rating sum, and items no neighbour rated can never pass.
     """
     n_items = ratings.select("item").distinct().count()
-    near = nearest(ratings, targets, k).select(F.col("target"), "user", "distance")
+    near = cut_lineage(nearest(ratings, targets, k))
     voted = near.join(ratings, "user").groupBy("target", "item").agg(F.sum("rating").alias("votes"))
     far = near.groupBy("target").agg(F.sum("distance").alias("far"))
     mean = voted.groupBy("target").agg((F.sum("votes") / F.lit(n_items)).alias("mean"))
@@ -171,13 +172,13 @@ def item_cf(ratings: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     item, so items that share no rater with it are unseen.
     """
     flags = ratings.filter("rating > 0").select("user", "item", F.lit(1.0).alias("rating"))
-    users = targets.select(F.col(targets.columns[0]).alias("user")).distinct()
+    users = cut_lineage(targets.select(F.col(targets.columns[0]).alias("user")).distinct())
     seen = flags.join(users, "user", "left_semi").select("user", "item")
-    last = seen.groupBy("user").agg(F.max("item").alias("target"))
+    last = cut_lineage(seen.groupBy("user").agg(F.max("item").alias("target")))
     anchors = last.select("target").distinct()
     raters = flags.groupBy("item").agg(F.sum("rating").alias("norm_sq"))
     ranked = global_rank(raters, ["norm_sq", "item"])
-    shared = dot_products(flags, anchors, "item", "user").join(ranked, "item")
+    shared = cut_lineage(dot_products(flags, anchors, "item", "user").join(ranked, "item"))
     apart = first_absent(shared.select("target", "rank"), anchors, "target", ranked.count(), k).join(ranked, "rank")
     near = last.join(shared, "target").join(seen, ["user", "item"], "left_anti")
     candidates = near.select("user", "target", "item", "norm_sq", "dot").unionByName(
