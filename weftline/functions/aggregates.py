@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,9 @@ def register_average(spark: SparkSession, name: str = "my_average") -> None:
     so a Python worker never sees more than the partial rows of a group.
     """
 
-    @F.pandas_udf("double")
-    def merge(totals: pd.Series, counts: pd.Series) -> float:
-        rows = counts.sum()
-        return float(totals.sum() / rows) if rows else float("nan")
+    @F.arrow_udf("double")
+    def merge(totals: pa.Array, counts: pa.Array) -> float:
+        total, rows = pc.sum(totals).as_py(), pc.sum(counts).as_py()
+        return total / rows if rows else float("nan")
 
     spark.udf.register(name, merge)
