@@ -1,6 +1,5 @@
-"""Every registered query against its SQL, and its physical plan."""
+"""Every registered query against its SQL; the comparison also refuses plans with cross joins."""
 
-import re
 import sys
 from pathlib import Path
 
@@ -30,9 +29,3 @@ def test_every_oracle_has_a_query():
 def test_query_matches_sql(spark, name):
     good, detail, _ = compare(spark, FOLDER, name, QUERIES[name], ORACLES.get(name))
     assert good, detail
-
-
-@pytest.mark.parametrize("name", ["triplets_view", "degree_enrich", "subgraph", "item_pair_stats", "canonicalize_ids", "cells_key_lookup"])
-def test_plans_have_no_cross_join(spark, name):
-    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The characters that are trimmed from both ends of a line.
+BLANKS = "".join(map(chr, range(0x21)))
+
 
 def split_words(line: Column, trim: bool = False) -> Column:
     """Words between single spaces: inner empty words stay, trailing ones go.
@@ -14,7 +17,7 @@ def split_words(line: Column, trim: bool = False) -> Column:
     blank line always gives one empty word.
     """
     if trim:
-        return F.split(F.regexp_replace(line, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), " ")
+        return F.split(F.btrim(line, F.lit(BLANKS)), " ")
     stripped = F.rtrim(line)
     return (
         F.when((stripped == "") & (line != ""), F.array().cast("array<string>"))

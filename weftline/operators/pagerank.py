@@ -56,28 +56,27 @@ def pagerank(
     _check(reset)
     personalized = source is not None
     placed, sources = layout(_links(edges), rows_per_split, F.sum("n"))
-    base = cut_lineage(_vertices(placed, vertices).join(sources, "id", "left"))
-    at_source = F.when(F.col("id") == F.lit(source), F.lit(1.0)).otherwise(F.lit(0.0))
-    mass = at_source if personalized else F.lit(1.0)
-    zero = base.select("id", F.lit(0.0).alias("c"), "out_deg", "splits")
-    state = base.select("id", mass.alias("rank"), "out_deg", "splits")
-    for round_no in range(1, iterations + 1):
-        send = senders(
-            state.filter("splits IS NOT NULL").select("id", (F.col("rank") / F.col("out_deg")).alias("share"), "splits")
-        )
-        received = placed.join(send, ["src", "split"]).select(
-            F.col("dst").alias("id"), (F.col("src_share") * F.col("n")).alias("c"),
-            F.lit(None).cast("bigint").alias("out_deg"), F.lit(None).cast("int").alias("splits"),
-        )
-        state = (
-            zero.unionByName(received)
-            .groupBy("id")
-            .agg(F.sum("c").alias("c"), F.max("out_deg").alias("out_deg"), F.max("splits").alias("splits"))
-            .select("id", (reset * mass + (1 - reset) * F.col("c")).alias("rank"), "out_deg", "splits")
-        )
-        if round_no % ROUNDS_PER_JOB == 0 or round_no == iterations:
-            state = cut_lineage(state)
-    placed.unpersist()
+    try:
+        base = cut_lineage(_vertices(placed, vertices).join(sources, "id", "left"))
+        at_source = F.when(F.col("id") == F.lit(source), F.lit(1.0)).otherwise(F.lit(0.0))
+        mass = at_source if personalized else F.lit(1.0)
+        zero = base.select("id", F.lit(0.0).alias("c"), "out_deg", "splits")
+        state = base.select("id", mass.alias("rank"), "out_deg", "splits")
+        for round_no in range(1, iterations + 1):
+            share = (F.col("rank") / F.col("out_deg")).alias("share")
+            send = senders(state.filter("splits IS NOT NULL").select("id", share, "splits"))
+            received = placed.join(send, ["src", "split"]).select(
+                F.col("dst").alias("id"), (F.col("src_share") * F.col("n")).alias("c"),
+                F.lit(None).cast("bigint").alias("out_deg"), F.lit(None).cast("int").alias("splits"),
+            )
+            summed = zero.unionByName(received).groupBy("id").agg(
+                F.sum("c").alias("c"), F.max("out_deg").alias("out_deg"), F.max("splits").alias("splits")
+            )
+            state = summed.select("id", (reset * mass + (1 - reset) * F.col("c")).alias("rank"), "out_deg", "splits")
+            if round_no % ROUNDS_PER_JOB == 0 or round_no == iterations:
+                state = cut_lineage(state)
+    finally:
+        placed.unpersist()
     return _scaled(state.select("id", "rank"), personalized)
 
 

@@ -62,35 +62,39 @@ def run_rounds(
     The state is checkpointed every round, which both bounds the plan and
     makes the loop survive lost executors; the driver sees one row per round.
     """
-    state = cut_lineage(
-        vertices.join(sources, "id", "left").select(*vertices.columns, "out_deg", "splits", F.lit(True).alias("active"))
-    )
     attributes = [c for c in vertices.columns if c != "id"]
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        talking = state.filter("active AND splits IS NOT NULL")
-        view = placed.join(senders(talking), ["src", "split"])
-        if fields == "both":
-            ends = state.select(F.col("id").alias("dst"), *[F.col(c).alias(f"dst_{c}") for c in attributes])
-            view = view.join(ends, "dst")
-        if when is not None:
-            view = view.filter(when)
-        inbox = view.select(F.col("dst").alias("id"), message.alias("msg")).groupBy("id").agg(merge.alias("msg"))
-        got = F.col("msg").isNotNull()
-        again = got if stays_active is None else got & stays_active
+    try:
         state = cut_lineage(
-            state.join(inbox, "id", "left").select(
-                "id",
-                *[F.when(got, update[c]).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in attributes],
-                "out_deg",
-                "splits",
-                again.alias("active"),
+            vertices.join(sources, "id", "left").select(
+                *vertices.columns, "out_deg", "splits", F.lit(True).alias("active")
             )
         )
-        rounds += 1
-        if state.filter("active AND splits IS NOT NULL").isEmpty():
-            break
-    placed.unpersist()
+        rounds = 0
+        while max_rounds is None or rounds < max_rounds:
+            talking = state.filter("active AND splits IS NOT NULL")
+            if talking.isEmpty():
+                break
+            view = placed.join(senders(talking), ["src", "split"])
+            if fields == "both":
+                ends = state.select(F.col("id").alias("dst"), *[F.col(c).alias(f"dst_{c}") for c in attributes])
+                view = view.join(ends, "dst")
+            if when is not None:
+                view = view.filter(when)
+            inbox = view.select(F.col("dst").alias("id"), message.alias("msg")).groupBy("id").agg(merge.alias("msg"))
+            got = F.col("msg").isNotNull()
+            again = got if stays_active is None else got & stays_active
+            state = cut_lineage(
+                state.join(inbox, "id", "left").select(
+                    "id",
+                    *[F.when(got, update[c]).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in attributes],
+                    "out_deg",
+                    "splits",
+                    again.alias("active"),
+                )
+            )
+            rounds += 1
+    finally:
+        placed.unpersist()
     return state.select(*vertices.columns)
 
 

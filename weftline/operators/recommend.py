@@ -53,29 +53,29 @@ def pair_statistics(ratings: DataFrame, pairs: DataFrame, member: str = "item",
     sized = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     a_rarer = F.col("n_a") <= F.col("n_b")
     oriented = sized.select(
-        "a", "b", a_rarer.alias("from_a"),
+        *sized.columns, a_rarer.alias("from_a"),
         F.when(a_rarer, F.col("a")).otherwise(F.col("b")).alias("rare"),
         F.when(a_rarer, F.col("b")).otherwise(F.col("a")).alias("other"),
     )
     raters = ratings.select(F.col(member).alias("rare"), F.col(by).alias("rater"), F.col("rating").alias("r1"))
     probe = ratings.select(F.col(member).alias("other"), F.col(by).alias("rater"), F.col("rating").alias("r2"))
-    common = oriented.join(raters, "rare").join(probe, ["other", "rater"])
-    ra = F.when(F.col("from_a"), F.col("r1")).otherwise(F.col("r2"))
-    rb = F.when(F.col("from_a"), F.col("r2")).otherwise(F.col("r1"))
-    sums = (
-        common.select("a", "b", ra.alias("ra"), rb.alias("rb"))
-        .groupBy("a", "b")
-        .agg(
-            F.count("*").alias("n_both"),
-            F.sum(F.col("ra") * F.col("rb")).alias("dot"),
-            F.sum("ra").alias("sum_a"),
-            F.sum("rb").alias("sum_b"),
-            F.sum(F.col("ra") * F.col("ra")).alias("sq_a"),
-            F.sum(F.col("rb") * F.col("rb")).alias("sq_b"),
-        )
+    # Outer, so that pairs without a common rater stay; r2 tells the common ones.
+    looked_up = oriented.join(raters, "rare").join(probe, ["other", "rater"], "left")
+    shared = F.col("r2").isNotNull()
+    ra = F.when(shared, F.when(F.col("from_a"), F.col("r1")).otherwise(F.col("r2")))
+    rb = F.when(shared, F.when(F.col("from_a"), F.col("r2")).otherwise(F.col("r1")))
+    rows = looked_up.select("a", "b", "n_a", "n_b", "norm_sq_a", "norm_sq_b", ra.alias("ra"), rb.alias("rb"))
+    return rows.groupBy("a", "b").agg(
+        *[F.max(c).alias(c) for c in ("n_a", "n_b", "norm_sq_a", "norm_sq_b")],
+        F.count("ra").alias("n_both"),
+        *[
+            F.coalesce(F.sum(F.col(x) * F.col(y) if y else F.col(x)), F.lit(0.0)).alias(name)
+            for name, x, y in (
+                ("dot", "ra", "rb"), ("sum_a", "ra", None), ("sum_b", "rb", None),
+                ("sq_a", "ra", "ra"), ("sq_b", "rb", "rb"),
+            )
+        ],
     )
-    zero = {c: 0 for c in ("n_both", "dot", "sum_a", "sum_b", "sq_a", "sq_b")}
-    return sized.join(sums, ["a", "b"], "left").fillna(zero)
 
 
 def similarities(stats: DataFrame, virtual_count: float = 10.0, prior: float = 0.0) -> DataFrame:
@@ -195,8 +195,9 @@ def fit_implicit(
     ratings: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.01, alpha: float = 1.0, seed: int = 17
 ) -> ALSModel:
     """Implicit-feedback factorisation; user and item ids must fit an int."""
+    blocks = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     als = ALS(
-        rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
+        numUserBlocks=blocks, numItemBlocks=blocks, rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
         userCol="user", itemCol="item", ratingCol="rating",
     )
     return als.fit(ratings)

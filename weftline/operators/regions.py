@@ -61,10 +61,17 @@ def choose_splits(
 
 def region_of(key: Column, splits: list[str]) -> Column:
     """Number of split points at or below a key; keys compare as bytes."""
-    if not splits:
-        return F.lit(0)
-    points = F.array(*[F.lit(s) for s in sorted(splits)])
-    return F.size(F.filter(points, lambda p: p.cast("binary") <= key.cast("binary")))
+    points = sorted(s.encode() for s in splits)
+    raw = key.cast("binary")
+
+    def search(low: int, high: int) -> Column:
+        # A balanced tree of comparisons: log2(n) of them per row, all in generated code.
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(raw < F.lit(points[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(points))
 
 
 def write_regions(df: DataFrame, key: str, splits: list[str], path: str, tasks_per_region: int = 8) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.text import BLANKS
 from weftline.session import at_most
 
 # Largest lookup side that is broadcast; beyond it Spark shuffles both sides.
@@ -31,7 +32,7 @@ def first_tab_fields(line: Column) -> tuple[Column, Column]:
     at = F.locate("\t", line)
     head = F.when(at > 0, F.substring(line, F.lit(1), at - 1))
     tail = F.when(at > 0, F.substring(line, at, F.length(line)))
-    return head, F.regexp_replace(tail, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return head, F.btrim(tail, F.lit(BLANKS))
 
 
 def strict_int(text: Column) -> Column:

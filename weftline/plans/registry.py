@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tuned(fn: Query) -> Query:
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tune(spark)
+        return fn(spark, folder)
+
+    return run
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query; without ``sql`` it is only checked by tests."""
 
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = tuned(fn)
         if sql is not None:
             ORACLES[name] = sql
         return fn

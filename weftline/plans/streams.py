@@ -188,3 +188,15 @@ def topic_word_count(spark, d):
 @query("stream_batch_log", f"SELECT count(*)::BIGINT AS n_words FROM ({TRIMMED_WORDS_SQL})")
 def stream_batch_log(spark, d):
     return C.log_batches(document_words(spark, d), stream_out(spark)).agg(F.sum("n_words").alias("n_words"))
+
+
+@query(
+    "stream_first_rows",
+    f"SELECT word, count(*) AS n FROM ({TRIMMED_WORDS_SQL}) GROUP BY word ORDER BY n DESC, word LIMIT 10",
+)
+def stream_first_rows(spark, d):
+    """The ten most frequent words after the last batch."""
+    counted = C.running_counts(document_words(spark, d), "word")
+    previews = C.first_rows_per_batch(counted, stream_out(spark), F.desc("n"), "word")
+    last = previews.agg(F.max("batch_id")).first()[0]
+    return previews.filter(F.col("batch_id") == last).select("word", "n")

@@ -31,6 +31,18 @@ def build_session(app_name: str = "weftline", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Settings the operators rely on, for sessions that were built elsewhere.
+
+    Event times are UTC.  A hot join key is split at run time even where that
+    costs an extra exchange.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -67,6 +67,18 @@ def log_batches(stream: DataFrame, out: str, checkpoint: str | None = None) -> D
     return stream.sparkSession.read.parquet(out)
 
 
+def first_rows_per_batch(
+    counted: DataFrame, out: str, *order: Column | str, n: int = 10, mode: str = "complete", checkpoint: str | None = None
+) -> DataFrame:
+    """The first ``n`` rows of every batch result in a given order, as a printed preview shows them."""
+
+    def preview(frame: DataFrame, batch_id: int) -> None:
+        write_batch(frame.orderBy(*order).limit(n), out, batch_id)
+
+    run_batches(counted, preview, mode, checkpoint)
+    return counted.sparkSession.read.parquet(out)
+
+
 def with_seed(totals: DataFrame, seed: DataFrame) -> DataFrame:
     """Running totals that start from ``seed``; seeded keys show without input."""
     return totals.unionByName(seed).groupBy("word").agg(F.sum("n").alias("n"))
