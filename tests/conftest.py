@@ -13,9 +13,9 @@ from weftline.session import build_session  # noqa: E402
 def spark():
     shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     session = build_session(
-        "tests", "local[4]",
+        "tests", "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

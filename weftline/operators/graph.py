@@ -148,4 +148,6 @@ def layout(
     slot = F.pmod(F.xxhash64("dst"), F.coalesce("splits", F.lit(1))).cast("int")
     spread = stored.join(broadcast_if_small(large), "src", "left").select(*edges.columns, slot.alias("split"))
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spread.repartition(parts, "src", "split").persist(StorageLevel.MEMORY_AND_DISK), sources
+    # Sorted too, so that merge joins in later rounds neither move nor sort the edges.
+    placed = spread.repartition(parts, "src", "split").sortWithinPartitions("src", "split")
+    return placed.persist(StorageLevel.MEMORY_AND_DISK), sources
