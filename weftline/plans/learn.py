@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import learn as L
 from weftline.plans.registry import query
-from weftline.sources.tables import table
+from weftline.sources.tables import table, widened
 
 
 @query("logreg_predict")
@@ -35,7 +35,7 @@ def logreg_predict(spark, d):
 @query("text_classifier_predict")
 def text_classifier_predict(spark, d):
     """Quality of every document, learned from the labelled ones."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = widened(table(spark, d, "documents").select("doc_id", "text"))
     labels = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     model = L.text_classifier().fit(docs.join(labels, "doc_id"))
     scored = L.positive_share(model.transform(docs))
@@ -51,6 +51,6 @@ def text_classifier_predict(spark, d):
 )
 def tokenize_hash_tf(spark, d):
     """Tokens per document; hashing loses no term, so the frequencies sum to the token count."""
-    terms = L.hashed_terms(table(spark, d, "documents").select("doc_id", "text"))
+    terms = L.hashed_terms(widened(table(spark, d, "documents").select("doc_id", "text")))
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x)
     return terms.select("doc_id", F.size("words").cast("bigint").alias("n_tokens"), total.alias("tf_total"))

@@ -8,15 +8,19 @@ from weftline.functions.aggregates import average_or_nan, register_average, sum_
 from weftline.functions.text import explode_lines, words_of_text
 from weftline.operators import relational as R
 from weftline.plans.registry import LINES_SQL, TRIMMED_WORDS_SQL, WORDS_SQL, query
-from weftline.sources.tables import register_views, table
+from weftline.sources.tables import register_views, table, widened
 
 # The words that are dropped from counts.
 BLOCKED_WORDS = ["val", "var", "def"]
 
 
+def documents(spark, d):
+    return widened(table(spark, d, "documents").select("text"))
+
+
 @query("word_count", f"SELECT word, count(*) AS n FROM ({WORDS_SQL}) GROUP BY word")
 def word_count(spark, d):
-    words = words_of_text(table(spark, d, "documents"), "text")
+    words = words_of_text(documents(spark, d), "text")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -25,7 +29,7 @@ def word_count(spark, d):
     f"SELECT word, count(*) AS n FROM ({TRIMMED_WORDS_SQL}) GROUP BY word ORDER BY word, n",
 )
 def word_count_sorted(spark, d):
-    words = words_of_text(table(spark, d, "documents"), "text", trim=True)
+    words = words_of_text(documents(spark, d), "text", trim=True)
     return words.groupBy("word").agg(F.count("*").alias("n")).orderBy("word", "n")
 
 
@@ -59,7 +63,7 @@ def filter_hidden_column(spark, d):
                count(*) FILTER (WHERE contains(line, 'b')) AS n_b FROM ({LINES_SQL})""",
 )
 def count_lines_containing(spark, d):
-    lines = explode_lines(table(spark, d, "documents"), "text")
+    lines = explode_lines(documents(spark, d), "text")
     return R.count_containing(lines, "line", "a", "b")
 
 
@@ -162,7 +166,7 @@ def group_count(spark, d):
 )
 def count_by_value(spark, d):
     """How many words occur how often: a count over counted values."""
-    words = words_of_text(table(spark, d, "documents"), "text", trim=True)
+    words = words_of_text(documents(spark, d), "text", trim=True)
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     return counts.groupBy("n").agg(F.count("*").alias("words"))
 
@@ -288,7 +292,7 @@ def canonicalize_ids(spark, d):
         WHERE word NOT IN ('val', 'var', 'def') GROUP BY word""",
 )
 def blocklist_filter(spark, d):
-    words = words_of_text(table(spark, d, "documents"), "text", trim=True)
+    words = words_of_text(documents(spark, d), "text", trim=True)
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     blocked = spark.createDataFrame([(w,) for w in BLOCKED_WORDS], "word string")
     return R.drop_listed(counts, blocked, "word")
@@ -300,7 +304,7 @@ def blocklist_filter(spark, d):
         FROM ({TRIMMED_WORDS_SQL})""",
 )
 def blocklist_dropped(spark, d):
-    words = words_of_text(table(spark, d, "documents"), "text", trim=True)
+    words = words_of_text(documents(spark, d), "text", trim=True)
     return words.agg(
         F.count_if(F.col("word").isin(BLOCKED_WORDS)).alias("dropped"), F.count("*").alias("total")
     )

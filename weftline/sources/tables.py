@@ -14,6 +14,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores, for work that is heavy per row.
+
+    A scan has fewer partitions than the cluster has cores only when it is
+    smaller than one split per core, so the exchange is cheap; larger scans
+    come back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def register_views(spark: SparkSession, folder: str, *names: str) -> None:
     """Temp views over the named tables, for SQL text."""
     for name in names:
