@@ -107,6 +107,12 @@ def test_upsert_latest_version_wins_and_other_cells_stay(spark, rows):
     assert rows(C.typed_scan(compacted, COLUMNS)) == want and compacted.count() == 6
 
 
+def test_equal_versions_give_one_definite_value(spark, rows):
+    cells = book(spark, [("1", "ann", 20, "f"), ("1", "zoe", 10, "f")], 1)
+    assert rows(C.typed_scan(cells.repartition(3), COLUMNS)) == [("1", "zoe", 20, "f")]
+    assert rows(C.latest(cells).filter("qualifier = 'name'"), "version") == [(1,)]
+
+
 def test_null_string_is_empty_and_other_nulls_write_nothing(spark, rows):
     cells = book(spark, [("1", None, None, "f")], 1)
     assert cells.count() == 2

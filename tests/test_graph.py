@@ -142,8 +142,10 @@ def test_pagerank_checks(follows):
             call()
 
 
-def test_hot_source_is_spread_over_partitions(spark):
-    hot = spark.range(4000).selectExpr("0L AS src", "id + 1 AS dst")
+@pytest.mark.parametrize("hot_dst", ["id + 1", "1L"])
+def test_hot_source_is_spread_over_partitions(spark, hot_dst):
+    """Also when its edges are copies of one edge."""
+    hot = spark.range(4000).selectExpr("0L AS src", f"{hot_dst} AS dst")
     cold = spark.range(2000).selectExpr("id + 1 AS src", "0L AS dst")
     placed, sources = G.layout(hot.union(cold), rows_per_split=100)
     per_part = [r[0] for r in placed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).select("n").collect()]

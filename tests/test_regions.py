@@ -40,14 +40,24 @@ def test_region_includes_its_split_point(spark):
 
 
 def test_written_regions_hold_their_rows(spark, rows):
-    # Keep the small partitions apart, as they would be with real sizes.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     path = scratch_path(spark, "regions")
     df = spark.range(300).selectExpr("lpad(id % 100, 2, '0') AS k", "id")
-    G.write_regions(df, "k", ["32|", "65|"], path, tasks_per_region=3)
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    G.write_regions(df, "k", ["32|", "65|"], path)
     stored = spark.read.schema("k string, id bigint, region int").parquet(path)
     assert stored.count() == 300
     got = rows(stored.groupBy("region").agg(F.min("k"), F.max("k")))
     assert got == [(0, "00", "32"), (1, "33", "65"), (2, "66", "99")]
-    assert stored.filter("region = 0").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_hot_region_is_written_by_several_tasks(spark):
+    """Also when the region is one key with equal rows."""
+    path = scratch_path(spark, "regions")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        df = spark.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, 'z', lpad(id % 100, 2, '0')) AS k", "'same' AS v")
+        G.write_regions(df, "k", ["50", "y"], path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.read.schema("k string, v string, region int").parquet(path)
+    assert stored.count() == 60000
+    assert stored.filter("region = 2").select(F.input_file_name()).distinct().count() > 1

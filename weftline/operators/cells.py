@@ -102,10 +102,13 @@ def only_cells(cells: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
 
 
 def latest(cells: DataFrame) -> DataFrame:
-    """The newest version of every cell; versions combine before the shuffle."""
-    return cells.groupBy("row_key", "family", "qualifier").agg(
-        F.max_by("value", "version").alias("value"), F.max("version").alias("version")
-    )
+    """The newest version of every cell; versions combine before the shuffle.
+
+    Of several values with one version the greatest counts, so that a repeated
+    task gives the same result.
+    """
+    newest = cells.groupBy("row_key", "family", "qualifier").agg(F.max(F.struct("version", "value")).alias("top"))
+    return newest.select("row_key", "family", "qualifier", "top.value", "top.version")
 
 
 def typed_scan(
@@ -130,7 +133,7 @@ def typed_scan(
     picks = []
     for i, column in enumerate(cell_columns):
         here = (F.col("family") == column.family) & (F.col("qualifier") == column.qualifier)
-        picks.append(F.max_by(F.when(here, F.col("value")), F.when(here, F.col("version"))).alias(f"_c{i}"))
+        picks.append(F.max(F.when(here, F.struct("version", "value")))["value"].alias(f"_c{i}"))
     grouped = scanned.groupBy("row_key")
     rows = grouped.agg(*picks) if picks else scanned.select("row_key").distinct()
     if encoded is not None:

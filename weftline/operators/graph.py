@@ -145,8 +145,11 @@ def layout(
         )
     )
     large = sources.filter("splits > 1").select(F.col("id").alias("src"), "splits")
-    slot = F.pmod(F.xxhash64("dst"), F.coalesce("splits", F.lit(1))).cast("int")
-    spread = stored.join(broadcast_if_small(large), "src", "left").select(*edges.columns, slot.alias("split"))
+    # Row ids of a written table are the same in every attempt of a task, and
+    # unlike a hash of the columns they also spread copies of one edge.
+    numbered = stored.withColumn("_row", F.monotonically_increasing_id())
+    slot = F.pmod(F.col("_row"), F.coalesce("splits", F.lit(1))).cast("int")
+    spread = numbered.join(broadcast_if_small(large), "src", "left").select(*edges.columns, slot.alias("split"))
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Sorted too, so that merge joins in later rounds neither move nor sort the edges.
     placed = spread.repartition(parts, "src", "split").sortWithinPartitions("src", "split")

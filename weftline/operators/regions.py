@@ -74,16 +74,15 @@ def region_of(key: Column, splits: list[str]) -> Column:
     return search(0, len(points))
 
 
-def write_regions(df: DataFrame, key: str, splits: list[str], path: str, tasks_per_region: int = 8) -> None:
-    """One folder per region, each written sorted by several tasks.
+def write_regions(df: DataFrame, key: str, splits: list[str], path: str) -> None:
+    """One folder per region, its files sorted by key.
 
-    The extra slot keeps a region that holds much of the table from being
-    written by a single task.
+    Rebalancing splits a region that is too large for one task by size, also
+    when a single key makes up most of it.
     """
     placed = df.withColumn("region", region_of(F.col(key), splits))
-    slot = F.pmod(F.xxhash64(key), F.lit(tasks_per_region))
     (
-        placed.repartition("region", slot)
+        placed.hint("rebalance", "region")
         .sortWithinPartitions("region", key)
         .write.partitionBy("region")
         .parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weftline.operators.cells import CELL_SCHEMA, latest
 
@@ -34,10 +35,11 @@ def bulk_load(cells: DataFrame, path: str, partitions: int | None = None) -> Non
     """Load files that are range-partitioned and sorted by key.
 
     Sorted files give every row group a narrow key range, which is what makes
-    key filters skip data.  The range takes in the qualifier, so a row with
-    very many cells is spread over several tasks.
+    key filters skip data.  The range takes in qualifier and version, so a row
+    with very many cells, or a cell with very many versions, is spread over
+    several tasks.
     """
-    order = ["row_key", "family", "qualifier"]
+    order = ["row_key", "family", "qualifier", F.desc("version")]
     ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
     _commit(ranged.sortWithinPartitions(*order), path)
 

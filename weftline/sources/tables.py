@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weftline.session import scratch_path
 
@@ -44,15 +43,14 @@ def save_managed(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame
     return df.sparkSession.table(name)
 
 
-def save_partitioned(df: DataFrame, name: str, *keys: str, files_per_key: int = 8) -> DataFrame:
+def save_partitioned(df: DataFrame, name: str, *keys: str) -> DataFrame:
     """Dynamic-partition write; the partition columns move to the end.
 
-    Rows are first spread by key and a row hash, so that each key becomes a
-    few files and a hot key is still written by many tasks.
+    Rows are gathered by key so that a key becomes few files.  Rebalancing
+    splits a key that is too large for one task by size, whatever its rows
+    look like, and puts small keys together.
     """
-    slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
-    spread = df.repartition(*keys, slot)
-    spread.write.mode("overwrite").partitionBy(*keys).format("parquet").saveAsTable(name)
+    df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
