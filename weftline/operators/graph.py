@@ -14,6 +14,10 @@ from weftline.operators.relational import broadcast_if_small
 from weftline.session import cut_lineage, staged
 
 
+# Edges per partition of a laid-out graph: some tens of megabytes.
+ROWS_PER_PARTITION = 2_000_000
+
+
 def edge_ids(edges: DataFrame) -> DataFrame:
     """Distinct vertex ids that occur in edges."""
     ends = F.explode(F.array("src", "dst"))
@@ -130,16 +134,18 @@ def layout(
     """Edges prepared for repeated joins on their source, and the source table.
 
     Returns the edges with a ``split`` column, hash-partitioned by
-    ``(src, split)`` and persisted, and ``(id, out_deg, splits)``.  A source
-    with more than ``rows_per_split`` edges is spread over several splits; its
-    state row is repeated once per split when it sends.  The list of such
-    sources has at most ``edges / rows_per_split`` rows.  ``degree`` is the
-    aggregate used as out-degree, by default the number of rows.
+    ``(src, split)`` into as many partitions as their number asks for and
+    persisted, and ``(id, out_deg, splits)``.  A source with more than
+    ``rows_per_split`` edges is spread over several splits; its state row is
+    repeated once per split when it sends.  The list of such sources has at
+    most ``edges / rows_per_split`` rows.  ``degree`` is the aggregate used as
+    out-degree, by default the number of rows.
     """
     stored = staged(edges, "edges")
     rows = F.count("*")
     sources = cut_lineage(
         stored.groupBy(F.col("src").alias("id")).agg(
+            rows.alias("rows"),
             (rows if degree is None else degree).alias("out_deg"),
             F.ceil(rows / F.lit(rows_per_split)).cast("int").alias("splits"),
         )
@@ -150,7 +156,17 @@ def layout(
     numbered = stored.withColumn("_row", F.monotonically_increasing_id())
     slot = F.pmod(F.col("_row"), F.coalesce("splits", F.lit(1))).cast("int")
     spread = numbered.join(broadcast_if_small(large), "src", "left").select(*edges.columns, slot.alias("split"))
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = sources.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    spark = edges.sparkSession
+    if total <= ROWS_PER_PARTITION:
+        # The state of a small graph is broadcast, so only the cores count.
+        parts = spark.sparkContext.defaultParallelism
+    else:
+        # With fewer than the session's shuffle partitions a join would move the edges again.
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_PARTITION))
     # Sorted too, so that merge joins in later rounds neither move nor sort the edges.
     placed = spread.repartition(parts, "src", "split").sortWithinPartitions("src", "split")
-    return placed.persist(StorageLevel.MEMORY_AND_DISK), sources
+    placed.persist(StorageLevel.MEMORY_AND_DISK)
+    # The planner knows the partitioning of a cached adaptive plan only once it has run.
+    placed.count()
+    return placed, sources.select("id", "out_deg", "splits")
