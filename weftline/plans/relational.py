@@ -8,7 +8,7 @@ from weftline.functions.aggregates import average_or_nan, register_average, sum_
 from weftline.functions.text import explode_lines, words_of_text
 from weftline.operators import relational as R
 from weftline.plans.registry import LINES_SQL, TRIMMED_WORDS_SQL, WORDS_SQL, query
-from weftline.sources.tables import register_views, table, widened
+from weftline.sources.tables import listed, register_views, table, widened
 
 # The words that are dropped from counts.
 BLOCKED_WORDS = ["val", "var", "def"]
@@ -294,8 +294,7 @@ def canonicalize_ids(spark, d):
 def blocklist_filter(spark, d):
     words = words_of_text(documents(spark, d), "text", trim=True)
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
-    blocked = spark.createDataFrame([(w,) for w in BLOCKED_WORDS], "word string")
-    return R.drop_listed(counts, blocked, "word")
+    return R.drop_listed(counts, listed(spark, "word", BLOCKED_WORDS), "word")
 
 
 @query(

@@ -8,7 +8,7 @@ from weftline.functions.text import explode_words, words_of_text
 from weftline.plans.registry import LINES_SQL, TRIMMED_WORDS_SQL, WORDS_SQL, query
 from weftline.plans.relational import BLOCKED_WORDS
 from weftline.session import scratch_path
-from weftline.sources.tables import table
+from weftline.sources.tables import listed, table
 from weftline.sources.topics import decode_topic
 from weftline.streaming import counts as C
 from weftline.streaming.runner import run_append, run_complete, stream_lines, stream_table
@@ -120,7 +120,7 @@ def stream_batch_sql(spark, d):
         FROM ({TRIMMED_WORDS_SQL}) GROUP BY word""",
 )
 def stream_blocklist(spark, d):
-    blocked = spark.createDataFrame([(w,) for w in BLOCKED_WORDS], "word string")
+    blocked = listed(spark, "word", BLOCKED_WORDS)
     found = C.unlisted_counts_per_batch(document_words(spark, d), blocked, stream_out(spark))
     return summed(found, "word", "dropped")
 

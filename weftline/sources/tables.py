@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weftline.session import scratch_path
 
@@ -13,6 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def listed(spark: SparkSession, column: str, values: list[str]) -> DataFrame:
+    """A short list of given values as a frame of one column."""
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias(column))
+
+
 def widened(df: DataFrame) -> DataFrame:
     """Spread a small scan over all cores, for work that is heavy per row.
 
