@@ -9,9 +9,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from tools.check import compare  # noqa: E402
+from weftline.plans import ORACLES, QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the test tables")
 
@@ -20,6 +20,11 @@ def test_entry(spark):
     assert entry(spark).columns == ["word", "n"]
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert sorted(set(QUERIES) - set(ORACLES)) == ["als_recommend", "logreg_predict", "text_classifier_predict"]
