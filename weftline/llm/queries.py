@@ -7,8 +7,10 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import chat, pieces
+from weftline.llm import chat, langid, mixing, pieces, quality, secrets
+from weftline.llm.common import fold
 from weftline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,11 +40,45 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_mixing_sources")
+def op1_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text")))
+
+
+# Documents of this fold teach nothing.
+HELD_OUT = 2
+
+
+def is_held_out(docs: DataFrame):
+    return fold(docs["doc_id"]) == HELD_OUT
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels.where(~is_held_out(labels)))
+    return quality.score(docs.withColumn("held_out", is_held_out(docs)), model).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    dictionaries = langid.learn_dictionaries(docs.where(~is_held_out(docs)))
+    return langid.identify(docs.select("doc_id", "text", is_held_out(docs).alias("held_out")), dictionaries).select(
+        "doc_id", "held_out", "lang_pred", "score", "narrow")
+
+
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.token_digests(pieces.encode_decode(table(spark, folder, "documents").select("doc_id", "text"), TOKENIZER))
 
 
+@query("op7_secret_scans")
+def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.span_digests(secrets.scan(table(spark, folder, "documents").select("doc_id", "source", "text")))
+
+
 # Stated with the contract: its control strings stand in the texts.
 EXTRA_CHAT = r"""
 SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(t AS BIGINT) AS turn, r AS role, '\\### Assistant: </turn> ok' AS text
