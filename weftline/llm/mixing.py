@@ -114,7 +114,9 @@ def drawn_slots(sources: DataFrame, block_words: int, slots_per_shard: int) -> D
     counts = dealt.withColumn("draws", draws_below(F.col("high")) - draws_below(F.col("low")))
     first = F.coalesce(F.sum("draws").over(
         W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    numbered = counts.withColumn("first", first).where(F.col("draws") > 0)
+    # A row stands for many slots, so rows are dealt out by number, not by their size in bytes.
+    partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = counts.withColumn("first", first).where(F.col("draws") > 0).repartition(partitions, "src", "shard")
     return numbered.select("src", "blocks", "shard", F.explode(
         F.sequence(F.col("first"), F.col("first") + F.col("draws") - 1)).alias("k"))
 
@@ -156,7 +158,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = MAX_P
         "src", "block", "start",
         F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).cast("int").alias("low"),
         F.least((F.col("block") + 1) * block_words - F.col("start"), F.col("size")).cast("int").alias("high"))
-    return Mix(rows, slots.join(stretch, ["src", "block"]))
+    # Both sides grow with the words; the planner takes the slots for few rows and would broadcast them.
+    return Mix(rows, slots.hint("merge").join(stretch, ["src", "block"]))
 
 
 def taken_words(mixed: Mix) -> DataFrame:
