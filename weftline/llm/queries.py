@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import chat, langid, mixing, pieces, quality, secrets
+from weftline.llm import bitslice, chat, langid, mixing, pieces, quality, secrets
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -45,6 +45,22 @@ def op1_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text")))
 
 
+@query("op2_exact_top_k", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5""")
+def op2_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return bitslice.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 # Documents of this fold teach nothing.
 HELD_OUT = 2
 
