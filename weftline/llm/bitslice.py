@@ -170,7 +170,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     dealt = lambda n: F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)).cast("long")
     blocks = rows.withColumn("block", dealt(n_blocks)).groupBy("block").applyInPandas(sliced, BLOCK_SCHEMA)
     chunks = asked.groupBy(dealt(n_chunks).alias("chunk_no")).agg(F.collect_list(F.struct("vec_id", "q")).alias("chunk"))
-    pairs = chunks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("long")).join(blocks, "block")
+    pairs = chunks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).join(blocks, "block")
     spread = pairs.repartition(max(1, min(n_blocks * n_chunks, 4 * n_chunks + n_blocks)), "block", "chunk_no")
     found = spread.drop("block", "chunk_no").mapInPandas(lambda frames: search_batches(frames, k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
