@@ -47,10 +47,10 @@ def op1_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_exact_top_k", """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.q, b.q)]) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
