@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -52,3 +53,28 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLI
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """Texts of a slice, empty for null."""
     return [value or "" for value in batch.column(column).to_pylist()]
+
+
+def word_hashes(words: list) -> np.ndarray:
+    """A 64-bit hash of each word, the same on every machine."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    coded = pa.array(words).dictionary_encode()
+    unique = np.array(coded.dictionary.to_pylist(), object)
+    return pd.util.hash_array(unique, categorize=False)[coded.indices.to_numpy()]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Bits of 64-bit numbers spread over all places."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(29))
+
+
+def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every run of ``n`` words."""
+    if len(hashes) < n:
+        return np.zeros(0, np.uint64)
+    total = np.zeros(len(hashes) - n + 1, np.uint64)
+    for i in range(n):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i:len(hashes) - n + 1 + i]
+    return mixed(total)

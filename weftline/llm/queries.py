@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bitslice, chat, langid, mixing, pieces, quality, secrets
+from weftline.llm import bitslice, chat, langid, minhash, mixing, pieces, quality, secrets
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -85,6 +85,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "narrow")
 
 
+@query("op5_minhash_dedup")
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, percent=85)
+
+
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.token_digests(pieces.encode_decode(table(spark, folder, "documents").select("doc_id", "text"), TOKENIZER))
