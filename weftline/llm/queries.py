@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bitslice, chat, langid, minhash, mixing, pieces, quality, secrets
+from weftline.llm import bitslice, chat, langid, minhash, mixing, pieces, quality, secrets, superkmer
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -100,6 +100,12 @@ def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.span_digests(secrets.scan(table(spark, folder, "documents").select("doc_id", "source", "text")))
 
 
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = superkmer.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # Stated with the contract: its control strings stand in the texts.
 EXTRA_CHAT = r"""
 SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(t AS BIGINT) AS turn, r AS role, '\\### Assistant: </turn> ok' AS text
