@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bitslice, chat, langid, minhash, mixing, pieces, quality, secrets, superkmer
+from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, quality, secrets, superkmer
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -129,3 +129,8 @@ FROM marked GROUP BY conv_id""")
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_digests(chat.format_chats(turns.unionByName(spark.sql(EXTRA_CHAT))))
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return nndescent.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
