@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from operator import eq
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from weftline.llm.common import WORDS, text_or_empty, text_slices, texts_of, without
 
 # Bound of the training sample: labelled documents and characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 4000, 8000
+SAMPLE_DOCS, SAMPLE_CHARS = 3000, 4000
 DIMENSIONS, NONZEROS, HIDDEN = 64, 6, 24
 # A word counts as frequent in this many sampled documents; at most so many words are kept.
 FREQUENT_DOCS, FREQUENT_WORDS = 40, 2000
@@ -119,9 +120,10 @@ class Pooler:
         counts = Counter(words)
         if len(self.memo) > MEMO_WORDS:
             self.memo = {}
-        for word in counts.keys() - self.memo.keys():
-            self.memo[word] = self.ids(word)
-        ids = np.array([self.memo[word] for word in counts])
+        for word in counts:
+            if word not in self.memo:
+                self.memo[word] = self.ids(word)
+        ids = np.array(list(chain.from_iterable(map(self.memo.__getitem__, counts)))).reshape(-1, 2)
         times = np.fromiter(counts.values(), np.float32, len(counts))
         by_form = np.bincount(ids[:, 0], times, len(self.vectors)).astype(np.float32)
         repeats = sum(map(eq, words, words[1:]))
