@@ -1 +1,11 @@
-"""Operators for building training corpora; nothing else in the library imports this package."""
+"""Operators for building training corpora; nothing else in the library imports this package.
+
+Functions that run in Python workers travel with their jobs, so workers need
+not have the package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

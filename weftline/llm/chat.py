@@ -19,12 +19,20 @@ BLOCK_END = rf"(?<!\\){END}\n"
 TRAINED_ROLE = "assistant"
 
 
+# In a role, each control character has a two-character form that starts with a backslash.
+ROLE_FORMS = (("\\", "\\s"), ("\n", "\\n"), ("<", "\\l"))
+
+
 def escaped_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("\\"), F.lit("\\s")), F.lit("\n"), F.lit("\\n"))
+    for plain, form in ROLE_FORMS:
+        role = F.replace(role, F.lit(plain), F.lit(form))
+    return role
 
 
 def plain_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("\\n"), F.lit("\n")), F.lit("\\s"), F.lit("\\"))
+    for plain, form in reversed(ROLE_FORMS):
+        role = F.replace(role, F.lit(form), F.lit(plain))
+    return role
 
 
 def rendered(role: Column, text: Column) -> Column:
