@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +31,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def with_text(text: Column, schema: T.StructType) -> Column:
+    """The row in column ``doc`` (a struct of ``schema``) with another text, and ``n_chars`` to match where it has one."""
+    doc = F.col("doc").withField("text", text)
+    if "n_chars" in schema.fieldNames():
+        doc = doc.withField("n_chars", F.length(text).cast(schema["n_chars"].dataType))
+    return doc
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.llm.common import text_or_empty, word_count
+from weftline.llm.common import text_or_empty, with_text, word_count
 from weftline.session import at_most, staged
 
 WEIGHTS = (1, 2, 3)
@@ -176,16 +176,16 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     Equal rows share what any of them is given.
     """
     by_turn = mixed.pieces.groupBy("src", "start", "turn").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("cuts"))
-    same = F.xxhash64(F.col("doc_id").cast("string"), F.col("source").cast("string"), "h")
-    plan = mixed.rows.where(F.col("size") > 0).select("src", "start", same.alias("__row")).join(
-        by_turn, ["src", "start"]).groupBy("__row").agg(F.collect_list("cuts").alias("__cuts"))
-    keyed = docs.withColumn("__text", text_or_empty()).withColumn("h", F.xxhash64("__text", F.lit(SEED))).withColumn("__row", same)
-    joined = keyed.dropDuplicates(["__row"]).join(plan, "__row")
+    def same(h: str | Column) -> Column:
+        return F.xxhash64(F.col("doc_id").cast("string"), F.col("source").cast("string"), h)
+
+    plan = mixed.rows.where(F.col("size") > 0).select("src", "start", same("h").alias("row")).join(
+        by_turn, ["src", "start"]).groupBy("row").agg(F.collect_list("cuts").alias("all_cuts"))
+    # The row travels as one column, so none of its names can clash.
+    keyed = docs.select(F.struct("*").alias("doc"), same(F.xxhash64(text_or_empty(), F.lit(SEED))).alias("row"))
+    joined = keyed.dropDuplicates(["row"]).join(plan, "row")
     # Each word with the white space after it, so the pieces of a whole text join to that text.
-    words = F.regexp_extract_all("__text", F.lit(r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    rows = joined.withColumn("__words", words).withColumn("__cut", F.explode("__cuts"))
-    text = F.array_join(F.flatten(F.transform("__cut", lambda c: F.slice("__words", c["low"] + 1, c["high"] - c["low"]))), "")
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    words = F.regexp_extract_all(F.col("doc")["text"], F.lit(r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    rows = joined.select("doc", words.alias("words"), F.explode("all_cuts").alias("cuts"))
+    text = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice("words", c["low"] + 1, c["high"] - c["low"]))), "")
+    return rows.select(with_text(text, docs.schema).alias("doc")).select("doc.*")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import text_or_empty
+from weftline.llm.common import text_or_empty, with_text
 from weftline.session import staged
 
 
@@ -137,23 +137,21 @@ def redacted(docs: DataFrame, scanned: DataFrame, live: str = "[SECRET]", exampl
     Columns are those of ``docs``; ``n_chars``, where there is one, is set anew.
     Overlapping findings are cut out as one, which is live if any of them is.
     """
-    found = scanned.where(F.size("spans") > 0).dropDuplicates(["row"]).select(F.col("row").alias("__row"), F.col("spans").alias("__spans"))
-    merged = F.aggregate("__spans", F.array().cast("array<struct<start:int,end:int,live:boolean>>"), lambda acc, x: F.when(
+    text = F.col("doc")["text"]
+    found = scanned.where(F.size("spans") > 0).dropDuplicates(["row"]).select("row", "spans")
+    merged = F.aggregate("spans", F.array().cast("array<struct<start:int,end:int,live:boolean>>"), lambda acc, x: F.when(
         (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > x["start"]),
         F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
             F.try_element_at(acc, F.lit(-1))["start"].alias("start"),
             F.greatest(F.try_element_at(acc, F.lit(-1))["end"], x["end"]).alias("end"),
             (F.try_element_at(acc, F.lit(-1))["live"] | x["live"]).alias("live")))),
     ).otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["live"].alias("live"))))))
-    cut = F.transform("__cuts", lambda x, i: F.concat(
-        F.substring(F.col("text"), F.coalesce(F.get("__cuts", i - 1)["end"], F.lit(0)) + 1,
-                    x["start"] - F.coalesce(F.get("__cuts", i - 1)["end"], F.lit(0))),
+    cut = F.transform("cuts", lambda x, i: F.concat(
+        F.substring(text, F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0)) + 1,
+                    x["start"] - F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0))),
         F.when(x["live"], live).otherwise(example)))
-    rest = F.substring(F.col("text"), F.try_element_at("__cuts", F.lit(-1))["end"] + 1, F.length("text"))
-    joined = docs.withColumn("__row", row_digest()).join(found, "__row", "left").withColumn("__cuts", merged)
-    text = F.when(F.col("__spans").isNotNull(), F.concat(F.array_join(cut, ""), rest)).otherwise(F.col("text"))
-    joined = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__spans").isNotNull(), F.length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = F.substring(text, F.try_element_at("cuts", F.lit(-1))["end"] + 1, F.length(text))
+    # The row travels as one column, so none of its names can clash.
+    joined = docs.select(F.struct("*").alias("doc"), row_digest().alias("row")).join(found, "row", "left").withColumn("cuts", merged)
+    changed = with_text(F.concat(F.array_join(cut, ""), rest), docs.schema)
+    return joined.select(F.when(F.col("spans").isNotNull(), changed).otherwise(F.col("doc")).alias("doc")).select("doc.*")
