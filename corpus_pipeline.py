@@ -27,8 +27,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     if model is None:
         return docs
     # A clash of names is avoided by carrying the row as one column.
-    scored = quality.score(docs.select(F.struct("*").alias("row"), "text"), model)
-    return scored.where(F.col("predicted") == 1).select("row.*")
+    scored = quality.score(docs.select(F.struct("*").alias("doc"), "text"), model)
+    return scored.where(F.col("predicted") == 1).select("doc.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +38,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     has one.
     """
     groups = minhash.near_duplicates(docs.select("doc_id", "text"))
-    chosen = groups.where(F.col("kept") | F.col("component_id").isNull()).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.withColumn("__h", F.xxhash64(text_or_empty())).dropDuplicates(["doc_id", "__h"]).drop("__h")
+    chosen = groups.where(F.col("kept") | F.col("component_id").isNull()).select(F.col("doc_id").alias("kept_id")).distinct()
+    # The row travels as one column, so none of its names can clash.
+    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("i"), F.xxhash64(text_or_empty()).alias("h"))
+    kept = keyed.join(chosen, keyed["i"].eqNullSafe(chosen["kept_id"]), "left_semi")
+    return kept.dropDuplicates(["i", "h"]).select("doc.*")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
