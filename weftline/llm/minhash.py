@@ -1,11 +1,14 @@
 """Near-duplicates by MinHash: many universal hash minima, bands, verification, components.
 
 Documents with equal shingle sets are one class from the start.  Classes that
-share a band meet in its bucket.  A bucket is never paired up whole: in each
-round a few of its members are compared with those that are not yet in their
-component, and leave it; it is done when one component is left.  So all links
-that matter for the components are looked at, and a group of near copies of
-any size costs about one comparison a member.
+share a band meet in its bucket.  A bucket is never paired up whole: first its
+most central member, the one that meets most others in all of its buckets, is
+compared with the rest.  That joins a group of near copies at about one
+comparison a member.  Where a bucket still holds several components, members
+are dropped that share too few of their shingles with any other to have a
+link, and in rounds a few of the others are compared with those that are not
+in their component, and leave the bucket; it is done when one component is
+left.  So every link that matters for the components is looked at.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,7 +32,7 @@ SHINGLE_WORDS, PERCENT = 5, 80
 # A pair at 80 % shares no band once in 300,000 times, one at 85 % once in 50 million.
 BANDS, BAND_ROWS = 24, 4
 HASHES = BANDS * BAND_ROWS
-# Members of a bucket that are compared with the others in a round after the first.
+# Members of a bucket that are compared with the others in a round.
 PIVOTS = 32
 # A signature may miss the similarity by so many standard deviations before a pair is let go.
 DEVIATIONS = 5.0
@@ -119,25 +122,59 @@ def confirmed(pairs: DataFrame, signed: DataFrame, sets: DataFrame, percent: int
         "a", "b", "xa", "xb").mapInArrow(lambda x: linked_batches(x, percent), "a long, b long").distinct()
 
 
-def candidate_pairs(state: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of this round and the members (key, id) that stay, from ``state`` (key, id, component).
+def similar_sizes(a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar; unknown sizes can."""
+    return F.col(a).isNull() | F.col(b).isNull() | (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
-    In a bucket with several components, up to ``pivots`` members that are not
-    in its largest one meet all members of other components.
-    """
-    sizes = state.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    still = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")).where(
+
+def open_buckets(state: DataFrame) -> DataFrame:
+    """Rows of ``state`` (key, id, weight, n, component) in buckets of several components, with the largest as ``main``."""
+    sizes = state.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
+    still = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("members", "component"))["component"].alias("main")).where(
         F.col("parts") > 1).select("key", "main")
-    opened = state.join(still, "key")
+    return state.join(still, "key")
+
+
+def candidate_pairs(opened: DataFrame, pivots: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of this round and the members (key, id, weight, n) that stay.
+
+    In each bucket the first ``pivots`` members that are not in its largest
+    component meet all members of other components, but for those whose sets
+    are too large or too small to be similar.
+    """
     rest = opened.where(F.col("component") != F.col("main"))
-    place = F.row_number().over(W.partitionBy("key").orderBy(F.xxhash64("id", "key"), "id"))
-    chosen = rest.withColumn("place", place).where(F.col("place") <= pivots).select("key", F.col("id").alias("p"), F.col("component").alias("pc"))
-    pairs = chosen.join(opened, "key").where(F.col("pc") != F.col("component")).select(
+    place = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "id"))
+    chosen = rest.withColumn("place", place).where(F.col("place") <= pivots).select(
+        "key", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc"))
+    sized = similar_sizes("pn", "n", percent)
+    pairs = chosen.join(opened, "key").where((F.col("pc") != F.col("component")) & sized).select(
         F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
-    left = opened.join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti").select("key", "id")
+    left = opened.join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti").select("key", "id", "weight", "n")
     return pairs, left
 
 
+def shingle_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(part.column("id").to_numpy(), [len(x) for x in sets])), pa.array(np.concatenate(sets))], ["id", "shingle"])
+
+
+def out_of_reach(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Ids of members of open buckets that no other such member can be similar to.
+
+    A partner has at least ``percent`` of a member's shingles, so a member with
+    more shingles than the remainder that no other member has is out.
+    """
+    ids = opened.select("id", "n").distinct()
+    each = sets.join(ids.select("id"), "id", "left_semi").mapInArrow(shingle_batches, "id long, shingle long")
+    own = each.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where(F.col("id") == F.col("other"))
+    return own.groupBy("id").agg(F.count(F.lit(1)).alias("own")).join(ids, "id").where(
+        100 * (F.col("n") - F.col("own")) < percent * F.col("n")).select("id")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -153,36 +190,42 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     signed = staged(texts.mapInArrow(lambda x: sign_batches(x, words), SIGNED), "signatures")
     full = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = full.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
+    classes = full.groupBy("f1", "f2").agg(
+        F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
     classes = staged(classes, "classes")
     key = F.explode(F.array(*[F.xxhash64(F.substring("signature", 4 * BAND_ROWS * i + 1, 4 * BAND_ROWS), F.lit(i)) for i in range(BANDS)]))
-    members = classes.select("id", key.alias("key")).distinct()
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = staged(members.join(shared.select("key"), "key"), "buckets")
+    # An id with several sets has no size, and is spared the tests that need one.
+    sizes = classes.groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.max("n")).alias("n"))
+    members = classes.select("id", "signature").join(sizes, "id").select("id", "n", key.alias("key"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("low"), F.max("id").alias("high")).where(
+        F.col("low") != F.col("high")).select("key", "size")
+    members = staged(members.join(shared, "key").distinct(), "buckets")
+    weights = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    members = staged(members.select("key", "id", "n").join(weights, "id").select("key", "id", "weight", "n"), "buckets")
     needed = members.select("id").distinct()
     known = staged(classes.join(needed, "id", "left_semi").select("id", "signature"), "signatures-needed")
     sets = staged(texts.join(needed.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(
         lambda x: set_batches(x, words), "id long, shingles binary").where(F.length("shingles") > 0).distinct(), "sets")
-    groups, pivots = None, 1
+    # Every member but the most central one is compared with that one.
+    central = F.max(F.struct("weight", -F.col("id"), "n"))
+    hubs = members.groupBy("key").agg(central.alias("hub")).select("key", (-F.col("hub")["col2"]).alias("hub"), F.col("hub")["n"].alias("hub_n"))
+    met = members.join(hubs, "key").where(F.col("id") != F.col("hub"))
+    sized = similar_sizes("hub_n", "n", percent)
+    pairs = staged(met.where(sized).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "pairs")
+    groups = components(confirmed(pairs, known, sets, percent))
+    members = met.select("key", "id", "weight", "n")
     while True:
-        if groups is None:
-            state = members.withColumn("component", F.col("id"))
-        else:
-            state = members.join(groups, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        state = staged(state, "bucket-state")
-        pairs, members = candidate_pairs(state, pivots)
+        state = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        opened = staged(open_buckets(state), "open-buckets")
+        reachable = opened.join(out_of_reach(opened, sets, percent), "id", "left_anti").drop("main")
+        pairs, members = candidate_pairs(staged(open_buckets(reachable), "open-buckets"), PIVOTS, percent)
         pairs = staged(pairs, "pairs")
         if pairs.isEmpty():
             break
         links = confirmed(pairs, known, sets, percent)
-        if groups is not None:
-            links = links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        groups = components(links)
-        members, pivots = staged(members, "buckets"), PIVOTS
+        groups = components(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        members = staged(members, "buckets")
     rows = signed.select("doc_id", "n_shingles", "f1", "f2").join(classes.select("f1", "f2", "id"), ["f1", "f2"], "left")
-    if groups is not None:
-        rows = rows.join(groups, "id", "left")
-    else:
-        rows = rows.withColumn("component", F.col("id"))
+    rows = rows.join(groups, "id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
