@@ -64,13 +64,22 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [value or "" for value in batch.column(column).to_pylist()]
 
 
-def word_hashes(words: list) -> np.ndarray:
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, and the number in each; null has none.  ``lower`` is for A-Z only."""
+    trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts, ""))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(trimmed) if lower else trimmed)
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    counts[pc.binary_length(trimmed).to_numpy(zero_copy_only=False) == 0] = 0
+    words = lists.flatten()
+    return words.filter(pc.greater(pc.binary_length(words), 0)), counts
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
     """A 64-bit hash of each word, the same on every machine."""
-    if not words:
+    if not len(words):
         return np.zeros(0, np.uint64)
-    coded = pa.array(words).dictionary_encode()
-    unique = np.array(coded.dictionary.to_pylist(), object)
-    return pd.util.hash_array(unique, categorize=False)[coded.indices.to_numpy()]
+    coded = words.dictionary_encode()
+    return pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object), categorize=False)[coded.indices.to_numpy()]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

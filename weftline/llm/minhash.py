@@ -14,7 +14,6 @@ left.  So every link that matters for the components is looked at.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,11 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.llm.common import WORD, gram_hashes, mixed, text_or_empty, text_slices, texts_of, word_hashes
+from weftline.llm.common import gram_hashes, mixed, split_words, text_or_empty, text_slices, word_hashes
 from weftline.llm.components import components
 from weftline.session import staged
 
-BYTE_WORDS = re.compile(WORD.encode())
 SHINGLE_WORDS, PERCENT = 5, 80
 # A pair at 80 % shares no band once in 300,000 times, one at 85 % once in 50 million.
 BANDS, BAND_ROWS = 24, 4
@@ -42,19 +40,18 @@ FACTORS = _rng.integers(0, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(
 SHIFTS = _rng.integers(0, 2**63, HASHES, np.uint64) * np.uint64(2)
 
 
-def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """Distinct shingles of each text as sorted hashes; fewer words are one shingle, none give none."""
-    split = [BYTE_WORDS.findall(text.encode().lower()) for text in texts]
-    hashes = word_hashes([word for own in split for word in own])
-    ends = np.cumsum([len(own) for own in split])
+    flat, counts = split_words(texts, lower=True)
+    hashes = word_hashes(flat)
     grams = gram_hashes(hashes, words)
     sets = []
-    for end, own in zip(ends, split):
-        start = end - len(own)
-        if len(own) >= words:
+    for end, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
+        start = end - n
+        if n >= words:
             sets.append(np.unique(grams[start:end - words + 1]))
         else:
-            sets.append(mixed(gram_hashes(hashes[start:end], len(own)) + np.uint64(len(own))) if own else np.zeros(0, np.uint64))
+            sets.append(mixed(gram_hashes(hashes[start:end], n) + np.uint64(n)) if n else np.zeros(0, np.uint64))
     return sets
 
 
@@ -73,7 +70,7 @@ SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, signature binary"
 
 def sign_batches(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for part in text_slices(batches, "text"):
-        sets = shingle_sets(texts_of(part, "text"), words)
+        sets = shingle_sets(part.column("text"), words)
         full = [i for i, s in enumerate(sets) if len(s)]
         marks = np.zeros((len(sets), 2), np.int64)
         signed: list[bytes | None] = [None] * len(sets)
@@ -88,7 +85,7 @@ def sign_batches(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.R
 
 def set_batches(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for part in text_slices(batches, "text"):
-        sets = [s.tobytes() for s in shingle_sets(texts_of(part, "text"), words)]
+        sets = [s.tobytes() for s in shingle_sets(part.column("text"), words)]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 

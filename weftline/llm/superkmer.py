@@ -14,17 +14,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import WORDS, gram_hashes, mixed, text_or_empty, text_slices, texts_of, word_hashes
+from weftline.llm.common import gram_hashes, mixed, split_words, text_or_empty, text_slices, texts_of, word_hashes
 from weftline.session import staged
 
 WINDOW_WORDS = 13
 MINIMISER_WORDS = 3
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Packed text that a bucket should get, and what a task sorts at once.
-BUCKET_BYTES, SORT_BYTES = 24 << 20, 32 << 20
+BUCKET_BYTES, SORT_BYTES = 16 << 20, 12 << 20
 # A text is sent two to three times over, as windows that straddle two strings are in both.
 OVERLAP = 3
 SUB_BUCKETS = 256
@@ -42,23 +43,33 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:len(values) - width + 1], out[width - span:]) if width > span else out
 
 
-def super_kmers(words: list[list[str]], k: int, m: int) -> Iterator[tuple[int, int, int, int]]:
-    """(document place, first word, last word + 1, minimiser) of every super-k-mer."""
-    hashes = word_hashes([word for own in words for word in own])
-    starts = np.cumsum([0, *(len(own) for own in words)])
+def super_kmers(hashes: np.ndarray, counts: np.ndarray, k: int, m: int) -> tuple[np.ndarray, ...]:
+    """(document place, first word, last word + 1, minimiser) of every super-k-mer; words are numbered over all documents."""
+    starts = np.cumsum(counts) - counts
+    none = np.zeros(0, np.int64)
     if len(hashes) < k:
-        return
+        return none, none, none, np.zeros(0, np.uint64)
     least = sliding_least(gram_hashes(hashes, m), k - m + 1)
     # Windows that lie within one document.
-    doc = np.repeat(np.arange(len(words)), np.diff(starts))[:len(least)]
-    inside = np.arange(len(least)) + k <= starts[doc + 1]
-    place = np.flatnonzero(inside)
+    doc = np.repeat(np.arange(len(counts)), counts)[:len(least)]
+    place = np.flatnonzero(np.arange(len(least)) + k <= (starts + counts)[doc])
     if not len(place):
-        return
-    cut = np.flatnonzero((np.diff(place) != 1) | (np.diff(least[place].view(np.int64)) != 0) | (np.diff(doc[place]) != 0)) + 1
+        return none, none, none, np.zeros(0, np.uint64)
+    cut = np.flatnonzero((np.diff(place) != 1) | (least[place][1:] != least[place][:-1]) | (np.diff(doc[place]) != 0)) + 1
     first, last = place[np.r_[0, cut]], place[np.r_[cut - 1, len(place) - 1]]
-    own = doc[first]
-    yield from zip(own.tolist(), (first - starts[own]).tolist(), (last - starts[own] + k).tolist(), least[first].tolist())
+    return doc[first], first, last + k, least[first]
+
+
+def joined_words(texts: pa.Array) -> tuple[bytes, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts with their words joined by one space, one after the other; the words, their starts and sizes, and words by text."""
+    words, counts = split_words(texts)
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    # Between the words of a text there is a space, between two texts there is none.
+    full = np.cumsum(counts > 0) - 1
+    starts = np.cumsum(sizes) - sizes + np.arange(len(sizes)) - np.repeat(full, counts)
+    ends = np.r_[0, np.cumsum(counts)]
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)
+    return "".join(pc.binary_join(lists, " ").to_pylist()).encode(), words, starts, sizes, counts
 
 
 def packed(arrays: list[np.ndarray], text: bytes) -> bytes:
@@ -87,48 +98,39 @@ KINDS = [np.int64, np.int64, np.int32, np.uint8, np.int64, np.int64, np.int32, n
 def pack_batches(batches: Iterable[pa.RecordBatch], buckets: int, k: int, m: int) -> Iterator[pa.RecordBatch]:
     """(bucket, data): the super-k-mers of a run of documents for each bucket, each distinct string once.
 
-    A string goes with the least id that has it here.  For the other documents
-    the run itself settles that all of its windows are repeats, so a passage
-    that everybody has leaves a task once.
+    A string goes with the least id that has it here.  For documents with a
+    larger id the run itself settles that all of its windows are repeats, so a
+    passage that everybody has leaves a task once.
     """
     for part in text_slices(batches, "text", SLICE_BYTES):
-        ids = [NO_ID if i is None else i for i in part.column("doc_id").to_pylist()]
-        hashes = part.column("h").to_pylist()
-        words = [WORDS.findall(text) for text in texts_of(part, "text")]
-        holders: dict[str, list[tuple[int, int]]] = {}
-        minimisers: dict[str, int] = {}
-        for doc, low, high, least in super_kmers(words, k, m):
-            text = " ".join(words[doc][low:high])
-            holders.setdefault(text, []).append((doc, low))
-            minimisers[text] = least
-        dealt: dict[int, list] = {}
-        for text, held in holders.items():
-            spread = minimisers[text]
-            bucket = dealt.setdefault((spread >> 8) % buckets, [[], [], [], [], [], [], [], [], []])
-            doc, low = held[0] if len(held) == 1 else min(held, key=lambda x: (ids[x[0]], x))
-            bucket[0].append(ids[doc])
-            bucket[1].append(hashes[doc])
-            bucket[2].append(low)
-            bucket[3].append(spread & 255)
-            bucket[8].append(text)
-            if len(held) > 1:
-                n = text.count(" ") + 1
-                for other, at in held:
-                    if ids[other] > ids[doc]:
-                        bucket[4].append(ids[other])
-                        bucket[5].append(hashes[other])
-                        bucket[6].append(at)
-                        bucket[7].append(at + n)
-                    elif (other, at) != (doc, low):
-                        # The same id holds it twice: both places are judged in the bucket.
-                        bucket[0].append(ids[other])
-                        bucket[1].append(hashes[other])
-                        bucket[2].append(at)
-                        bucket[3].append(spread & 255)
-                        bucket[8].append(text)
-        for bucket, rows in dealt.items():
-            data = packed([np.array(rows[i], kind) for i, kind in enumerate(KINDS)], "\n".join(rows[8]).encode())
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([data], pa.binary())], ["bucket", "data"])
+        ids = pc.fill_null(part.column("doc_id"), NO_ID).to_numpy(zero_copy_only=False)
+        hashes = part.column("h").to_numpy(zero_copy_only=False)
+        data, words, starts, sizes, counts = joined_words(part.column("text"))
+        doc, first, end, least = super_kmers(word_hashes(words), counts, k, m)
+        if not len(doc):
+            continue
+        low = (first - (np.cumsum(counts) - counts)[doc]).astype(np.int32)
+        bucket = ((least >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+        # In order of bucket and id, so that the first of equal strings is the one to send.
+        order = np.lexsort((ids[doc], bucket))
+        doc, low, first, end, bucket = doc[order], low[order], first[order], end[order], bucket[order]
+        sub, long = (least[order] & np.uint64(255)).astype(np.uint8), end - first
+        begin, stop = starts[first].tolist(), (starts[end - 1] + sizes[end - 1]).tolist()
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+        for a, b in zip(cuts, cuts[1:]):
+            texts = [data[x:y] for x, y in zip(begin[a:b], stop[a:b])]
+            at, settled = np.arange(a, b), np.zeros(0, np.int64)
+            if len(set(texts)) < len(texts):
+                holder: dict[bytes, int] = {}
+                owner = np.fromiter((ids[doc[a + holder.setdefault(text, i)]] for i, text in enumerate(texts)), np.int64, b - a)
+                sent = ids[doc[a:b]] == owner
+                at, settled = at[sent], at[~sent]
+                texts = [text for text, keep in zip(texts, sent.tolist()) if keep]
+            arrays = [ids[doc[at]], hashes[doc[at]], low[at], sub[at],
+                      ids[doc[settled]], hashes[doc[settled]], low[settled], (low[settled] + long[settled]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket[a]], pa.int32()), pa.array([packed([x.astype(t) for x, t in zip(arrays, KINDS)], b"\n".join(texts))], pa.binary())],
+                ["bucket", "data"])
 
 
 def equal_groups(codes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
@@ -151,13 +153,18 @@ def equal_groups(codes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
     return group
 
 
-def repeats(ids: np.ndarray, lows: np.ndarray, texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(super-k-mer, first word, end) of the stretches of windows that start in a document with a smaller id."""
-    words = [text.split(" ") for text in texts]
-    sizes = np.array([len(own) for own in words])
-    codes = pa.array([word for own in words for word in own]).dictionary_encode().indices.to_numpy()
+def repeats(ids: np.ndarray, lows: np.ndarray, text: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(super-k-mer, first word, end) of the stretches of windows that start in a document with a smaller id.
+
+    ``text`` has a line for each super-k-mer, its words apart by one space.
+    """
+    lines = pa.array(text.split(b"\n")).cast(pa.string())
+    words = pc.split_pattern(lines, " ")
+    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = words.flatten().dictionary_encode().indices.to_numpy()
+    del lines, words
     counts = sizes - k + 1
-    holder = np.repeat(np.arange(len(words)), counts)
+    holder = np.repeat(np.arange(len(sizes)), counts)
     offset = np.arange(len(holder)) - np.repeat(np.cumsum(counts) - counts, counts)
     starts = np.repeat(np.cumsum(sizes) - sizes, counts) + offset
     group = equal_groups(codes, starts, k)
@@ -197,7 +204,7 @@ def bucket_spans(parts: list[bytes], k: int) -> Iterator[pa.RecordBatch]:
     turn = (np.cumsum(weight) // SORT_BYTES)[subs]
     for t in np.unique(turn):
         at = np.flatnonzero(turn == t)
-        own, low, high = repeats(ids[at], lows[at], [texts[i].decode() for i in at], k)
+        own, low, high = repeats(ids[at], lows[at], b"\n".join(texts if len(at) == len(texts) else [texts[i] for i in at]), k)
         if len(own):
             yield span_batch(ids[at][own], hashes[at][own], low, high)
 
@@ -250,12 +257,13 @@ def kept_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 256)
             rows = []
             for data, spans in zip(part.column("squeezed").to_pylist(), part.column("spans").to_pylist()):
-                words = WORDS.findall(open_up.decompress(data).decode())
+                # Splits at the white space that words are told apart by.
+                words = open_up.decompress(data).split()
                 gone = np.zeros(len(words), bool)
                 for span in spans or ():
                     gone[span["low"]:span["high"]] = True
                 kept = [w for w, g in zip(words, gone.tolist()) if not g] if spans else words
-                rows.append((len(words), int(gone.sum()), " ".join(kept)))
+                rows.append((len(words), int(gone.sum()), b" ".join(kept).decode()))
             counts, removed, kept = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
