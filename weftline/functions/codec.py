@@ -7,7 +7,8 @@ batches because Spark has no expression for the IEEE bit pattern.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,25 +48,30 @@ def hint_type(name: str) -> str:
 
 
 def _ieee_writer(code: str):
-    @F.pandas_udf("binary")
-    def write(values: pd.Series) -> pd.Series:
-        width = int(code[2])
-        raw = values.to_numpy(dtype=np.float64, na_value=np.nan).astype(code).tobytes()
-        cells = pd.Series([raw[i:i + width] for i in range(0, len(raw), width)], dtype=object)
-        return cells.where(values.notna().to_numpy(), None)
+    width = int(code[2])
+
+    @F.arrow_udf("binary")
+    def write(values: pa.Array) -> pa.Array:
+        raw = values.fill_null(0.0).to_numpy(zero_copy_only=False).astype(code).tobytes()
+        cells = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(values), [None, pa.py_buffer(raw)])
+        return pc.if_else(values.is_valid(), cells.cast(pa.binary()), pa.scalar(None, pa.binary()))
 
     return write
 
 
 def _ieee_reader(code: str, result: str):
-    @F.pandas_udf(result)
-    def read(cells: pd.Series) -> pd.Series:
-        width = int(code[2])
-        good = cells.map(lambda cell: cell is not None and len(cell) == width).to_numpy(dtype=bool)
-        values = np.frombuffer(b"".join(cells[good]), dtype=code).astype(f"f{width}")
-        out = pd.Series([None] * len(cells), dtype=object)
-        out[good] = values
-        return out.astype(f"Float{width * 8}")
+    width = int(code[2])
+
+    @F.arrow_udf(result)
+    def read(cells: pa.Array) -> pa.Array:
+        good = pc.fill_null(pc.equal(pc.binary_length(cells), width), False)
+        fixed = cells.filter(good).cast(pa.binary(width))
+        values = np.frombuffer(fixed.buffers()[1] or b"", code, len(fixed), fixed.offset * width)
+        mask = good.to_numpy(zero_copy_only=False)
+        out = np.zeros(len(cells), f"f{width}")
+        out[mask] = values
+        # A mask keeps NaN apart from null.
+        return pa.array(out, mask=~mask)
 
     return read
 
@@ -108,6 +114,12 @@ def encode_cell(value: Column, kind: str, int_encoding: str = "binary") -> Colum
     return F.coalesce(value.cast("string"), F.lit("")).cast("binary")
 
 
+def encode_key(value: Column, kind: str, int_encoding: str = "binary") -> Column:
+    """Row-key bytes; a null key is an error, because it would stand for no row or for all of them."""
+    return F.when(value.isNull(), F.raise_error(F.lit("a row key must not be null")).cast("binary")).otherwise(
+        encode_cell(value, kind, int_encoding))
+
+
 def decode_cell(
     cell: Column, kind: str, int_encoding: str = "binary", missing_long_as_zero: bool = True
 ) -> Column:

@@ -6,13 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Differences below this share of their terms are rounding, not values.
+ROUNDING = 1e-12
+
+
+def squared_distance(sq_a: Column, sq_b: Column, dot: Column) -> Column:
+    """``|a|² + |b|² - 2 a·b``; 0 where only rounding is left, so equal vectors are at distance 0."""
+    both = sq_a + sq_b
+    left = both - 2 * dot
+    return F.when(left <= both * ROUNDING, F.lit(0.0)).otherwise(left)
+
+
+def variance_term(n: Column, total: Column, squares: Column) -> Column:
+    """``n Σx² - (Σx)²``; 0 where only rounding is left, so a constant side has none."""
+    left = n * squares - total * total
+    return F.when(left <= n * squares * ROUNDING, F.lit(0.0)).otherwise(left)
+
+
 def cooccurrence(n_both: Column, n_a: Column, n_b: Column) -> Column:
     return n_both / F.sqrt(n_a.cast("double") * n_b.cast("double"))
 
 
 def correlation(n: Column, dot: Column, sum_a: Column, sum_b: Column, sq_a: Column, sq_b: Column) -> Column:
     """Pearson correlation over co-raters; NULL where one side is constant."""
-    spread = F.sqrt(n * sq_a - sum_a * sum_a) * F.sqrt(n * sq_b - sum_b * sum_b)
+    spread = F.sqrt(variance_term(n, sum_a, sq_a)) * F.sqrt(variance_term(n, sum_b, sq_b))
     return F.try_divide(n * dot - sum_a * sum_b, spread)
 
 

@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.codec import decode_cell, encode_cell, hint_type, spark_type
+from weftline.functions.codec import decode_cell, encode_cell, encode_key, hint_type, spark_type
 from weftline.operators.relational import broadcast_if_small
+from weftline.session import cut_lineage
 
 CELL_SCHEMA = "row_key binary, family string, qualifier string, version bigint, value binary"
 
@@ -55,7 +56,8 @@ def to_cells(
 ) -> DataFrame:
     """Unpivot rows into cells: the key column (default: the first) and one cell per other column.
 
-    A null string becomes an empty value; other nulls write no cell.
+    A null string becomes an empty value; other nulls write no cell.  A null
+    key is an error.
     """
     key = row_key or df.columns[0]
     if key not in df.columns:
@@ -77,7 +79,7 @@ def to_cells(
     )
     return (
         df.select(
-            encode_cell(F.col(key), kinds[key], int_encoding).alias("row_key"),
+            encode_key(F.col(key), kinds[key], int_encoding).alias("row_key"),
             F.lit(family).alias("family"),
             version.cast("bigint").alias("version"),
             F.inline(cells),
@@ -128,8 +130,9 @@ def typed_scan(
     scanned = only_cells(cells, [(c.family, c.qualifier) for c in cell_columns])
     encoded = None
     if keys is not None:
-        encoded = encoded_keys(keys)
-        scanned = scanned.join(broadcast_if_small(encoded.distinct()), "row_key", "left_semi")
+        declared = next((c.kind for c in columns if c.is_row_key), None)
+        encoded = cut_lineage(encoded_keys(keys, declared, int_encoding))
+        scanned = only_keys(scanned, encoded)
     picks = []
     for i, column in enumerate(cell_columns):
         here = (F.col("family") == column.family) & (F.col("qualifier") == column.qualifier)
@@ -152,10 +155,20 @@ def typed_scan(
     )
 
 
-def encoded_keys(keys: DataFrame) -> DataFrame:
-    """Row-key bytes of the first column of a key frame."""
-    name, kind = keys.dtypes[0]
-    return keys.select(encode_cell(F.col(name), kind).alias("row_key"))
+def encoded_keys(keys: DataFrame, kind: str | None = None, int_encoding: str = "binary") -> DataFrame:
+    """Row-key bytes of the first column of a key frame, read as the type that the table's keys have."""
+    name, own = keys.dtypes[0]
+    kind = kind or own
+    return keys.select(encode_key(F.col(name).cast(kind), kind, int_encoding).alias("row_key"))
+
+
+def only_keys(cells: DataFrame, encoded: DataFrame) -> DataFrame:
+    """Cells of the given keys; the range of the keys is a filter that the scan can use."""
+    low, high = encoded.agg(F.min("row_key"), F.max("row_key")).first()
+    if low is None:
+        return cells.filter(F.lit(False))
+    ranged = cells.filter(F.col("row_key").between(F.lit(bytes(low)), F.lit(bytes(high))))
+    return ranged.join(broadcast_if_small(encoded.distinct()), "row_key", "left_semi")
 
 
 def _json_fragment(value: Column) -> Column:
@@ -176,16 +189,18 @@ def _hinted_json(value: Column, kind: str) -> Column:
 
 
 def json_scan(
-    cells: DataFrame, hints: dict[str, str] | None = None, keys: DataFrame | None = None
+    cells: DataFrame, hints: dict[str, str] | None = None, keys: DataFrame | None = None,
+    key_kind: str | None = None, int_encoding: str = "binary",
 ) -> DataFrame:
     """``(rowkey, content)`` with all cells of a row as one JSON object.
 
     Members are named ``family:qualifier`` and sorted by name.  Values are
-    text unless ``hints`` gives a type for the name.
+    text unless ``hints`` gives a type for the name.  Keys are encoded as
+    ``key_kind``, by default the type they come in.
     """
     if keys is not None:
-        wanted = encoded_keys(keys)
-        cells = cells.join(broadcast_if_small(wanted.distinct()), "row_key", "left_semi")
+        wanted = cut_lineage(encoded_keys(keys, key_kind, int_encoding))
+        cells = only_keys(cells, wanted)
     name = F.concat_ws(":", "family", "qualifier")
     fragment = _json_fragment(decode_cell(F.col("value"), "string"))
     by_kind: dict[str, list[str]] = {}

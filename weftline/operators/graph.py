@@ -35,13 +35,24 @@ def _prefixed(vertices: DataFrame, end: str) -> DataFrame:
     return vertices.select(*[F.col(c).alias(end if c == "id" else f"{end}_{c}") for c in vertices.columns])
 
 
-def triplets(vertices: DataFrame, edges: DataFrame, fields: str = "both") -> DataFrame:
-    """Edges with the attributes of the source, the destination or both ends."""
+def triplets(vertices: DataFrame, edges: DataFrame, fields: str = "both", missing: str = "default") -> DataFrame:
+    """Edges with the attributes of the source, the destination or both ends.
+
+    No edge is lost: an end that is not among the vertices has null attributes,
+    or with ``missing="error"`` fails the job.
+    """
+    if missing not in ("default", "error"):
+        raise ValueError("missing must be 'default' or 'error'")
     view = edges
-    if fields in ("src", "both"):
-        view = view.join(_prefixed(vertices, "src"), "src")
-    if fields in ("dst", "both"):
-        view = view.join(_prefixed(vertices, "dst"), "dst")
+    for end in ("src", "dst"):
+        if fields not in (end, "both"):
+            continue
+        if missing == "default":
+            view = view.join(_prefixed(vertices, end), end, "left")
+            continue
+        view = view.join(_prefixed(vertices, end).withColumn("_known", F.lit(True)), end, "left")
+        refused = F.raise_error(F.lit(f"an edge has a {end} that is not a vertex")).cast(dict(edges.dtypes)[end])
+        view = view.withColumn(end, F.when(F.col("_known"), F.col(end)).otherwise(refused)).drop("_known")
     return view
 
 

@@ -26,6 +26,10 @@ def _links(edges: DataFrame) -> DataFrame:
 def _scaled(ranks: DataFrame, personalized: bool) -> DataFrame:
     """Ranks that sum to the number of vertices, or to 1 when personalized."""
     total, count = ranks.agg(F.sum("rank"), F.count("*")).first()
+    if not count:
+        return ranks.select("id", "rank")
+    if not total:
+        raise ValueError("the source is not a vertex of the graph")
     factor = (1.0 if personalized else float(count)) / total
     return ranks.select("id", (F.col("rank") * F.lit(factor)).alias("rank"))
 
@@ -49,7 +53,8 @@ def pagerank(
     A round joins the ranks to the persisted edges and sums per destination.
     A zero row per vertex goes into the same sum, so vertices without
     incoming edges need no outer join and the old ranks are read only once.
-    With ``source`` all reset mass goes to that vertex.
+    With ``source`` all reset mass goes to that vertex, which must be there.
+    An empty graph gives no rows.
     """
     if iterations <= 0:
         raise ValueError("the number of iterations must be positive")

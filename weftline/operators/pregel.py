@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.graph import layout
+from weftline.operators.graph import edge_ids, layout
 from weftline.session import cut_lineage
 
 
@@ -106,7 +106,9 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int, weight: s
     turns inactive, which has the same effect as comparing before sending.
     """
     lightest = edges.groupBy("src", "dst").agg(F.min(weight).alias("weight"))
-    start = vertices.select(
+    # Ends of edges that are not listed are vertices too.
+    everyone = vertices.select("id").union(edge_ids(edges)).distinct()
+    start = everyone.select(
         "id", F.when(F.col("id") == source, F.lit(0.0)).otherwise(F.lit(float("inf"))).alias("dist")
     )
     return pregel(

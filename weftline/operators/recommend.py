@@ -98,7 +98,7 @@ def similarities(stats: DataFrame, virtual_count: float = 10.0, prior: float = 0
 def distances(stats: DataFrame) -> DataFrame:
     """Euclidean distance of each pair from norms and dot product."""
     return stats.select(
-        "a", "b", F.sqrt(F.col("norm_sq_a") + F.col("norm_sq_b") - 2 * F.col("dot")).alias("distance")
+        "a", "b", F.sqrt(sim.squared_distance(F.col("norm_sq_a"), F.col("norm_sq_b"), F.col("dot"))).alias("distance")
     )
 
 
@@ -139,7 +139,7 @@ def nearest(ratings: DataFrame, targets: DataFrame, k: int, member: str = "user"
     )
     own = norms.select(F.col(member).alias("target"), F.col("norm_sq").alias("own_sq"))
     measured = candidates.join(own, "target").select(
-        "target", member, F.sqrt(F.col("own_sq") + F.col("norm_sq") - 2 * F.col("dot")).alias("distance")
+        "target", member, F.sqrt(sim.squared_distance(F.col("own_sq"), F.col("norm_sq"), F.col("dot"))).alias("distance")
     )
     return top_per_key(measured, "target", [F.col("distance"), F.col(member)], k)
 
@@ -150,7 +150,8 @@ def user_cf(ratings: DataFrame, targets: DataFrame, k: int = 2) -> DataFrame:
     The score of an item sums rating and distance of the neighbours; items
     above the mean score over all items are kept.  The distances are the same
     for every item, so the comparison is between rating sums and the mean
-    rating sum, and items no neighbour rated can never pass.
+    rating sum.  Ratings must not be negative: then items no neighbour rated
+    can never pass.
     """
     n_items = ratings.select("item").distinct().count()
     near = cut_lineage(nearest(ratings, targets, k))
@@ -186,7 +187,7 @@ def item_cf(ratings: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     )
     own = raters.select(F.col("item").alias("target"), F.col("norm_sq").alias("own_sq"))
     measured = candidates.join(own, "target").select(
-        "user", "item", F.sqrt(F.col("own_sq") + F.col("norm_sq") - 2 * F.col("dot")).alias("distance")
+        "user", "item", F.sqrt(sim.squared_distance(F.col("own_sq"), F.col("norm_sq"), F.col("dot"))).alias("distance")
     )
     return top_per_key(measured, "user", [F.col("distance"), F.col("item")], k)
 

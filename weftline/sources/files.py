@@ -52,11 +52,12 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
-    """Edges ``(src, dst, attr = 1)`` from lines of two ids; ``#`` lines are skipped."""
+    """Edges ``(src, dst, attr = 1)`` from lines of two ids; ``#`` lines are skipped and a line with one id is an error."""
     lines = spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
     ids = F.split(F.trim("value"), r"\s+")
     return lines.select(
         F.get(ids, F.lit(0)).cast("bigint").alias("src"),
-        F.get(ids, F.lit(1)).cast("bigint").alias("dst"),
+        F.when(F.size(ids) > 1, F.get(ids, F.lit(1)).cast("bigint")).otherwise(
+            F.raise_error(F.concat(F.lit("an edge needs two ids: "), F.col("value"))).cast("bigint")).alias("dst"),
         F.lit(1).alias("attr"),
     )

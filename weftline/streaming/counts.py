@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from weftline.operators.relational import broadcast_if_small
-from weftline.streaming.runner import run_batches, write_batch
+from weftline.streaming.runner import run_batches, write_batch, written
 
 
 def running_counts(stream: DataFrame, *keys: str) -> DataFrame:
@@ -18,6 +20,16 @@ def running_counts(stream: DataFrame, *keys: str) -> DataFrame:
     return stream.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
+def _per_batch(
+    stream: DataFrame, result: Callable[[DataFrame], DataFrame], out: str, checkpoint: str | None, mode: str = "append"
+) -> DataFrame:
+    """Result of every batch with its ``batch_id``; no rows, but the same columns, where no batch has come."""
+    run_batches(stream, lambda frame, batch_id: write_batch(result(frame), out, batch_id), mode, checkpoint)
+    spark = stream.sparkSession
+    schema = StructType(list(result(spark.createDataFrame([], stream.schema)).schema)).add("batch_id", "integer")
+    return written(spark, out, schema)
+
+
 def counts_per_batch(
     stream: DataFrame, out: str, *keys: str, checkpoint: str | None = None, sql: str | None = None
 ) -> DataFrame:
@@ -26,16 +38,13 @@ def counts_per_batch(
     With ``sql`` the batch is counted by SQL text over the temp view ``batch``.
     """
 
-    def count(frame: DataFrame, batch_id: int) -> None:
-        if sql is not None:
-            frame.createOrReplaceTempView("batch")
-            counted = frame.sparkSession.sql(sql)
-        else:
-            counted = frame.groupBy(*keys).agg(F.count("*").alias("n"))
-        write_batch(counted, out, batch_id)
+    def counted(frame: DataFrame) -> DataFrame:
+        if sql is None:
+            return frame.groupBy(*keys).agg(F.count("*").alias("n"))
+        frame.createOrReplaceTempView("batch")
+        return frame.sparkSession.sql(sql)
 
-    run_batches(stream, count, checkpoint=checkpoint)
-    return stream.sparkSession.read.parquet(out)
+    return _per_batch(stream, counted, out, checkpoint)
 
 
 def unlisted_counts_per_batch(
@@ -47,24 +56,21 @@ def unlisted_counts_per_batch(
     """
     flags = broadcast_if_small(listed.select(key, F.lit(True).alias("hit")).distinct())
 
-    def count(frame: DataFrame, batch_id: int) -> None:
+    def flagged(frame: DataFrame) -> DataFrame:
         counted = frame.groupBy(key).agg(F.count("*").alias("n")).join(flags, key, "left")
-        write_batch(counted.select(key, "n", F.coalesce("hit", F.lit(False)).alias("dropped")), out, batch_id)
+        return counted.select(key, "n", F.coalesce("hit", F.lit(False)).alias("dropped"))
 
-    run_batches(stream, count, checkpoint=checkpoint)
-    return stream.sparkSession.read.parquet(out)
+    return _per_batch(stream, flagged, out, checkpoint)
 
 
 def log_batches(stream: DataFrame, out: str, checkpoint: str | None = None) -> DataFrame:
     """One line of totals per micro-batch, appended under its batch id."""
 
-    def total(frame: DataFrame, batch_id: int) -> None:
+    def total(frame: DataFrame) -> DataFrame:
         per_word = frame.groupBy("word").agg(F.count("*").alias("n"))
-        line = per_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"), F.count("*").alias("n_distinct"))
-        write_batch(line, out, batch_id)
+        return per_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_words"), F.count("*").alias("n_distinct"))
 
-    run_batches(stream, total, checkpoint=checkpoint)
-    return stream.sparkSession.read.parquet(out)
+    return _per_batch(stream, total, out, checkpoint)
 
 
 def first_rows_per_batch(
@@ -72,11 +78,7 @@ def first_rows_per_batch(
 ) -> DataFrame:
     """The first ``n`` rows of every batch result in a given order, as a printed preview shows them."""
 
-    def preview(frame: DataFrame, batch_id: int) -> None:
-        write_batch(frame.orderBy(*order).limit(n), out, batch_id)
-
-    run_batches(counted, preview, mode, checkpoint)
-    return counted.sparkSession.read.parquet(out)
+    return _per_batch(counted, lambda frame: frame.orderBy(*order).limit(n), out, checkpoint, mode)
 
 
 def with_seed(totals: DataFrame, seed: DataFrame) -> DataFrame:
@@ -90,15 +92,17 @@ def update_by_key(
     """Keyed state changed by a Python function of (batch sum, old state).
 
     Each input partition is summed per key first, so a hot key sends one row
-    per Arrow batch to its state task.  Prefer ``running_counts`` where the
-    function is a plain sum.
+    per Arrow batch to its state task.  Null is a key like any other.  The
+    function is called for the keys that a batch has, not for the others.
+    Prefer ``running_counts`` where the function is a plain sum.
     """
     schema = f"{key} {dict(stream.dtypes)[key]}, total bigint"
 
-    def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sums = frame.groupby(key, as_index=False, sort=False)[value].sum()
-            yield sums.rename(columns={value: "total"})
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Arrow groups null keys like any other.
+        for batch in batches:
+            sums = pa.Table.from_batches([batch]).group_by(key).aggregate([(value, "sum")]).select([key, f"{value}_sum"])
+            yield from sums.rename_columns([key, "total"]).to_batches()
 
     def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         added = sum(int(frame["total"].sum()) for frame in frames)
@@ -106,7 +110,7 @@ def update_by_key(
         state.update((total,))
         yield pd.DataFrame({key: [group[0]], "total": [total]})
 
-    partial = stream.select(key, value).mapInPandas(combine, schema)
+    partial = stream.select(key, F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias(value)).mapInArrow(combine, schema)
     return partial.groupBy(key).applyInPandasWithState(
         step, schema, "total bigint", "update", GroupStateTimeout.NoTimeout
     )

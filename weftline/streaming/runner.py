@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weftline.session import scratch_path
 from weftline.sources.tables import table
@@ -63,6 +66,16 @@ def run_batches(
     return query
 
 
+def written(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """What batches have written below ``out``; empty where no batch has come yet."""
+    try:
+        return spark.read.schema(schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def batch_folder(out: str, batch_id: int) -> str:
     return f"{out}/batch_id={batch_id}"
 
@@ -77,15 +90,20 @@ def run_complete(stream: DataFrame, out: str, checkpoint: str | None = None) ->
 
     Two folders take turns, so the previous result stays readable while the
     next one is written and storage does not grow with the number of batches.
+    The number of a batch is written beside its result once that is there, so
+    a restart without new input returns the result from before.
     """
-    last = {}
+    spark = stream.sparkSession
 
     def keep(frame: DataFrame, batch_id: int) -> None:
-        write_batch(frame, out, batch_id % 2)
-        last["id"] = batch_id % 2
+        turn = batch_id % 2
+        write_batch(frame, f"{out}/result", turn)
+        spark.range(1).select(F.lit(batch_id).cast("long").alias("done"), F.lit(turn).alias("turn")).coalesce(1).write.mode(
+            "overwrite").parquet(f"{out}/done/turn_{turn}")
 
     run_batches(stream, keep, "complete", checkpoint)
-    spark = stream.sparkSession
-    if not last:
+    done = written(spark, f"{out}/done/*", StructType().add("done", "long").add("turn", "integer"))
+    last = done.agg(F.max(F.struct("done", "turn")).alias("last")).select("last.turn").first()[0]
+    if last is None:
         return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(batch_folder(out, last["id"]))
+    return spark.read.schema(stream.schema).parquet(batch_folder(f"{out}/result", last))
