@@ -7,63 +7,6 @@ from pyspark.sql import functions as F
 
 from weftline.operators import recommend as R
 
-STARS = [
-    [3, 1, 4, 4, 1, 0, 0],
-    [0, 5, 1, 0, 0, 4, 0],
-    [1, 0, 5, 4, 3, 5, 2],
-    [3, 1, 4, 3, 5, 0, 0],
-    [5, 2, 0, 1, 0, 5, 5],
-]
-COMMENTS = [
-    [1, 1, 1, 0, 1, 0, 0],
-    [0, 1, 1, 0, 0, 1, 0],
-    [1, 0, 1, 1, 1, 1, 1],
-    [1, 1, 1, 1, 1, 0, 0],
-    [1, 1, 0, 1, 0, 1, 1],
-]
-
-
-def long_form(matrix):
-    return [(u + 1, i + 1, float(r)) for u, row in enumerate(matrix) for i, r in enumerate(row) if r]
-
-
-@pytest.fixture(scope="module")
-def stars(spark):
-    return spark.createDataFrame(long_form(STARS), "user bigint, item bigint, rating double")
-
-
-@pytest.fixture(scope="module")
-def everyone(spark):
-    return spark.createDataFrame([(u,) for u in range(1, 6)], "user bigint")
-
-
-def test_two_nearest_users(stars, everyone):
-    got = {(r.target, r.user): round(r.distance, 6) for r in R.nearest(stars, everyone, 2).collect()}
-    assert got == {
-        (1, 4): 4.123106, (1, 3): 6.244998, (2, 5): 7.874008, (2, 1): 8.185353, (3, 1): 6.244998,
-        (3, 4): 6.324555, (4, 1): 4.123106, (4, 3): 6.324555, (5, 2): 7.874008, (5, 3): 8.485281,
-    }
-
-
-def test_user_cf(stars, everyone):
-    found = R.user_cf(stars, everyone).orderBy("user", "score", "item").collect()
-    got = {u: [r.item for r in rows] for u, rows in itertools.groupby(found, lambda r: r.user)}
-    assert got == {2: [4, 7, 1], 4: [6], 5: [3]}
-
-
-def test_item_cf(spark, everyone):
-    comments = spark.createDataFrame(long_form(COMMENTS), "user bigint, item bigint, rating double")
-    found = R.item_cf(comments, everyone, 7).orderBy("user", "distance", "item").collect()
-    got = {u: [(r.item, round(r.distance, 6)) for r in rows] for u, rows in itertools.groupby(found, lambda r: r.user)}
-    assert got == {
-        1: [(4, 1.414214), (7, 1.732051), (6, 2.0)],
-        2: [(7, 1.0), (4, 1.414214), (1, 1.732051), (5, 2.0)],
-        3: [(2, 2.0)],
-        4: [(7, 1.732051), (6, 2.0)],
-        5: [(5, 1.732051), (3, 2.0)],
-    }
-
-
 def random_ratings(users, items, hot_user=None, hot_item=None, seed=3):
     rng = random.Random(seed)
     cells = {}
@@ -79,6 +22,21 @@ def random_ratings(users, items, hot_user=None, hot_item=None, seed=3):
     return cells
 
 
+@pytest.fixture(scope="module")
+def small():
+    return random_ratings(12, 9, hot_user=2, seed=5)
+
+
+@pytest.fixture(scope="module")
+def stars(spark, small):
+    return spark.createDataFrame([(u, i, r) for (u, i), r in small.items()], "user bigint, item bigint, rating double")
+
+
+@pytest.fixture(scope="module")
+def everyone(spark, small):
+    return spark.createDataFrame(sorted({(u,) for u, _ in small}), "user bigint")
+
+
 def distance(cells, by, a, b):
     keys = {k for k in cells if k[0] in (a, b)}
     return math.sqrt(sum((cells.get((a, i), 0) - cells.get((b, i), 0)) ** 2 for i in {i for _, i in keys}))
@@ -152,14 +110,58 @@ def test_measures(spark):
     assert R.similarities(flat).first().correlation is None
 
 
-def test_edge_pairs(stars, rows):
-    pairs = R.edge_pairs(stars, "user", "item", "item", "rating")
-    assert rows(pairs) == [(1, 5), (1, 6), (1, 7), (2, 3), (2, 4), (2, 5), (2, 6), (4, 7)]
+def test_edge_pairs(stars, small, rows):
+    want = set()
+    for u in {u for u, _ in small}:
+        own = sorted(i for v, i in small if v == u)
+        rated = sorted((small[u, i], i) for i in own)
+        want |= {tuple(sorted(p)) for p in ((own[0], own[-1]), (rated[0][1], rated[-1][1])) if p[0] != p[1]}
+    assert rows(R.edge_pairs(stars, "user", "item", "item", "rating")) == sorted(want)
 
 
-def test_implicit_recommendations(spark, stars, everyone):
-    model = R.fit_implicit(stars)
-    best = R.recommend(model, everyone, 3).collect()
-    assert len(best) == 15 and {r.user for r in best} == {1, 2, 3, 4, 5}
+def test_user_cf_matches_brute_force(stars, everyone, small):
+    users, items = sorted({u for u, _ in small}), sorted({i for _, i in small})
+    got = {}
+    for r in R.user_cf(stars, everyone).collect():
+        got.setdefault(r.user, {})[r.item] = round(r.score, 6)
+    for t in users:
+        near = sorted((distance(small, None, t, u), u) for u in users if u != t)[:2]
+        votes = {i: sum(small.get((u, i), 0) for _, u in near) for i in items}
+        mean = sum(votes.values()) / len(items)
+        want = {i: round(v + sum(d for d, _ in near), 6) for i, v in votes.items() if v > mean and (t, i) not in small}
+        assert got.get(t, {}) == want, t
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_twins_are_at_distance_zero(spark, partitions):
+    """Equal users with fractional ratings, whatever the order of the sums."""
+    rng = random.Random(11)
+    data = []
+    for pair in range(8):
+        for item in rng.sample(range(200), 30):
+            rating = rng.uniform(0.1, 9.9)
+            data += [(2 * pair, item, rating), (2 * pair + 1, item, rating)]
+    rng.shuffle(data)
+    ratings = spark.createDataFrame(data, "user bigint, item bigint, rating double").repartition(partitions)
+    near = R.nearest(ratings, spark.createDataFrame([(u,) for u in range(16)], "user bigint"), 1).collect()
+    assert {r.target: (r.user, r.distance) for r in near} == {u: (u ^ 1, 0.0) for u in range(16)}
+    pairs = spark.createDataFrame([(2 * p, 2 * p + 1) for p in range(8)], "a bigint, b bigint")
+    found = R.distances(R.pair_statistics(ratings, pairs, member="user", by="item")).collect()
+    assert [r.distance for r in found] == [0.0] * 8
+
+
+@pytest.mark.parametrize("constant", [0.7, 2.3, 0.3, 1.1, 5.0])
+def test_a_constant_side_has_no_correlation(spark, constant):
+    rng = random.Random(3)
+    data = [(u, 1, constant) for u in range(40)] + [(u, 2, rng.uniform(0, 5)) for u in range(40)]
+    ratings = spark.createDataFrame(data, "user bigint, item bigint, rating double")
+    m = R.similarities(R.pair_statistics(ratings, spark.createDataFrame([(1, 2)], "a bigint, b bigint"))).first()
+    assert m.correlation is None and m.regularized_correlation is None
+
+
+def test_implicit_recommendations(stars, everyone):
+    n = everyone.count()
+    best = R.recommend(R.fit_implicit(stars), everyone, 3).collect()
+    assert len(best) == 3 * n and len({r.user for r in best}) == n
     again = R.recommend(R.fit_implicit(stars), everyone, 3).collect()
     assert sorted((r.user, r.item) for r in best) == sorted((r.user, r.item) for r in again)

@@ -17,7 +17,7 @@ from weftline.sources.tables import table
 
 EDGES_SQL = "edges AS (SELECT l_suppkey AS src, l_partkey AS dst, l_quantity AS weight FROM lineitem)"
 VERTICES_SQL = """ids AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges),
-  vertices AS (SELECT id, coalesce(c_name, 'John Doe') AS name, coalesce(c_acctbal, 0.0) AS age
+  vertices AS (SELECT id, coalesce(c_name, 'unnamed') AS name, coalesce(c_acctbal, 0.0) AS age
                FROM (SELECT id FROM ids UNION SELECT c_custkey FROM customer)
                LEFT JOIN customer ON c_custkey = id)"""
 GRAPH_SQL = f"WITH {EDGES_SQL}, {VERTICES_SQL}"
@@ -34,7 +34,7 @@ def graph_of(spark, d):
     known = table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("age")
     )
-    default = {"name": F.lit("John Doe"), "age": F.lit(0.0)}
+    default = {"name": F.lit("unnamed"), "age": F.lit(0.0)}
     return G.with_edge_vertices(known, edges, default), edges
 
 
@@ -62,13 +62,13 @@ def graph_filters(spark, d):
 @query(
     "triplets_view",
     f"""{GRAPH_SQL}
-        SELECT e.src, e.dst, s.name || ' is the ' || e.weight::INTEGER || ' of ' || t.name AS fact
+        SELECT e.src, e.dst, s.name || ' -> ' || t.name || ': ' || e.weight::INTEGER AS fact
         FROM edges e JOIN vertices s ON s.id = e.src JOIN vertices t ON t.id = e.dst WHERE e.weight > 5""",
 )
 def triplets_view(spark, d):
     vertices, edges = graph_of(spark, d)
     view = G.triplets(vertices, edges.filter("weight > 5"))
-    fact = F.concat("src_name", F.lit(" is the "), F.col("weight").cast("int"), F.lit(" of "), "dst_name")
+    fact = F.concat("src_name", F.lit(" -> "), "dst_name", F.lit(": "), F.col("weight").cast("int"))
     return view.select("src", "dst", fact.alias("fact"))
 
 
@@ -152,8 +152,8 @@ def aggregate_messages(spark, d):
           SELECT dst, name, age FROM (
             SELECT e.dst, s.name, s.age, row_number() OVER (PARTITION BY e.dst ORDER BY s.age DESC, s.id DESC) AS r
             FROM edges e JOIN vertices s ON s.id = e.src) WHERE r = 1)
-        SELECT v.id, CASE WHEN b.dst IS NULL THEN v.name || ' does not have any followers.'
-             ELSE b.name || ' is the oldest follower of ' || v.name || '.' END AS fact
+        SELECT v.id, CASE WHEN b.dst IS NULL THEN v.name || ': nobody'
+             ELSE v.name || ': ' || b.name END AS fact
         FROM vertices v LEFT JOIN best b ON b.dst = v.id""",
 )
 def oldest_follower(spark, d):
@@ -164,8 +164,8 @@ def oldest_follower(spark, d):
         {"best": F.max("msg")}, fields="src",
     )
     fact = F.when(
-        F.col("best").isNull(), F.concat("name", F.lit(" does not have any followers."))
-    ).otherwise(F.concat("best.name", F.lit(" is the oldest follower of "), "name", F.lit(".")))
+        F.col("best").isNull(), F.concat("name", F.lit(": nobody"))
+    ).otherwise(F.concat("name", F.lit(": "), "best.name"))
     return vertices.join(best, "id", "left").select("id", fact.alias("fact"))
 
 

@@ -25,10 +25,10 @@ def logreg_predict(spark, d):
     vectors = VectorAssembler(inputCols=["n_lines", "quantity"], outputCol="features").transform(
         orders.join(lines, "o_orderkey")
     )
-    overrides = L.merged({"maxIter": 20}, {"maxIter": 30}, {"regParam": 0.1, "threshold": 0.55},
-                         {"probabilityCol": "my_probability"})
+    # The settings that the results depend on.
+    overrides = L.merged({"maxIter": 20}, {"maxIter": 30}, {"regParam": 0.1, "threshold": 0.55}, {"probabilityCol": "p_large"})
     model = L.fit_logistic(vectors.select("label", "features"), overrides=overrides)
-    scored = L.positive_share(model.transform(vectors), "my_probability")
+    scored = L.positive_share(model.transform(vectors), "p_large")
     return scored.select("o_orderkey", "label", F.round("p1", 6).alias("p1"), "prediction")
 
 
