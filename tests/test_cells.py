@@ -63,11 +63,55 @@ def test_nulls_and_bad_widths(spark):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.floats(allow_nan=False, width=64), min_size=1, max_size=30))
+@given(st.lists(st.floats(width=64), min_size=1, max_size=30))
 def test_double_bytes_match_struct(spark, values):
     assert hexed(spark, values, "double") == [struct.pack(">d", v).hex().upper() for v in values]
 
 
+def test_nan_is_a_value_and_null_is_none(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, double('NaN')), (2, NULL), (3, -0.0D), (4, double('-Infinity')) AS t(id, v)")
+    for kind in ("double", "float"):
+        got = df.select("id", decode_cell(encode_cell(F.col("v").cast(kind), kind), kind).alias("v")).orderBy("id").collect()
+        assert got[0].v != got[0].v and got[1].v is None and str(got[2].v) == "-0.0" and got[3].v == float("-inf")
+    assert C.to_cells(df, version=1).count() == 3
+
+
+def test_null_keys_are_refused(spark):
+    df = spark.createDataFrame([("a", "x"), (None, "y")], "id string, v string")
+    with pytest.raises(Exception, match="row key must not be null"):
+        C.to_cells(df, version=1).collect()
+    cells = C.to_cells(df.filter("id IS NOT NULL"), version=1)
+    with pytest.raises(Exception, match="row key must not be null"):
+        C.typed_scan(cells, C.declare_columns([("id", "string"), ("v", "string")], [":k", "info:v"]), keys=df.select("id")).collect()
+
+
+@pytest.mark.parametrize("int_encoding", ["binary", "text"])
+def test_keys_are_looked_up_as_the_table_has_them(spark, rows, int_encoding):
+    df = spark.createDataFrame([(1, 5), (2, 6), (-3, 7)], "id int, v int")
+    cells = C.to_cells(df, version=1, int_encoding=int_encoding)
+    columns = C.declare_columns([("id", "int"), ("v", "int")], [":k", "info:v"])
+    for kind in ("int", "bigint", "string"):
+        keys = spark.createDataFrame([(2,), (-3,)], "k int").select(F.col("k").cast(kind))
+        assert rows(C.typed_scan(cells, columns, keys, int_encoding)) == [(-3, 7), (2, 6)]
+    longs = C.to_cells(df.select(F.col("id").cast("bigint").alias("id"), "v"), version=1)
+    wide = C.declare_columns([("id", "long"), ("v", "int")], [":k", "info:v"])
+    assert rows(C.typed_scan(longs, wide, spark.createDataFrame([(2,)], "k int"))) == [(2, 6)]
+
+
+def test_the_range_of_the_keys_reaches_the_files(spark):
+    path = scratch_path(spark, "cells")
+    S.bulk_load(C.to_cells(spark.range(2000).selectExpr("lpad(id, 6, '0') AS id", "'v' AS a"), version=1), path, 4)
+    columns = C.declare_columns([("id", "string"), ("a", "string")], [":k", "info:a"])
+    keys = spark.createDataFrame([("000003",), ("000007",)], "k string")
+    found = C.typed_scan(S.read_cells(spark, path), columns, keys)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(row_key" in plan and "LessThanOrEqual(row_key" in plan
+    assert found.count() == 2
+    assert C.typed_scan(S.read_cells(spark, path), columns, keys.limit(0)).count() == 0
+
+
 def test_type_names():
     assert [spark_type(n) for n in ("Long", "INT", "integer", "datetype", "date", "decimal", "String")] == [
         "bigint", "int", "int", "date", "string", "string", "string"]

@@ -72,6 +72,64 @@ def test_restart_continues_without_counting_twice(spark, folder, rows):
     assert rows(got) == [("a", 3), ("b", 2), ("c", 1), ("def", 1), ("new", 1), ("val", 1)]
 
 
+def test_a_restart_without_input_returns_the_result_from_before(spark, folder, rows):
+    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    counts = lambda: S.run_complete(C.running_counts(word_stream(spark, folder), "word"), out, state)
+    before = rows(counts())
+    assert rows(counts()) == before and before
+    write_lines(spark, folder, ["a"])
+    assert ("a", 3) in rows(counts()) and ("a", 3) in rows(counts())
+
+
+def test_streams_without_any_input(spark):
+    path = scratch_path(spark, "nothing")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(path)
+    words = lambda: word_stream(spark, path).filter("false")
+    out = lambda: scratch_path(spark, "out")
+    empty = word_stream(spark, scratch_path_with_no_file(spark))
+    assert C.counts_per_batch(empty, out(), "word").columns == ["word", "n", "batch_id"]
+    assert C.counts_per_batch(words(), out(), "word").count() == 0
+    assert C.log_batches(word_stream(spark, scratch_path_with_no_file(spark)), out()).count() == 0
+    listed = spark.createDataFrame([("x",)], "word string")
+    assert C.unlisted_counts_per_batch(word_stream(spark, scratch_path_with_no_file(spark)), listed, out()).count() == 0
+    totals = C.running_counts(word_stream(spark, scratch_path_with_no_file(spark)), "word")
+    assert S.run_complete(totals, out()).count() == 0
+    assert C.first_rows_per_batch(totals, out(), "word").count() == 0
+
+
+def scratch_path_with_no_file(spark):
+    import os
+
+    path = scratch_path(spark, "no-file").removeprefix("file:")
+    os.makedirs(path)
+    return path
+
+
+def test_null_is_a_key_of_the_state(spark, rows):
+    path = scratch_path(spark, "keys")
+    schema = "key bigint, n bigint"
+    for batch in ([(1, 2), (None, 3), (None, 4)], [(None, 5), (1, None)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    updates = C.update_by_key(stream, "key", "n", lambda added, old: added + (old or 0))
+    out = scratch_path(spark, "out")
+    S.run_batches(updates, lambda frame, batch_id: S.write_batch(frame, out, batch_id), "update")
+    last = spark.read.parquet(out).groupBy("key").agg(F.max_by("total", "batch_id").alias("n"))
+    assert {r.key: r.n for r in last.collect()} == {1: 2, None: 12}
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_ordered_input_gives_the_same_windows_in_any_batching(spark, rows, files_per_batch):
+    data = spark.range(0, 6000, 7).selectExpr("timestamp_seconds(id * 11 % 5999 * 3) AS ts", "id % 2 AS k")
+    folder = S.staged_in_order(data, "ts", rows_per_file=100)
+    stream = spark.readStream.schema(data.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    got = S.run_append(C.windowed_counts(stream, "ts", "5 minutes", None, "k", watermark="10 minutes"), scratch_path(spark, "out"))
+    last = data.agg(F.max(F.unix_seconds("ts"))).first()[0] - 600
+    want = data.selectExpr("floor(unix_seconds(ts) / 300) * 300 AS s", "k").groupBy("s", "k").count().filter(f"s + 300 <= {last}")
+    assert rows(got, "start_s", "k", "n") == rows(want, "s", "k", "count")
+
+
 def test_append_sink_restarts_cleanly(spark, folder):
     out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "state")
     assert S.run_append(word_stream(spark, folder), out, checkpoint).count() == 7

@@ -24,6 +24,11 @@ def customer_cells(spark, d, version=1):
     return C.to_cells(table(spark, d, "customer"), "c_custkey", version=version)
 
 
+def stored(spark, cells, load=S.append_cells):
+    """The cells as a table that was written and is read back."""
+    path = scratch_path(spark, "cells")
+    load(cells, path)
+    return S.read_cells(spark, path)
 
 
 @query("cells_typed_scan", "SELECT * FROM customer")
@@ -39,7 +44,7 @@ def cells_typed_scan(spark, d):
 )
 def cells_column_scan(spark, d):
     wanted = [c for c in CUSTOMER_COLUMNS if c.field in ("c_custkey", "c_name", "c_acctbal")]
-    return C.typed_scan(customer_cells(spark, d), wanted)
+    return C.typed_scan(stored(spark, customer_cells(spark, d)), wanted)
 
 
 @query(
@@ -52,7 +57,7 @@ def cells_json_scan(spark, d):
     rows = table(spark, d, "customer").select(
         "c_name", "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation")
     )
-    return C.json_scan(C.to_cells(rows, version=1))
+    return C.json_scan(stored(spark, C.to_cells(rows, version=1)))
 
 
 @query(
@@ -67,7 +72,7 @@ def cells_json_typed(spark, d):
         "c_name", "c_mktsegment", "c_custkey", "c_nationkey", F.expr("c_nationkey > 12").alias("big")
     )
     hints = {"info:c_custkey": "LongType", "info:c_nationkey": "IntegerType", "info:big": "BooleanType"}
-    return C.json_scan(C.to_cells(rows, version=1), hints)
+    return C.json_scan(stored(spark, C.to_cells(rows, version=1)), hints)
 
 
 @query(
@@ -75,7 +80,7 @@ def cells_json_typed(spark, d):
     """SELECT o_orderkey, printf('%016X', o_orderkey) AS key_hex, printf('%016X', epoch_ms(o_orderdate)) AS date_hex,
               -1 - o_orderkey AS negative, o_totalprice AS price, o_orderstatus AS status,
               (o_custkey - 500)::INTEGER AS small, o_custkey > 500 AS flag,
-              epoch_ms(o_orderdate) AS date_ms, o_totalprice::FLOAT::DOUBLE AS price_float
+              epoch_ms(o_orderdate) AS date_ms, o_totalprice::FLOAT::DOUBLE AS price_float, o_custkey % 7 = 0 AS not_a_number
        FROM orders""",
 )
 def cells_codec(spark, d):
@@ -96,6 +101,7 @@ def cells_codec(spark, d):
         through(F.col("o_custkey") > 500, "boolean").alias("flag"),
         F.unix_millis(through(when, "timestamp")).alias("date_ms"),
         through(F.col("o_totalprice").cast("float"), "float").cast("double").alias("price_float"),
+        F.isnan(through(F.when(F.col("o_custkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")), "double")).alias("not_a_number"),
     )
 
 
@@ -149,7 +155,7 @@ def cells_bulk_load(spark, d):
 def cells_key_lookup(spark, d):
     """Customer rows of large orders: one row per order, none for unknown keys."""
     keys = table(spark, d, "orders").filter("o_totalprice > 300000").select("o_custkey")
-    return C.typed_scan(customer_cells(spark, d), CUSTOMER_COLUMNS, keys=keys)
+    return C.typed_scan(stored(spark, customer_cells(spark, d), S.bulk_load), CUSTOMER_COLUMNS, keys=keys)
 
 
 @query(
@@ -167,7 +173,7 @@ def cells_copy(spark, d):
 
 @query("cells_row_count", "SELECT count(*) AS n_rows, 4 * count(*) AS n_cells FROM customer")
 def cells_row_count(spark, d):
-    return C.row_count(customer_cells(spark, d))
+    return C.row_count(stored(spark, customer_cells(spark, d)))
 
 
 @query(
@@ -176,7 +182,7 @@ def cells_row_count(spark, d):
 )
 def cells_render(spark, d):
     wanted = [c for c in CUSTOMER_COLUMNS if c.field in ("c_custkey", "c_name", "c_mktsegment")]
-    rows = C.typed_scan(customer_cells(spark, d), wanted)
+    rows = C.typed_scan(stored(spark, customer_cells(spark, d)), wanted)
     return rows.select(F.format_string("row %s: %s, %s", "c_custkey", "c_name", "c_mktsegment").alias("line"))
 
 

@@ -11,7 +11,7 @@ from weftline.session import scratch_path
 from weftline.sources.tables import listed, table
 from weftline.sources.topics import decode_topic
 from weftline.streaming import counts as C
-from weftline.streaming.runner import run_append, run_complete, stream_lines, stream_table
+from weftline.streaming.runner import run_append, run_complete, staged_in_order, stream_lines, stream_table
 
 # Totals that exist before the first batch.
 SEED = [("hello", 1), ("world", 1)]
@@ -102,8 +102,10 @@ def stream_window_words(spark, d):
     ),
 )
 def stream_watermark_append(spark, d):
-    """Only windows that the watermark has closed are written, each once."""
-    events = stream_table(spark, d, "events")
+    """Only windows that the watermark has closed are written, each once; events arrive in order of time, file by file."""
+    rows = table(spark, d, "events").select("ts", "event_type").withColumn("ts", F.col("ts").cast("timestamp"))
+    folder = staged_in_order(rows, "ts", rows_per_file=25_000)
+    events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     counted = C.windowed_counts(events, "ts", "5 minutes", None, "event_type", watermark="10 minutes")
     return run_append(counted, stream_out(spark))
 

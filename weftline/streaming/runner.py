@@ -25,6 +25,27 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
     return reader.parquet(f"{folder}/{name}.[p]arquet")
 
 
+def staged_in_order(df: DataFrame, time: str, rows_per_file: int = 1_000_000) -> str:
+    """Folder with one file for each range of ``time``, written one after the other.
+
+    A stream over it meets no row that is older than a file it has read, so the
+    watermark drops the same rows however many files make a batch.
+    """
+    spark = df.sparkSession
+    folder = scratch_path(spark, "ordered")
+    files = max(1, -(-df.count() // rows_per_file))
+    cuts = []
+    if files > 1:
+        shares = F.array(*[F.lit(i / files) for i in range(1, files)])
+        cuts = df.agg(F.percentile_approx(time, shares, 10_000)).first()[0]
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = df if low is None else df.filter(F.col(time) >= F.lit(low))
+        part = part if high is None else part.filter(F.col(time) < F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
 def stream_lines(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """Lines of the text files that appear in a folder, with the folder's file time."""
     lines = spark.readStream.option("lineSep", "\n").options(**options).text(folder)
