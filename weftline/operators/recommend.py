@@ -102,6 +102,32 @@ def distances(stats: DataFrame) -> DataFrame:
     )
 
 
+def similar(
+    ratings: DataFrame, targets: DataFrame, measure: str, k: int, member: str = "item", by: str = "user",
+    virtual_count: float = 10.0, prior: float = 0.0,
+) -> DataFrame:
+    """``(target, member, similarity)``: the ``k`` members most similar to each target by a measure of :func:`similarities`.
+
+    Candidates are all members that share a rater with the target; without one
+    there is no similarity.  Only target rows are matched with the table, and
+    sums combine per task.  Ties go to the lower id.
+    """
+    named = targets.select(F.col(targets.columns[0]).alias(member)).distinct()
+    mine = ratings.join(named, member, "left_semi").select(F.col(member).alias("a"), by, F.col("rating").alias("ra"))
+    other = ratings.select(F.col(member).alias("b"), by, F.col("rating").alias("rb"))
+    sums = mine.join(other, by).filter("a <> b").groupBy("a", "b").agg(
+        F.count("*").alias("n_both"),
+        *[F.sum(F.expr(text)).alias(name) for name, text in (
+            ("dot", "ra * rb"), ("sum_a", "ra"), ("sum_b", "rb"), ("sq_a", "ra * ra"), ("sq_b", "rb * rb"))],
+    )
+    totals = ratings.groupBy(member).agg(F.count("*").alias("n"), F.sum(F.col("rating") * F.col("rating")).alias("sq"))
+    for side in ("a", "b"):
+        sums = sums.join(totals.select(F.col(member).alias(side), F.col("n").alias(f"n_{side}"), F.col("sq").alias(f"norm_sq_{side}")), side)
+    found = similarities(sums, virtual_count, prior).select(
+        F.col("a").alias("target"), F.col("b").alias(member), F.col(measure).alias("similarity")).filter("similarity IS NOT NULL")
+    return top_per_key(found, "target", [F.desc("similarity"), F.col(member)], k)
+
+
 def dot_products(ratings: DataFrame, targets: DataFrame, member: str, by: str) -> DataFrame:
     """``(target, member, dot)`` for all members that share a rater with a target.
 

@@ -48,12 +48,12 @@ def parse_catalog(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def parse_alias(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``bad <tab> good`` id pairs; lines with an empty or bad field are dropped."""
+def parse_alias(lines: DataFrame, column: str = "value", *keep: str) -> DataFrame:
+    """``bad <tab> good`` id pairs, with the columns to keep; lines with an empty or bad field are dropped."""
     fields = F.split(F.col(column), "\t")
     return lines.select(
         strict_int(F.get(fields, F.lit(0))).alias("bad"),
-        strict_int(F.get(fields, F.lit(1))).alias("good"),
+        strict_int(F.get(fields, F.lit(1))).alias("good"), *keep,
     ).filter("bad IS NOT NULL AND good IS NOT NULL")
 
 

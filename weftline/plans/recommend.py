@@ -12,9 +12,10 @@ from weftline.sources.tables import table
 RATINGS_SQL = """ratings AS MATERIALIZED (
   SELECT o_custkey AS user, l_partkey AS item, sum(l_quantity) AS rating
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL)"""
-# The report is about the customers that ordered most.
-TARGETS_SQL = """targets AS MATERIALIZED (
-  SELECT user AS target FROM ratings GROUP BY user ORDER BY sum(rating) DESC, user LIMIT 20)"""
+# The report is about the customers, or parts, that were ordered most by or of.
+N_TARGETS = 20
+TARGETS_SQL = f"""targets AS MATERIALIZED (
+  SELECT user AS target FROM ratings GROUP BY user ORDER BY sum(rating) DESC, user LIMIT {N_TARGETS})"""
 
 
 def pairs_sql(group, member):
@@ -55,7 +56,7 @@ def ratings_of(spark, d):
 
 def targets_of(ratings):
     total = ratings.groupBy("user").agg(F.sum("rating").alias("total"))
-    return total.orderBy(F.desc("total"), "user").limit(20).select("user")
+    return total.orderBy(F.desc("total"), "user").limit(N_TARGETS).select("user")
 
 
 @query(
@@ -115,6 +116,27 @@ def item_distance(spark, d):
     return found.withColumn("distance", F.round("distance", 6))
 
 
+@query(
+    "item_similar_top",
+    f"""WITH {RATINGS_SQL},
+        wanted AS (SELECT item AS a FROM ratings GROUP BY item ORDER BY sum(rating) DESC, item LIMIT {N_TARGETS}),
+        norms AS MATERIALIZED (SELECT item, sum(rating * rating) AS sq FROM ratings GROUP BY item),
+        dots AS MATERIALIZED (
+          SELECT x.item AS a, y.item AS b, sum(x.rating * y.rating) AS dot
+          FROM ratings x JOIN wanted w ON w.a = x.item JOIN ratings y ON y.user = x.user AND y.item <> x.item GROUP BY ALL),
+        measured AS (SELECT a, b, dot / (sqrt(p.sq) * sqrt(q.sq)) AS s FROM dots JOIN norms p ON p.item = a JOIN norms q ON q.item = b)
+        SELECT a AS target, b AS item, round(s, 6) AS similarity FROM (
+          SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS r FROM measured) WHERE r <= 5""",
+)
+def item_similar_top(spark, d):
+    """The five parts most like each of the parts that were ordered most, by cosine."""
+    ratings = ratings_of(spark, d)
+    total = ratings.groupBy("item").agg(F.sum("rating").alias("total"))
+    wanted = total.orderBy(F.desc("total"), "item").limit(N_TARGETS).select("item")
+    found = R.similar(ratings, wanted, "cosine", 5)
+    return found.select("target", "item", F.round("similarity", 6).alias("similarity"))
+
+
 NEAR_SQL = """norms AS MATERIALIZED (SELECT user, sum(rating * rating) AS q FROM ratings GROUP BY user),
   dots AS MATERIALIZED (SELECT t.user AS target, r.user, sum(t.rating * r.rating) AS dot
     FROM ratings t JOIN targets ON target = t.user JOIN ratings r ON r.item = t.item GROUP BY ALL),

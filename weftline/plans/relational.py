@@ -318,3 +318,32 @@ def distinct_items(spark, d):
         F.col("l_suppkey").alias("user_id"), F.col("l_partkey").alias("item_id")
     )
     return pairs.distinct()
+
+
+@query(
+    "clean_plays",
+    """WITH alias_lines AS (
+          SELECT p_partkey AS seq, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE (p_partkey % 50 + 1)::VARCHAR END AS bad,
+                 CASE WHEN p_partkey % 13 = 0 THEN 'none' ELSE (p_partkey % 7 + 1)::VARCHAR END AS good FROM part),
+        alias AS (
+          SELECT bad::BIGINT AS bad, arg_max(good::BIGINT, seq) AS good FROM alias_lines
+          WHERE bad <> '' AND good <> 'none' GROUP BY 1),
+        catalog AS (SELECT p_partkey AS id, p_name AS name FROM part WHERE p_partkey % 17 <> 0)
+        SELECT item_id, name, sum(l_quantity)::BIGINT AS plays FROM (
+          SELECT coalesce(good, l_partkey) AS item_id, l_quantity FROM lineitem LEFT JOIN alias ON bad = l_partkey)
+        LEFT JOIN catalog ON id = item_id GROUP BY ALL""",
+)
+def clean_plays(spark, d):
+    """Plays by canonical id: catalog and alias lines parsed, bad lines dropped, the last alias of an id wins."""
+    part, key = table(spark, d, "part"), F.col("p_partkey")
+    bad = F.when(key % 11 == 0, "").otherwise((key % 50 + 1).cast("string"))
+    good = F.when(key % 13 == 0, "none").otherwise((key % 7 + 1).cast("string"))
+    lines = part.select(key.alias("seq"), F.concat(bad, F.lit("\t"), good).alias("value"))
+    alias = R.last_per_key(R.parse_alias(lines, "value", "seq"), "bad", "good", "seq")
+    head = F.when(key % 17 == 0, "unknown").otherwise(key.cast("string"))
+    catalog = R.parse_catalog(part.select(F.concat(head, F.lit("\t"), "p_name").alias("value")))
+    plays = table(spark, d, "lineitem").select(F.col("l_partkey").alias("item_id"), "l_quantity")
+    mapped = R.canonical_ids(plays, "item_id", alias.select(F.col("bad").cast("bigint").alias("bad"), F.col("good").cast("bigint").alias("good")))
+    sums = mapped.groupBy("item_id").agg(F.sum("l_quantity").cast("bigint").alias("plays"))
+    named = catalog.select(F.col("id").cast("bigint").alias("item_id"), "name")
+    return sums.join(named, "item_id", "left").select("item_id", "name", "plays")
