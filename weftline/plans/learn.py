@@ -54,3 +54,27 @@ def tokenize_hash_tf(spark, d):
     terms = L.hashed_terms(widened(table(spark, d, "documents").select("doc_id", "text")))
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x)
     return terms.select("doc_id", F.size("words").cast("bigint").alias("n_tokens"), total.alias("tf_total"))
+
+
+def prediction_form(scored, key, threshold):
+    """Per row: how often it was scored, whether its probability is one, and whether the prediction follows from it."""
+    p = F.col("p1")
+    agrees = F.col("prediction") == (p > threshold).cast("double")
+    return scored.groupBy(key).agg(
+        F.count("*").alias("n_scored"), F.every((p >= 0) & (p <= 1)).alias("is_probability"),
+        # A probability at the threshold, as far as it is printed, may go either way.
+        F.every(agrees | (F.abs(p - threshold) < 1e-6)).alias("agrees"))
+
+
+@query("text_classifier_form", "SELECT doc_id, count(*) AS n_scored, true AS is_probability, true AS agrees FROM documents GROUP BY doc_id")
+def text_classifier_form(spark, d):
+    return prediction_form(text_classifier_predict(spark, d), "doc_id", 0.5)
+
+
+@query(
+    "logreg_form",
+    """SELECT o_orderkey, 1::BIGINT AS n_scored, true AS is_probability, true AS agrees
+       FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+)
+def logreg_form(spark, d):
+    return prediction_form(logreg_predict(spark, d), "o_orderkey", 0.55)

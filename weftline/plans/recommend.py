@@ -214,3 +214,19 @@ def als_recommend(spark, d):
     best = R.recommend(R.fit_implicit(ratings), targets_of(ratings), 5)
     names = table(spark, d, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("name"))
     return best.join(names, "item").select("user", "item", "name", F.round("score", 4).alias("score"))
+
+
+@query(
+    "als_recommend_form",
+    f"""WITH {RATINGS_SQL}, {TARGETS_SQL}
+        SELECT target AS user, 5::BIGINT AS n_items, true AS named, true AS different, true AS scored FROM targets""",
+)
+def als_recommend_form(spark, d):
+    """What holds for the recommendations whatever the factors are: five different, named and scored parts for every customer asked for."""
+    found = staged(als_recommend(spark, d), "lists")
+    lists = found.groupBy("user").agg(
+        F.count("*").alias("n_items"), F.count("name").alias("n_named"), F.count_distinct("item").alias("n_different"),
+        F.count_if(F.isnan("score") | F.col("score").isNull()).alias("n_bad"))
+    n = F.col("n_items")
+    return lists.select(
+        "user", "n_items", (F.col("n_named") == n).alias("named"), (F.col("n_different") == n).alias("different"), (F.col("n_bad") == 0).alias("scored"))
