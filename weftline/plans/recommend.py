@@ -229,4 +229,4 @@ def als_recommend_form(spark, d):
         F.count_if(F.isnan("score") | F.col("score").isNull()).alias("n_bad"))
     n = F.col("n_items")
     return lists.select(
-        "user", "n_items", (F.col("n_named") == n).alias("named"), (F.col("n_different") == n).alias("different"), (F.col("n_bad") == 0).alias("scored"))
+        F.col("user").cast("bigint").alias("user"), "n_items", (F.col("n_named") == n).alias("named"), (F.col("n_different") == n).alias("different"), (F.col("n_bad") == 0).alias("scored"))
