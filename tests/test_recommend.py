@@ -132,6 +132,30 @@ def test_user_cf_matches_brute_force(stars, everyone, small):
         assert got.get(t, {}) == want, t
 
 
+@pytest.mark.parametrize("measure", ["cosine", "jaccard", "correlation"])
+def test_most_similar_items_match_brute_force(spark, stars, small, measure):
+    items = sorted({i for _, i in small})
+    by_item = {i: {u: r for (u, j), r in small.items() if j == i} for i in items}
+
+    def value(a, b):
+        both = sorted(by_item[a].keys() & by_item[b].keys())
+        x, y = [by_item[a][u] for u in both], [by_item[b][u] for u in both]
+        if measure == "jaccard":
+            return len(both) / len(by_item[a].keys() | by_item[b].keys())
+        if measure == "cosine":
+            return sum(p * q for p, q in zip(x, y)) / math.sqrt(sum(r * r for r in by_item[a].values()) * sum(r * r for r in by_item[b].values()))
+        n = len(both)
+        spread = math.sqrt(n * sum(p * p for p in x) - sum(x) ** 2) * math.sqrt(n * sum(q * q for q in y) - sum(y) ** 2)
+        return (n * sum(p * q for p, q in zip(x, y)) - sum(x) * sum(y)) / spread if spread else None
+
+    got = {}
+    for r in R.similar(stars, spark.createDataFrame([(i,) for i in items], "item bigint"), measure, 3).collect():
+        got.setdefault(r.target, []).append(round(r.similarity, 9))
+    for a in items:
+        want = [value(a, b) for b in items if b != a and by_item[a].keys() & by_item[b].keys()]
+        assert sorted(got.get(a, []), reverse=True) == sorted((round(v, 9) for v in want if v is not None), reverse=True)[:3], a
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_twins_are_at_distance_zero(spark, partitions):
     """Equal users with fractional ratings, whatever the order of the sums."""

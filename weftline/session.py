@@ -62,11 +62,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/weftline-{label}-{uuid.uuid4().hex}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the shared folder's file system drop a scratch folder when the program ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and truncates the plan."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoint"))
+        remove_at_exit(df.sparkSession, context.getCheckpointDir())
     return df.checkpoint(eager=True)
 
 
@@ -78,6 +85,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
