@@ -202,3 +202,78 @@ def stream_first_rows(spark, d):
     previews = C.first_rows_per_batch(counted, stream_out(spark), F.desc("n"), "word")
     last = previews.agg(F.max("batch_id")).first()[0]
     return previews.filter(F.col("batch_id") == last).select("word", "n")
+
+
+N_BATCHES = 4
+BATCH_SQL = f"SELECT (event_id % {N_BATCHES})::INTEGER AS batch_id, event_type FROM events"
+BATCH_COUNTS_SQL = f"SELECT batch_id, event_type, count(*) AS n FROM ({BATCH_SQL}) GROUP BY ALL"
+
+
+def in_batches(spark, d):
+    """Events as a stream of several batches: each comes as one file, written after the one before."""
+    folder = scratch_path(spark, "batches")
+    rows = table(spark, d, "events").select("event_id", "event_type")
+    for batch in range(N_BATCHES):
+        rows.filter(F.col("event_id") % N_BATCHES == batch).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query("stream_batches", BATCH_COUNTS_SQL)
+def stream_batches(spark, d):
+    """Every batch counted on its own."""
+    return C.counts_per_batch(in_batches(spark, d), stream_out(spark), "event_type")
+
+
+@query(
+    "stream_batches_sql",
+    f"SELECT batch_id, event_type, count(*) AS n, max(event_id) AS last_id FROM (SELECT *, (event_id % {N_BATCHES})::INTEGER AS batch_id FROM events) GROUP BY ALL",
+)
+def stream_batches_sql(spark, d):
+    """Every batch summed up by SQL text over its view."""
+    sql = "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM batch GROUP BY event_type"
+    return C.counts_per_batch(in_batches(spark, d), stream_out(spark), sql=sql)
+
+
+@query(
+    "stream_batches_listed",
+    f"""SELECT batch_id, event_type, n, event_type IN (SELECT min(event_type) FROM events) AS dropped FROM ({BATCH_COUNTS_SQL})""",
+)
+def stream_batches_listed(spark, d):
+    """Counts of every batch, with a flag on the kinds that a list names."""
+    first = table(spark, d, "events").agg(F.min("event_type").alias("event_type"))
+    return C.unlisted_counts_per_batch(in_batches(spark, d), first, stream_out(spark), "event_type")
+
+
+@query(
+    "stream_batches_log",
+    f"SELECT batch_id, sum(n)::BIGINT AS n_words, count(*) AS n_distinct FROM ({BATCH_COUNTS_SQL}) GROUP BY batch_id",
+)
+def stream_batches_log(spark, d):
+    """One line of totals for every batch."""
+    words = in_batches(spark, d).select(F.col("event_type").alias("word"))
+    return C.log_batches(words, stream_out(spark))
+
+
+RUNNING_SQL = f"""SELECT b AS batch_id, event_type, sum(n)::BIGINT AS n FROM ({BATCH_COUNTS_SQL}) JOIN range({N_BATCHES}) r(b) ON batch_id <= b GROUP BY ALL"""
+
+
+@query(
+    "stream_running_first",
+    f"""SELECT batch_id::INTEGER AS batch_id, event_type, n FROM (
+          SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY n DESC, event_type) AS r FROM ({RUNNING_SQL})) WHERE r <= 3""",
+)
+def stream_running_first(spark, d):
+    """The three kinds with most events since the start, as they stand after every batch."""
+    counted = C.running_counts(in_batches(spark, d), "event_type")
+    return C.first_rows_per_batch(counted, stream_out(spark), F.desc("n"), "event_type", n=3)
+
+
+@query(
+    "stream_update_state",
+    f"SELECT batch_id, event_type, max(n) OVER (PARTITION BY event_type ORDER BY batch_id) AS total FROM ({BATCH_COUNTS_SQL})",
+)
+def stream_update_state(spark, d):
+    """State that a function changes: the largest number of events that a kind had in one batch so far."""
+    ones = in_batches(spark, d).select("event_type", F.lit(1).cast("bigint").alias("n"))
+    updates = C.update_by_key(ones, "event_type", "n", lambda added, old: max(added, old or 0))
+    return C.updates_per_batch(updates, stream_out(spark))

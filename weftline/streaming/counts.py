@@ -116,6 +116,11 @@ def update_by_key(
     )
 
 
+def updates_per_batch(updates: DataFrame, out: str, checkpoint: str | None = None) -> DataFrame:
+    """What every batch has changed, with its ``batch_id``; for results of update output."""
+    return _per_batch(updates, lambda frame: frame, out, checkpoint, "update")
+
+
 def windowed_counts(
     stream: DataFrame, time: str, size: str, slide: str | None, *keys: str, watermark: str | None = None
 ) -> DataFrame:
