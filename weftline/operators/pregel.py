@@ -30,6 +30,9 @@ def pregel(
     fields: str = "src",
     max_rounds: int | None = None,
     rows_per_split: int = 1_000_000,
+    initial: dict[str, Column] | None = None,
+    active: str = "src",
+    to: str = "dst",
 ) -> DataFrame:
     """Run a vertex program from the state in ``vertices`` (unique ``id``).
 
@@ -40,9 +43,17 @@ def pregel(
     columns, expressions over its old state and ``msg``, and is active in the
     next round if ``stays_active`` holds, by default always.
 
+    ``initial`` changes the state of every vertex before the first round, as
+    a message to all would.  ``active`` tells which end of an edge must be
+    active for it to carry a message: ``src``, ``dst``, ``either`` or
+    ``both``.  Messages go ``to`` the ``dst`` or the ``src`` end.
     """
+    if active not in ("src", "dst", "either", "both") or to not in ("src", "dst"):
+        raise ValueError("active is one of src, dst, either, both, and to is src or dst")
+    start = vertices if initial is None else vertices.select(
+        *[initial[c].alias(c) if c in initial else F.col(c) for c in vertices.columns])
     placed, sources = layout(edges, rows_per_split)
-    return run_rounds(vertices, placed, sources, message, merge, update, when, stays_active, fields, max_rounds)
+    return run_rounds(start, placed, sources, message, merge, update, when, stays_active, fields, max_rounds, active, to)
 
 
 def run_rounds(
@@ -56,6 +67,8 @@ def run_rounds(
     stays_active: Column | None = None,
     fields: str = "src",
     max_rounds: int | None = None,
+    active: str = "src",
+    to: str = "dst",
 ) -> DataFrame:
     """The rounds of :func:`pregel` over edges laid out beforehand; releases them.
 
@@ -63,6 +76,7 @@ def run_rounds(
     makes the loop survive lost executors; the driver sees one row per round.
     """
     attributes = [c for c in vertices.columns if c != "id"]
+    ends_on = {"dst": F.col("dst_on"), "either": F.col("src_on") | F.col("dst_on"), "both": F.col("src_on") & F.col("dst_on")}
     try:
         state = cut_lineage(
             vertices.join(sources, "id", "left").select(
@@ -71,16 +85,25 @@ def run_rounds(
         )
         rounds = 0
         while max_rounds is None or rounds < max_rounds:
-            talking = state.filter("active AND splits IS NOT NULL")
-            if talking.isEmpty():
-                break
+            if active == "src":
+                talking = state.filter("active AND splits IS NOT NULL")
+                if talking.isEmpty():
+                    break
+            else:
+                # Any source may be asked for its edges, so its state goes along with whether it is active.
+                if state.filter("active").isEmpty():
+                    break
+                talking = state.filter("splits IS NOT NULL").withColumn("on", F.col("active"))
             view = placed.join(senders(talking), ["src", "split"])
-            if fields == "both":
-                ends = state.select(F.col("id").alias("dst"), *[F.col(c).alias(f"dst_{c}") for c in attributes])
+            if fields == "both" or active != "src":
+                ends = state.select(
+                    F.col("id").alias("dst"), F.col("active").alias("dst_on"), *[F.col(c).alias(f"dst_{c}") for c in attributes])
                 view = view.join(ends, "dst")
+            if active != "src":
+                view = view.filter(ends_on[active])
             if when is not None:
                 view = view.filter(when)
-            inbox = view.select(F.col("dst").alias("id"), message.alias("msg")).groupBy("id").agg(merge.alias("msg"))
+            inbox = view.select(F.col(to).alias("id"), message.alias("msg")).groupBy("id").agg(merge.alias("msg"))
             got = F.col("msg").isNotNull()
             again = got if stays_active is None else got & stays_active
             state = cut_lineage(

@@ -203,6 +203,29 @@ def sssp(spark, d):
     return P.shortest_paths(vertices, edges, source=5)
 
 
+def reach_sql(rounds):
+    """Largest id that a vertex reaches, by ``rounds`` rounds over all edges."""
+    steps = ["p0 AS MATERIALIZED (SELECT id, id AS high FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges))"]
+    for k in range(1, rounds + 1):
+        steps.append(
+            f"""p{k} AS MATERIALIZED (SELECT id, max(high) AS high FROM (
+                  SELECT id, high FROM p{k - 1} UNION ALL
+                  SELECT e.src, p.high FROM p{k - 1} p JOIN edges e ON e.dst = p.id) GROUP BY id)"""
+        )
+    return f"WITH {EDGES_SQL}, {', '.join(steps)} SELECT id, high FROM p{rounds}"
+
+
+@query("pregel_generic", reach_sql(20))
+def pregel_generic(spark, d):
+    """Largest id within reach: an initial message, messages against the edges, and active receivers only."""
+    edges = edges_of(spark, d).select("src", "dst").distinct()
+    start = G.edge_ids(edges).withColumn("high", F.lit(-1).cast("bigint"))
+    return P.pregel(
+        start, edges, message=F.col("dst_high"), merge=F.max("msg"), update={"high": F.greatest("high", "msg")},
+        when=F.col("dst_high") > F.col("src_high"), fields="both", initial={"high": F.col("id")}, active="dst", to="src",
+    )
+
+
 RANK_SQL = f"""WITH {EDGES_SQL},
   links AS MATERIALIZED (SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst),
   outs AS MATERIALIZED (SELECT src, count(*) AS out_deg FROM edges GROUP BY src),
