@@ -6,8 +6,8 @@ most central member, the one that meets most others in all of its buckets, is
 compared with the rest.  That joins a group of near copies at about one
 comparison a member.  Where a bucket still holds several components, members
 are dropped that share too few of their shingles with any other to have a
-link, and in rounds a few of the others are compared with those that are not
-in their component, and leave the bucket; it is done when one component is
+link, and in rounds some of the others are compared with those that are not in
+their component, and leave the bucket; it is done when one component is
 left.  So every link that matters for the components is looked at.
 """
 
@@ -30,8 +30,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 # A pair at 80 % shares no band once in 300,000 times, one at 85 % once in 50 million.
 BANDS, BAND_ROWS = 24, 4
 HASHES = BANDS * BAND_ROWS
-# Members of a bucket that are compared with the others in a round.
-PIVOTS = 32
+# Members of a bucket that are compared with the others in the first such round, and how they grow from round to round.
+PIVOTS, GROWTH = 32, 4
 # A signature may miss the similarity by so many standard deviations before a pair is let go.
 DEVIATIONS = 5.0
 
@@ -210,18 +210,18 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     sized = similar_sizes("hub_n", "n", percent)
     pairs = staged(met.where(sized).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "pairs")
     groups = components(confirmed(pairs, known, sets, percent))
-    members = met.select("key", "id", "weight", "n")
+    members, pivots = met.select("key", "id", "weight", "n"), PIVOTS
     while True:
         state = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
         opened = staged(open_buckets(state), "open-buckets")
-        reachable = opened.join(out_of_reach(opened, sets, percent), "id", "left_anti").drop("main")
-        pairs, members = candidate_pairs(staged(open_buckets(reachable), "open-buckets"), PIVOTS, percent)
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
+        if opened.isEmpty():
             break
-        links = confirmed(pairs, known, sets, percent)
-        groups = components(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-        members = staged(members, "buckets")
+        reachable = opened.join(out_of_reach(opened, sets, percent), "id", "left_anti").drop("main")
+        pairs, left = candidate_pairs(staged(open_buckets(reachable), "open-buckets"), pivots, percent)
+        links = staged(confirmed(staged(pairs, "pairs"), known, sets, percent), "links")
+        members, pivots = staged(left, "buckets"), pivots * GROWTH
+        if not links.isEmpty():
+            groups = components(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     rows = signed.select("doc_id", "n_shingles", "f1", "f2").join(classes.select("f1", "f2", "id"), ["f1", "f2"], "left")
     rows = rows.join(groups, "id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
