@@ -1,14 +1,13 @@
 """Near-duplicates by MinHash: many universal hash minima, bands, verification, components.
 
 Documents with equal shingle sets are one class from the start.  Classes that
-share a band meet in its bucket.  A bucket is never paired up whole: first its
-most central member, the one that meets most others in all of its buckets, is
-compared with the rest.  That joins a group of near copies at about one
-comparison a member.  Where a bucket still holds several components, members
-are dropped that share too few of their shingles with any other to have a
-link, and in rounds some of the others are compared with those that are not in
-their component, and leave the bucket; it is done when one component is
-left.  So every link that matters for the components is looked at.
+share a band meet in its bucket.  A bucket is never paired up whole: its most
+central member, the one that meets most others in all of its buckets, is
+compared with the rest, which joins a group of near copies at about one
+comparison a member.  Members of buckets that still hold several components
+are then matched by their rarest shingles: similar sets share one of them, and
+only pairs in different components are made.  So every link that matters for
+the components is looked at.
 """
 
 from __future__ import annotations
@@ -30,8 +29,6 @@ SHINGLE_WORDS, PERCENT = 5, 80
 # A pair at 80 % shares no band once in 300,000 times, one at 85 % once in 50 million.
 BANDS, BAND_ROWS = 24, 4
 HASHES = BANDS * BAND_ROWS
-# Members of a bucket that are compared with the others in the first such round, and how they grow from round to round.
-PIVOTS, GROWTH = 32, 4
 # A signature may miss the similarity by so many standard deviations before a pair is let go.
 DEVIATIONS = 5.0
 
@@ -125,51 +122,56 @@ def similar_sizes(a: str, b: str, percent: int) -> Column:
 
 
 def open_buckets(state: DataFrame) -> DataFrame:
-    """Rows of ``state`` (key, id, weight, n, component) in buckets of several components, with the largest as ``main``."""
+    """Rows of ``state`` (key, component, ...) under keys with several components, with the largest as ``main``."""
     sizes = state.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
     still = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("members", "component"))["component"].alias("main")).where(
         F.col("parts") > 1).select("key", "main")
     return state.join(still, "key")
 
 
-def candidate_pairs(opened: DataFrame, pivots: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of this round and the members (key, id, weight, n) that stay.
-
-    In each bucket the first ``pivots`` members that are not in its largest
-    component meet all members of other components, but for those whose sets
-    are too large or too small to be similar.
-    """
-    rest = opened.where(F.col("component") != F.col("main"))
-    place = F.row_number().over(W.partitionBy("key").orderBy(F.desc("weight"), "id"))
-    chosen = rest.withColumn("place", place).where(F.col("place") <= pivots).select(
-        "key", F.col("id").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc"))
-    sized = similar_sizes("pn", "n", percent)
-    pairs = chosen.join(opened, "key").where((F.col("pc") != F.col("component")) & sized).select(
-        F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
-    left = opened.join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti").select("key", "id", "weight", "n")
-    return pairs, left
-
-
 def shingle_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(part.column("id").to_numpy(), [len(x) for x in sets])), pa.array(np.concatenate(sets))], ["id", "shingle"])
+                [pa.array(np.repeat(part.column("id").to_numpy(), [len(x) for x in sets])), pa.array(np.concatenate(sets))], ["id", "key"])
 
 
-def out_of_reach(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Ids of members of open buckets that no other such member can be similar to.
+def rare_first(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id, n, component, place, short): the rarest shingles of each member of an open bucket.
 
-    A partner has at least ``percent`` of a member's shingles, so a member with
-    more shingles than the remainder that no other member has is out.
+    Of two similar sets the larger has one of its ``n - percent n / 100 + 1``
+    rarest shingles in common with the other's, and the smaller one of its
+    first ``short``: with more of them missing too few would be left.
+    """
+    ids = opened.select("id", "n", "component").distinct()
+    each = sets.join(ids.select("id"), "id", "left_semi").mapInArrow(shingle_batches, "id long, key long")
+    seen = each.withColumn("seen", F.count(F.lit(1)).over(W.partitionBy("key"))).where(F.col("seen") > 1)
+    # Those that nobody else has come first and only take up places.
+    alone = F.col("n") - F.count(F.lit(1)).over(W.partitionBy("id"))
+    place = F.row_number().over(W.partitionBy("id").orderBy("seen", "key"))
+    n = F.col("n")
+    ranked = seen.join(ids, "id").withColumn("place", place + F.coalesce(alone, F.lit(0)))
+    return ranked.where(n.isNull() | (F.col("place") <= n - F.ceil(n * percent / 100) + 1)).select(
+        "key", "id", "n", "component", "place", (n - F.ceil(n * (2 * percent) / (100 + percent)) + 1).alias("short"))
+
+
+def cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members in different components that share one of their rarest shingles.
+
+    Under each shingle those outside the largest component meet the others, so
+    a shingle that a whole group has makes no pairs within the group.
     """
-    ids = opened.select("id", "n").distinct()
-    each = sets.join(ids.select("id"), "id", "left_semi").mapInArrow(shingle_batches, "id long, shingle long")
-    own = each.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).where(F.col("id") == F.col("other"))
-    return own.groupBy("id").agg(F.count(F.lit(1)).alias("own")).join(ids, "id").where(
-        100 * (F.col("n") - F.col("own")) < percent * F.col("n")).select("id")
+    opened = open_buckets(members)
+    rest = opened.where(F.col("component") != F.col("main")).select(
+        "key", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "component", "place", "short")])
+    smaller = (F.col("p_n") < F.col("n")) | ((F.col("p_n") == F.col("n")) & (F.col("p_id") < F.col("id")))
+    near_front = F.col("p_n").isNull() | F.col("n").isNull() | F.when(smaller, F.col("p_place") <= F.col("p_short")).otherwise(
+        F.col("place") <= F.col("short"))
+    return rest.join(opened, "key").where(
+        (F.col("p_component") != F.col("component")) & similar_sizes("p_n", "n", percent) & near_front).select(
+        F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -210,18 +212,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     sized = similar_sizes("hub_n", "n", percent)
     pairs = staged(met.where(sized).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "pairs")
     groups = components(confirmed(pairs, known, sets, percent))
-    members, pivots = met.select("key", "id", "weight", "n"), PIVOTS
-    while True:
-        state = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        opened = staged(open_buckets(state), "open-buckets")
-        if opened.isEmpty():
-            break
-        reachable = opened.join(out_of_reach(opened, sets, percent), "id", "left_anti").drop("main")
-        pairs, left = candidate_pairs(staged(open_buckets(reachable), "open-buckets"), pivots, percent)
-        links = staged(confirmed(staged(pairs, "pairs"), known, sets, percent), "links")
-        members, pivots = staged(left, "buckets"), pivots * GROWTH
-        if not links.isEmpty():
-            groups = components(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    # Buckets that still hold several components may hide links between them.
+    state = met.select("key", "id", "n").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    opened = staged(open_buckets(state), "open-buckets")
+    if not opened.isEmpty():
+        members = staged(rare_first(opened, sets, percent), "rare-shingles")
+        links = confirmed(staged(cross_pairs(members, percent), "pairs"), known, sets, percent)
+        groups = components(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     rows = signed.select("doc_id", "n_shingles", "f1", "f2").join(classes.select("f1", "f2", "id"), ["f1", "f2"], "left")
     rows = rows.join(groups, "id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
