@@ -167,8 +167,11 @@ def cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     rest = opened.where(F.col("component") != F.col("main")).select(
         "key", *[F.col(c).alias(f"p_{c}") for c in ("id", "n", "component", "place", "short")])
     smaller = (F.col("p_n") < F.col("n")) | ((F.col("p_n") == F.col("n")) & (F.col("p_id") < F.col("id")))
-    near_front = F.col("p_n").isNull() | F.col("n").isNull() | F.when(smaller, F.col("p_place") <= F.col("p_short")).otherwise(
-        F.col("place") <= F.col("short"))
+    # The first shingle that two sets share leaves each at most what comes after it.
+    room = 1 + F.least(F.col("p_n") - F.col("p_place"), F.col("n") - F.col("place"))
+    near_front = F.col("p_n").isNull() | F.col("n").isNull() | (
+        F.when(smaller, F.col("p_place") <= F.col("p_short")).otherwise(F.col("place") <= F.col("short"))
+        & ((100 + percent) * room >= percent * (F.col("p_n") + F.col("n"))))
     return rest.join(opened, "key").where(
         (F.col("p_component") != F.col("component")) & similar_sizes("p_n", "n", percent) & near_front).select(
         F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")).distinct()
@@ -203,7 +206,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     members = staged(members.select("key", "id", "n").join(weights, "id").select("key", "id", "weight", "n"), "buckets")
     needed = members.select("id").distinct()
     known = staged(classes.join(needed, "id", "left_semi").select("id", "signature"), "signatures-needed")
-    sets = staged(texts.join(needed.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(
+    # Joined in the same way at every size: the ids grow with the documents.
+    sets = staged(texts.join(needed.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi").mapInArrow(
         lambda x: set_batches(x, words), "id long, shingles binary").where(F.length("shingles") > 0).distinct(), "sets")
     # Every member but the most central one is compared with that one.
     central = F.max(F.struct("weight", -F.col("id"), "n"))
