@@ -107,6 +107,42 @@ def test_full_lists_are_counted_whole(spark):
     assert got == {key[0]: int(near[k].sum()) for k, key in enumerate(keys)}
 
 
+def audit_case(spark):
+    """A hot component of 150 counted whole, 40 pairs of which no link was found, and 60 vectors without a link."""
+    x = np.zeros((290, 101))
+    x[:150, 0] = 1
+    for p in range(40):
+        x[150 + 2 * p:152 + 2 * p, 1 + p] = 1
+    x[230:, 41:] = np.eye(60)
+    nodes = spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "id long, times long, unit binary")
+    links = spark.createDataFrame([(i, 149) for i in range(150)], "id long, n long")
+    groups = spark.createDataFrame([(i, 0) for i in range(150)], "id long, component long")
+    return nodes, links, groups
+
+
+def test_audit_sees_small_groups_beside_a_hot_one(spark):
+    assert nndescent.audited(*audit_case(spark), 0.9, 256) == 0
+
+
+def test_audit_samples_until_nodes_have_links(spark):
+    """Only one node in many has a link, and that link is missing."""
+    x = np.eye(200)
+    x[199] = x[198]
+    nodes = spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "id long, times long, unit binary")
+    none = spark.createDataFrame([], "id long, n long")
+    assert nndescent.sampled_recall(nodes, nodes, none, 0.9, 2) == 0
+    assert nndescent.sampled_recall(nodes.where("id < 198"), nodes, none, 0.9, 2) == 1
+
+
+def test_low_recall_is_an_error(spark, monkeypatch):
+    """The lists grow, and rows of an answer that stays below the target are not returned."""
+    monkeypatch.setattr(nndescent, "audited", lambda *_: 0.5)
+    monkeypatch.setattr(nndescent, "MAX_ROUNDS", 1)
+    few = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(6)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall 0.500"):
+        nndescent.near_duplicates(few)
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nndescent.near_duplicates(none).count() == 0

@@ -5,12 +5,15 @@ node compares its neighbours, and those that have it for a neighbour, with each
 other, and each keeps the best it has been told of.  Neighbours beyond the
 threshold are confirmed in double precision and give links and components.
 Where a node's list is full of links, its component is compared as a whole in
-tiles, which counts its links without writing pairs down.  A sample of nodes is
-held against all others to audit the recall; if it is low, lists are doubled.
+tiles, which counts its links without writing pairs down.  A sample of nodes
+that have links is held against all others to audit the recall, hot components
+apart; while it is low, projections, windows and lists are doubled, and if that
+does not help there is no answer but an error.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 from weftline.llm.components import components
 from weftline.session import staged
 
+log = logging.getLogger(__name__)
+
 THRESHOLD = 0.9
 NEIGHBOURS = 10
 # Projections the graph starts from, bits of their cells, and rows compared around each other.
@@ -31,7 +36,12 @@ MAX_ROUNDS, QUIET = 4, 0.002
 SLACK = 0.005
 # Neighbours of a node compared at a time, and rows of a tile.
 JOIN_ROWS, TILE_ROWS = 128, 512
-AUDIT_ROWS, AUDIT_RECALL = 256, 0.95
+# Sampled nodes at first and at most, of which so many should have a link; recall to reach.
+AUDIT_ROWS, AUDIT_MOST, AUDIT_LINKED, AUDIT_RECALL = 256, 16384, 64, 0.95
+# A component with more than this share of the nodes is audited apart from the others.
+HOT_SHARE = 0.01
+# Tables, windows and lists are doubled up to this factor while the recall is low.
+MOST_GROWN = 8
 EDGE = "id long, nbr long, sim float"
 
 
@@ -69,21 +79,21 @@ def packed_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa
              pa.array([r.tobytes() for r in full.astype(np.float16)], pa.binary())], ["id", "times", "unit", "half"])
 
 
-def cell_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def cell_batches(batches: Iterable[pa.RecordBatch], width: int, tables: int = TABLES, bits: int = BITS) -> Iterator[pa.RecordBatch]:
     """(part, cell, along, id, half): each node once for every projection table."""
     rng = np.random.default_rng(7)
-    planes = rng.normal(size=(TABLES, width, BITS + 1)).astype(np.float32)
+    planes = rng.normal(size=(tables, width, bits + 1)).astype(np.float32)
     for batch in batches:
         half = matrix(batch.column("half"), np.float16).astype(np.float32)
-        for table in range(TABLES if len(half) else 0):
+        for table in range(tables if len(half) else 0):
             at = half @ planes[table]
-            cell = ((at[:, :BITS] > 0) @ (1 << np.arange(BITS))).astype(np.int32)
+            cell = ((at[:, :bits] > 0) @ (1 << np.arange(bits))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(cell), table, np.int32)), pa.array(cell), pa.array(at[:, BITS]), batch.column("id"), batch.column("half")],
+                [pa.array(np.full(len(cell), table, np.int32)), pa.array(cell), pa.array(at[:, bits]), batch.column("id"), batch.column("half")],
                 ["part", "cell", "along", "id", "half"])
 
 
-def near_batches(batches: Iterable[pa.RecordBatch], keep: int, across: float | None) -> Iterator[pa.RecordBatch]:
+def near_batches(batches: Iterable[pa.RecordBatch], keep: int, across: float | None, near_rows: int = NEAR_ROWS) -> Iterator[pa.RecordBatch]:
     """Neighbours within runs of rows; each run reaches half into the one before.
 
     With ``across``, pairs of that similarity in different components instead.
@@ -91,10 +101,10 @@ def near_batches(batches: Iterable[pa.RecordBatch], keep: int, across: float | N
     names = ["id", "half"] + ["component"] * (across is not None)
     before = None
     for batch in batches:
-        for at in range(0, batch.num_rows, NEAR_ROWS):
-            part = batch.slice(at, NEAR_ROWS).select(names)
+        for at in range(0, batch.num_rows, near_rows):
+            part = batch.slice(at, near_rows).select(names)
             table = pa.Table.from_batches([part] if before is None else [before, part]).combine_chunks()
-            before = part.slice(max(0, part.num_rows - NEAR_ROWS // 2))
+            before = part.slice(max(0, part.num_rows - near_rows // 2))
             ids, x = table.column("id").to_numpy(), matrix(table.column("half"), np.float16).astype(np.float32)
             sims = x @ x.T
             sims[ids[:, None] == ids[None, :]] = -2
@@ -187,9 +197,9 @@ def kept_best(edges: DataFrame, keep: int) -> DataFrame:
     return best.withColumn("place", place).where(F.col("place") <= keep).select("id", "nbr", "sim")
 
 
-def cells(nodes: DataFrame, width: int) -> DataFrame:
+def cells(nodes: DataFrame, width: int, tables: int = TABLES, bits: int = BITS) -> DataFrame:
     """Nodes of each table in order of cell and place in it; ranges are cut by size, so no cell is too large for a task."""
-    dealt = nodes.mapInArrow(lambda x: cell_batches(x, width), "part int, cell int, along float, id long, half binary")
+    dealt = nodes.mapInArrow(lambda x: cell_batches(x, width, tables, bits), "part int, cell int, along float, id long, half binary")
     return dealt.repartitionByRange("part", "cell", "along").sortWithinPartitions("part", "cell", "along")
 
 
@@ -232,25 +242,48 @@ def tiled_links(members: DataFrame, threshold: float) -> DataFrame:
         lambda x: tile_batches(x, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def audited(nodes: DataFrame, links: DataFrame, threshold: float, rows: int) -> float:
-    """Share of the links of a sample of nodes that are in ``links`` (id, n); the sample meets all nodes."""
-    sample = nodes.select("id", "unit").orderBy(F.xxhash64("id", F.lit(5)), "id").limit(rows).collect()
-    if not sample:
-        return 1.0
-    ids, x = np.array([r["id"] for r in sample]), np.stack([np.frombuffer(r["unit"]) for r in sample])
+def sampled_recall(pool: DataFrame, nodes: DataFrame, links: DataFrame, threshold: float, rows: int) -> float | None:
+    """Mean share of the links of a node that are in ``links`` (id, n), over sampled nodes of ``pool`` that have one.
 
+    The sample grows from ``rows`` until ``AUDIT_LINKED`` of its nodes have a
+    link, it is the pool or it has ``AUDIT_MOST`` nodes; it meets all nodes.
+    1 if no node of the pool has a link, None if only the sample has none.
+    """
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(ids), np.int64)
         for batch in batches:
-            if batch.num_rows:
-                near = x @ matrix(batch.column("unit"), np.float64).T >= threshold
-                n += (near & (ids[:, None] != batch.column("id").to_numpy()[None, :])) @ batch.column("times").to_numpy()
+            for at in range(0, batch.num_rows, TILE_ROWS):
+                part = batch.slice(at, TILE_ROWS)
+                near = x @ matrix(part.column("unit"), np.float64).T >= threshold
+                n += (near & (ids[:, None] != part.column("id").to_numpy()[None, :])) @ part.column("times").to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "n"])
 
-    true = nodes.select("id", "times", "unit").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
-    total, found = true.join(links, "id", "left").agg(
-        F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return found / total if total else 1.0
+    while True:
+        sample = pool.select("id", "unit").orderBy(F.xxhash64("id", F.lit(5)), "id").limit(rows).collect()
+        if not sample:
+            return 1.0
+        ids, x = np.array([r["id"] for r in sample]), np.stack([np.frombuffer(r["unit"]) for r in sample])
+        true = nodes.select("id", "times", "unit").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
+        linked, recall = true.where(F.col("true") > 0).join(links, "id", "left").agg(
+            F.count(F.lit(1)), F.avg(F.least("true", F.coalesce("n", F.lit(0))) / F.col("true"))).first()
+        whole = len(sample) < rows
+        if linked >= AUDIT_LINKED or whole or rows >= AUDIT_MOST:
+            return recall if linked else 1.0 if whole else None
+        rows = min(4 * rows, AUDIT_MOST)
+
+
+def audited(nodes: DataFrame, links: DataFrame, groups: DataFrame, threshold: float, rows: int) -> float | None:
+    """The lower recall of hot components and of all other nodes; None if no sampled node has a link.
+
+    The members of a hot component are counted in tiles and would hide what
+    the others lose.
+    """
+    least = HOT_SHARE * nodes.count()
+    hot = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > least).select("component")
+    members = staged(groups.join(hot, "component", "left_semi").select("id"), "hot")
+    pools = [nodes.join(members, "id", "left_anti"), nodes.join(members, "id", "left_semi")]
+    found = [r for r in (sampled_recall(pool, nodes, links, threshold, rows) for pool in pools) if r is not None]
+    return min(found) if len(found) == len(pools) else None if min(found, default=1.0) >= AUDIT_RECALL else min(found)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS) -> DataFrame:
@@ -261,7 +294,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
     Equal vectors are one node and link with each other; rows that share id
     and vector count once as a partner and each get their row.  Components
     missing at the end count as 0.  A null id takes part without being anyone's
-    component and is never kept.  An empty table gives an empty one.
+    component and is never kept.  An empty table gives an empty one.  A recall
+    below ``AUDIT_RECALL`` that growing does not mend is an error.
     """
     units = staged(unit_vectors(vectors), "units")
     good = units.where(F.col("unit").isNotNull())
@@ -274,10 +308,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
     classes = staged(classes, "classes")
     nodes = staged(classes.groupBy("id").agg(F.max("times").alias("times"), F.max("unit").alias("unit")).mapInArrow(
         lambda x: packed_batches(x, width), "id long, times long, unit binary, half binary"), "nodes")
-    near = staged(cells(nodes, width), "cells")
-    keep = neighbours
-    edges = staged(kept_best(near.mapInArrow(lambda x: near_batches(x, keep, None), EDGE), keep), "graph")
+    # Cells stay about as large as a window in a larger table.
+    bits = min(30, max(BITS, (nodes.count() // NEAR_ROWS).bit_length()))
+    keep, grown, edges = neighbours, 1, None
     while True:
+        reach = NEAR_ROWS * grown
+        near = staged(cells(nodes, width, TABLES * grown, bits), "cells")
+        start = near.mapInArrow(lambda x: near_batches(x, keep, None, reach), EDGE)
+        edges = staged(kept_best(start if edges is None else edges.unionByName(start), keep), "graph")
         weight = edges.agg(F.sum("sim")).first()[0] or 0.0
         for _ in range(MAX_ROUNDS):
             edges = staged(refined(edges, nodes, keep), "graph")
@@ -290,7 +328,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
         # Full lists hide further links: look for those between components, then count within them.
         labelled = near.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
         across = labelled.sortWithinPartitions("part", "cell", "along").mapInArrow(
-            lambda x: near_batches(x, keep, threshold - SLACK), EDGE)
+            lambda x: near_batches(x, keep, threshold - SLACK, reach), EDGE)
         links = staged(links.unionByName(confirmed(ordered(across), nodes, threshold)).distinct(), "links")
         groups = components(links)
         full = edges.where(F.col("sim") >= threshold - SLACK).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= keep)
@@ -300,9 +338,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
         counted = links.select(F.col("a").alias("id"), F.col("tb").alias("n")).unionByName(
             links.select(F.col("b").alias("id"), F.col("ta").alias("n"))).groupBy("id").agg(F.sum("n").alias("n"))
         n = staged(tiled.unionByName(counted.join(tiled.select("id"), "id", "left_anti")), "counts")
-        if keep >= 4 * neighbours or audited(nodes, n, threshold, AUDIT_ROWS) >= AUDIT_RECALL:
+        recall = audited(nodes, n, groups, threshold, AUDIT_ROWS)
+        if recall is None:
+            log.warning("near_duplicates: none of %d sampled vectors has a link, so the recall is not known", AUDIT_MOST)
+        if recall is None or recall >= AUDIT_RECALL:
             break
-        keep *= 2
+        if grown >= MOST_GROWN:
+            raise RuntimeError(f"near_duplicates: recall {recall:.3f} of sampled vectors, less than {AUDIT_RECALL}, with {keep} neighbours")
+        keep, grown = 2 * keep, 2 * grown
     answer = classes.join(n, "id", "left").join(groups, "id", "left").select(
         "unit", F.col("id").alias("node"), (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"),
         F.coalesce("component", "id").alias("component"))
