@@ -67,6 +67,30 @@ def test_slices_take_large_components():
         assert sorted((-s, r) for p, r, s in zip(place, row, score) if p == i) == full
 
 
+@pytest.mark.parametrize("block,chunk", [(4096, 64), (30, 3)])
+def test_top_k_keeps_large_components(spark, block, chunk):
+    """Components beyond the index, as queries and as candidates, beside the rows that it takes."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 2, (100, 6))
+    x[50, 2], x[7, 1], x[9], x[11, 0], x[12, 3] = 5e3, -1e6, 4096.0, 2.0**40, -4096.001
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for r in bitslice.top_k(vectors, vectors.where("vec_id % 25 = 0"), 5, block, chunk).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    q = [[int(np.floor(256 * c)) for c in v] for v in x]
+    want = {}
+    for i in range(0, 100, 25):
+        order = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in range(100) if j != i)[:5]
+        want[i] = [(n + 1, j, -s) for n, (s, j) in enumerate(order)]
+    assert {i: sorted(v) for i, v in got.items()} == want
+
+
+def test_products_of_any_size():
+    a, b = bitslice.whole([[1e300, -0.5], [3.0]]), bitslice.whole([[2.0**60, 1.0], [0.0, -1.0]])
+    assert bitslice.products(a, b).tolist() == [
+        [int(1e300) * 256 * 2**68 - 128 * 256, 128 * 256], [768 * 2**68, 0]]
+
+
 def brute_links(data, threshold=0.9):
     seen = {(i, tuple(v)): None for i, v, *_ in data if i is not None and usable(v, 16) and any(v)}
     keys = list(seen)

@@ -5,11 +5,13 @@ bitmap.  The scores of a query are added up as bitmaps too: a component of the
 query adds the slices of its dimension, shifted by each of its bits, through
 full adders.  The top rows are then picked from the most significant slice of
 the sum downward; rows that tie at the boundary go by id, and the scores of
-the rows picked are read off the slices exactly.
+the rows picked are read off the slices exactly.  Rows and queries with a
+component too large for the index are scored in whole numbers, block by block.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,17 +22,19 @@ from pyspark.sql import functions as F
 
 LEVELS = 256
 BLOCK_ROWS, CHUNK_QUERIES = 4096, 64
-# Components beyond this have no place in the index.
+# Components beyond this have no place in the index; their rows are scored without it.
 LARGEST = 2**20
+FOUND = "query_id long, vec_id long, score long"
 BLOCK_SCHEMA = "block long, ids binary, low binary, bits binary, slices binary"
 
 
-def quantised(vector: Column, levels: int = LEVELS) -> Column:
-    """floor(levels * x) of each component; null for a vector that takes no part."""
+def stepped(vector: Column) -> Column:
+    """floor(LEVELS * x) / LEVELS of each component, exact; null for a vector that takes no part."""
     x = F.transform(vector, lambda v: v.cast("double"))
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) * levels > LARGEST))
-    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(False)),
-                  F.transform(x, lambda v: F.floor(F.try_multiply(v, F.lit(float(levels)))).cast("int")))
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    # A double of 2^45 or more has no fraction that counts.
+    step = lambda v: F.when(F.abs(v) < 2.0**45, F.floor(v * F.lit(float(LEVELS))).cast("double") / F.lit(float(LEVELS))).otherwise(v)
+    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(False)), F.transform(x, step))
 
 
 def matrix(vectors: Iterable, width: int | None = None) -> np.ndarray:
@@ -151,32 +155,90 @@ def search_batches(frames: Iterable[pd.DataFrame], k: int) -> Iterator[pd.DataFr
             yield pd.DataFrame({"query_id": ids[place], "vec_id": row, "score": score})
 
 
+def whole(vectors: Iterable) -> list[list[int]]:
+    """LEVELS * x in whole numbers of any size, from components of ``stepped``."""
+    return [[int(c * LEVELS) if abs(c) < 2.0**45 else int(c) * LEVELS for c in v] for v in vectors]
+
+
+def products(a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+    """Inner products of all rows of ``a`` and ``b``, exact; a missing component counts as 0."""
+    width = max(map(len, [*a, *b]), default=0)
+    most = [max((abs(c) for v in m for c in v), default=0) for m in (a, b)]
+    kind = np.int64 if max(most[0] * most[1] * width, *most) < 2**63 else object
+    x, y = (np.array([v + [0] * (width - len(v)) for v in m], kind).reshape(len(m), width) for m in (a, b))
+    return x @ y.T if width else np.zeros((len(a), len(b)), np.int64)
+
+
+def score_batches(frames: Iterable[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """The top k rows of a block for every query of a chunk, without an index."""
+    for frame in frames:
+        for pair in frame.itertuples(index=False):
+            ids = [r["vec_id"] for r in pair.rows]
+            scores = products(whole(r["x"] for r in pair.chunk), whole(r["x"] for r in pair.rows))
+            out = []
+            for asked, own in zip((r["vec_id"] for r in pair.chunk), scores.tolist()):
+                best = heapq.nsmallest(k, ((-s, i) for s, i in zip(own, ids) if i != asked))
+                out += [(asked, i, -s) for s, i in best]
+            for asked, i, s in out:
+                if not -2**63 <= s < 2**63:
+                    raise OverflowError(f"the score of query {asked} and row {i} does not fit a long")
+            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(np.int64)
+
+
+def dealt(n: int) -> Column:
+    return F.pmod(F.xxhash64("vec_id", "x"), F.lit(n)).cast("long")
+
+
+def scored(rows: DataFrame, n_rows: int, asked: DataFrame, n_asked: int, k: int, block_rows: int, chunk_queries: int) -> DataFrame:
+    """(query_id, vec_id, score): the top k of every block of ``rows`` for all of ``asked``, scored one by one."""
+    n_blocks, n_chunks = max(1, -(-n_rows // block_rows)), max(1, -(-n_asked // chunk_queries))
+    listed = lambda frame, n, place, name: frame.groupBy(dealt(n).alias(place)).agg(F.collect_list(F.struct("vec_id", "x")).alias(name))
+    chunks = listed(asked, n_chunks, "chunk_no", "chunk").withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    pairs = chunks.join(listed(rows, n_blocks, "block", "rows"), "block")
+    spread = pairs.repartition(max(1, min(n_blocks * n_chunks, 4 * n_chunks + n_blocks)), "block", "chunk_no")
+    return spread.select("chunk", "rows").mapInPandas(lambda frames: score_batches(frames, k), FOUND)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of ``vectors`` with the highest score for every row of ``queries``.
 
     Both have vec_id and embedding; other columns are not read.  The score is
     the inner product of floor(256 x); ties go to the smaller id, a query's
     own id is left out, and all are returned if there are fewer than ``k``.
-    Vectors that are null, hold null or non-finite components or have one
-    beyond 2^12 take no part, nor do rows without an id.  A component missing
-    at the end counts as 0.  Equal rows count once; an empty table gives an
-    empty one.  Every block of rows meets every block of queries once; each
-    pair gives at most ``k`` rows a query.
+    Vectors that are null or hold null or non-finite components take no part,
+    nor do rows without an id.  A component missing at the end counts as 0.
+    Equal rows count once; an empty table gives an empty one.  Every block of
+    rows meets every block of queries once; each pair gives at most ``k`` rows
+    a query.  Rows with a component beyond 2^12 meet all queries, and such
+    queries all rows, without the index.  A score that does not fit a long is
+    an error.
     """
-    rows = quantised_rows(vectors)
-    n_blocks = max(1, -(-rows.count() // block_rows))
-    asked = quantised_rows(queries)
-    n_chunks = max(1, -(-asked.count() // chunk_queries))
-    dealt = lambda n: F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)).cast("long")
-    blocks = rows.withColumn("block", dealt(n_blocks)).groupBy("block").applyInPandas(sliced, BLOCK_SCHEMA)
-    chunks = asked.groupBy(dealt(n_chunks).alias("chunk_no")).agg(F.collect_list(F.struct("vec_id", "q")).alias("chunk"))
+    rows, asked = stepped_rows(vectors), stepped_rows(queries)
+    (n_in, n_out), (asked_in, asked_out) = counts(rows), counts(asked)
+    n_blocks, n_chunks = max(1, -(-n_in // block_rows)), max(1, -(-asked_in // chunk_queries))
+    indexed = lambda frame: frame.where("inside").select(
+        "vec_id", "x", F.transform("x", lambda v: (v * F.lit(float(LEVELS))).cast("int")).alias("q"))
+    blocks = indexed(rows).select("vec_id", "q", dealt(n_blocks).alias("block")).groupBy("block").applyInPandas(sliced, BLOCK_SCHEMA)
+    chunks = indexed(asked).groupBy(dealt(n_chunks).alias("chunk_no")).agg(F.collect_list(F.struct("vec_id", "q")).alias("chunk"))
     pairs = chunks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).join(blocks, "block")
     spread = pairs.repartition(max(1, min(n_blocks * n_chunks, 4 * n_chunks + n_blocks)), "block", "chunk_no")
-    found = spread.drop("block", "chunk_no").mapInPandas(lambda frames: search_batches(frames, k), "query_id long, vec_id long, score long")
+    found = spread.drop("block", "chunk_no").mapInPandas(lambda frames: search_batches(frames, k), FOUND)
+    if n_out:
+        found = found.unionByName(scored(rows.where("NOT inside"), n_out, asked, asked_in + asked_out, k, block_rows, chunk_queries))
+    if asked_out:
+        found = found.unionByName(scored(rows.where("inside"), n_in, asked.where("NOT inside"), asked_out, k, block_rows, chunk_queries))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def quantised_rows(vectors: DataFrame) -> DataFrame:
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding")).alias("q")).where(
-        F.col("vec_id").isNotNull() & F.col("q").isNotNull()).distinct()
+def counts(rows: DataFrame) -> tuple[int, int]:
+    """Rows that the index takes, and the others."""
+    return tuple(rows.agg(F.count_if("inside"), F.count_if(~F.col("inside"))).first())
+
+
+def stepped_rows(vectors: DataFrame) -> DataFrame:
+    """(vec_id, x, inside) of the rows that take part; those not ``inside`` have no place in the index."""
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), stepped(F.col("embedding")).alias("x")).where(
+        F.col("vec_id").isNotNull() & F.col("x").isNotNull()).distinct().withColumn(
+        "inside", F.forall("x", lambda v: F.abs(v) <= F.lit(float(LARGEST // LEVELS))))
