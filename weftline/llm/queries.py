@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, quality, secrets, superkmer
+from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, quality, secrets, superkmer, toxicity
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -134,3 +134,11 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_embedding_dedup")
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where(~is_held_out(labels)))
+    return toxicity.score(docs.withColumn("held_out", is_held_out(docs)), model).select(
+        "doc_id", "held_out", "score", "predicted", "offending")
