@@ -11,7 +11,6 @@ sentences are to blame, and :func:`score` reports where they are.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +26,7 @@ from weftline.llm.quality import sigmoid
 from weftline.session import staged
 
 # Bound of the training sample: labelled documents of each label, and bytes of their whole texts.
-SAMPLE_DOCS, SAMPLE_BYTES = 3000, 24_000_000
+SAMPLE_DOCS, SAMPLE_BYTES = 2000, 10_000_000
 # A part of a word is a feature if so many toxic sampled documents have it, more of them than chance explains.
 LEAST_DOCS, LEAST_GAIN, MOST_PARTS = 3, 4.0, 20_000
 SHORTEST, LONGEST = 4, 8
@@ -102,24 +101,24 @@ def noisy_or(logits: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
     return np.bincount(doc, np.logaddexp(0, logits), texts)
 
 
-def chosen_parts(found: list[set[str]], y: np.ndarray) -> dict[str, int]:
-    """Parts that toxic documents have more often than others do, by the gain in log likelihood."""
-    toxic, clean = Counter(), Counter()
-    for mine, label in zip(found, y):
-        (toxic if label else clean).update(mine)
+def expanded(firsts: np.ndarray, sizes: np.ndarray, flat: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists laid end to end in ``flat``: the items of those at ``places``, and which of ``places`` each is from."""
+    times = sizes[places]
+    owner = np.repeat(np.arange(len(places)), times)
+    inner = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
+    return flat[firsts[places][owner] + inner], owner
+
+
+def gains(toxic: np.ndarray, clean: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Gain in log likelihood from telling documents with a part from others; 0 where toxic ones do not have it more often."""
     n1, n0 = max(y.sum(), 1), max((1 - y).sum(), 1)
-    gains = {}
-    for part, a in toxic.items():
-        b = clean[part]
-        if a >= LEAST_DOCS and a / n1 > b / n0:
-            p = (a + b) / (n1 + n0)
-            gain = a * np.log(a / n1 / p) + (b * np.log(b / n0 / p) if b else 0.0)
-            gain += (n1 - a) * np.log((n1 - a) / n1 / (1 - p)) if a < n1 else 0.0
-            gain += (n0 - b) * np.log((n0 - b) / n0 / (1 - p)) if b < n0 else 0.0
-            if gain >= LEAST_GAIN:
-                gains[part] = gain
-    best = sorted(gains, key=lambda w: (-gains[w], w))[:MOST_PARTS]
-    return {w: i for i, w in enumerate(best)}
+
+    def part(k, n, p):
+        return np.where(k > 0, k * np.log(np.maximum(k, 1) / n / p), 0.0)
+
+    p = np.clip((toxic + clean) / (n1 + n0), 1e-12, 1 - 1e-12)
+    gain = part(toxic, n1, p) + part(clean, n0, p) + part(n1 - toxic, n1, 1 - p) + part(n0 - clean, n0, 1 - p)
+    return np.where((toxic >= LEAST_DOCS) & (toxic / n1 > clean / n0), gain, 0.0)
 
 
 def fitted(texts: pa.Array, y: np.ndarray, share: float) -> Model:
@@ -129,46 +128,52 @@ def fitted(texts: pa.Array, y: np.ndarray, share: float) -> Model:
     are weighted so that toxic ones have their ``share`` of all labelled rows.
     """
     found = sentences_of(texts)
-    by_word = [parts(w) for w in found.words]
-    doc_of_word = found.doc[found.sentence] if len(found.sentence) else np.zeros(0, np.int64)
-    pairs = np.unique(doc_of_word * (len(found.words) + 1) + found.codes)
-    of_doc: list[set[str]] = [set() for _ in y]
-    for d, w in zip(pairs // (len(found.words) + 1), pairs % (len(found.words) + 1)):
-        of_doc[d] |= by_word[w]
-    known = chosen_parts(of_doc, y)
-    # Sparse matrix of sentences by parts, as (row, column) pairs; repeats count.
-    lists = [np.fromiter((known[p] for p in sorted(mine) if p in known), np.int64) for mine in by_word]
-    lengths = np.array([len(x) for x in lists], np.int64)
-    flat = np.concatenate([*lists, np.zeros(0, np.int64)])
-    firsts = np.r_[0, np.cumsum(lengths)][:-1]
-    times = lengths[found.codes] if len(lengths) else np.zeros(0, np.int64)
-    rows = np.repeat(found.sentence, times)
-    inner = np.arange(times.sum()) - np.repeat(np.r_[0, np.cumsum(times)][:-1], times) if len(times) else np.zeros(0, np.int64)
-    columns = flat[np.repeat(firsts[found.codes], times) + inner] if len(times) else np.zeros(0, np.int64)
+    numbers: dict[str, int] = {}
+    lists = [sorted(numbers.setdefault(part, len(numbers)) for part in parts(w)) for w in found.words]
+    sizes = np.array([len(x) for x in lists], np.int64)
+    flat = np.fromiter((i for x in lists for i in x), np.int64, sizes.sum())
+    firsts = np.cumsum(sizes) - sizes
+    # Which documents have a part at all.
+    with_word = np.unique(found.doc[found.sentence].astype(np.int64) * (len(lists) + 1) + found.codes)
+    column, pair = expanded(firsts, sizes, flat, with_word % (len(lists) + 1))
+    having = np.unique((with_word // (len(lists) + 1))[pair] * (len(numbers) + 1) + column)
+    label = y[having // (len(numbers) + 1)]
+    per_part = [np.bincount(having % (len(numbers) + 1), label == value, len(numbers)) for value in (1, 0)]
+    gain = gains(*per_part, y)
+    chosen = np.argsort(-gain, kind="stable")[:MOST_PARTS]
+    chosen = chosen[gain[chosen] >= LEAST_GAIN]
+    renumbered = np.full(len(numbers) + 1, -1, np.int64)
+    renumbered[chosen] = np.arange(len(chosen))
+    names = list(numbers)
+    known = [names[i] for i in chosen]
+    # Sparse matrix of sentences by chosen parts, as (row, column) pairs; repeats count.
+    kept = renumbered[flat] >= 0
+    sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[kept], minlength=len(sizes))
+    columns, place = expanded(np.cumsum(sizes) - sizes, sizes, renumbered[flat][kept], found.codes)
+    rows = found.sentence[place]
     # Texts without a word are one empty sentence.
     bare = np.flatnonzero(found.per_doc(len(y)) == 0)
-    doc = np.r_[found.doc, bare]
+    doc = np.r_[found.doc, bare].astype(np.int64)
     crowd_of = np.log(np.bincount(doc, minlength=len(y)))[doc]
     toll = np.where(y == 1, share * len(y) / max(y.sum(), 1), (1 - share) * len(y) / max((1 - y).sum(), 1)) / len(y)
 
     params = np.r_[np.full(len(known), 0.5), np.log(max(share, 1e-3)) - 1, 1.0]
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, ROUNDS + 1):
-        sums = np.bincount(rows, params[:-2][columns], len(doc)) if len(rows) else np.zeros(len(doc))
+        sums = np.bincount(rows, params[:-2][columns], len(doc))
         z = sums + params[-2] - params[-1] * crowd_of
         none = noisy_or(z, doc, len(y))
         # d loss / d none: 1 for clean documents, -(1 - P) / P for toxic ones.
         slope = toll * np.where(y == 1, -1 / np.expm1(np.clip(none, 1e-4, 500)), 1.0)
         back = slope[doc] * sigmoid(z)
-        grad = np.r_[np.bincount(columns, back[rows], len(known)) if len(rows) else np.zeros(len(known)),
-                     back.sum(), -(back * crowd_of).sum()]
+        grad = np.r_[np.bincount(columns, back[rows], len(known)), back.sum(), -(back * crowd_of).sum()]
         grad[:-2] += DECAY * params[:-2]
         first += 0.1 * (grad - first)
         second += 0.01 * (grad * grad - second)
         params -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
         params[:-2] = np.maximum(params[:-2], 0.0)
         params[-1] = max(params[-1], 0.0)
-    weights = {part: float(params[i]) for part, i in known.items() if params[i] > 1e-3}
+    weights = {part: float(w) for part, w in zip(known, params) if w > 1e-3}
     return Model(weights, float(params[-2]), float(params[-1]))
 
 
