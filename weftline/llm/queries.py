@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, quality, secrets, superkmer, toxicity
+from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, prefixtrie, quality, secrets, superkmer, toxicity
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -142,3 +142,42 @@ def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(docs, labels.where(~is_held_out(labels)))
     return toxicity.score(docs.withColumn("held_out", is_held_out(docs)), model).select(
         "doc_id", "held_out", "score", "predicted", "offending")
+
+
+@query("op11_prefix_trie", """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), h AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 6 AS lead
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT h.conv_id, t.place, role, text FROM h JOIN t ON t.conv_id = h.base AND t.place <= h.lead
+  UNION ALL SELECT h.conv_id, t.place, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND t.place > h.lead
+), c AS (
+  SELECT h.conv_id, coalesce(s, []) AS s FROM h LEFT JOIN (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS s FROM r GROUP BY conv_id) USING (conv_id)
+), m AS (SELECT conv_id, d, s[1:d] AS p, len(s) = d AS ends FROM c, LATERAL unnest(range(len(s) + 1)) AS u(d)
+), n AS (
+  SELECT p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+         CASE WHEN d > 0 THEN (count(*) - 1) * length(p[d]['text']) ELSE 0 END AS saved
+  FROM m GROUP BY p, d
+), k AS (
+  SELECT n.*, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND x.p[1:n.depth] = n.p) AS n_children FROM n
+)
+SELECT a.conv_id, a.depth, (SELECT conv_id FROM n x WHERE x.depth = a.depth - 1 AND x.p = a.p[1:x.depth]) AS parent_conv_id,
+       a.n_convs, a.n_children, CAST(sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+       CAST(sum(b.saved) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM k a JOIN k b ON b.depth >= a.depth AND b.p[1:a.depth] = a.p
+GROUP BY a.p, a.conv_id, a.depth, a.n_convs, a.n_children, a.ends_sha256""")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefixtrie.numbered(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    # Conversation c begins with turns of the first conversation of its hundred, as many as its CRC-32 says.
+    lead, base = F.crc32(F.col("conv_id").cast("string")) % 6, F.col("conv_id") - F.col("conv_id") % 100
+    return prefixtrie.trie(prefixtrie.rebuilt(turns, lead, base, 5))
