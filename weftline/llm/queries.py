@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, prefixtrie, quality, secrets, superkmer, toxicity
+from weftline.llm import bitslice, chat, langid, minhash, mixing, nndescent, pieces, prefixtrie, quality, secrets, spelling, superkmer, toxicity
 from weftline.llm.common import fold
 from weftline.session import tune
 
@@ -136,6 +136,37 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+@query("op12_spelling_variants", """
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), r AS (SELECT doc_id, run, count(*) AS k FROM d WHERE length(run) >= 5 GROUP BY doc_id, run
+), tab AS (SELECT list(c ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce(list_concat([i], range(8)), lambda x, j: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c
+  FROM range(256) AS g(i))
+), b AS (SELECT doc_id, run, k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM r
+), c AS (SELECT run, k, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], [CAST((16 * (strpos('0123456789ABCDEF', hx[2 * i - 1]) - 1) + strpos('0123456789ABCDEF', hx[2 * i]) - 1) AS BIGINT)
+      FOR i IN range(1, length(hx) // 2 + 1)]),
+    lambda crc, x: xor(crc // 256, tab[1 + xor(crc % 256, x)]))) AS h FROM b, tab
+), s AS (SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, k FROM c
+), w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), p AS (SELECT a.word, a.n, b.word AS b, b.n AS b_n FROM w a JOIN w b
+  ON length(b.word) BETWEEN length(a.word) - 1 AND length(a.word) + 1 AND a.word <> b.word
+  AND (substr(a.word, 1, length(a.word) // 2) = substr(b.word, 1, length(a.word) // 2)
+       OR right(a.word, length(a.word) - length(a.word) // 2 - 1) = right(b.word, length(a.word) - length(a.word) // 2 - 1))
+  WHERE len([1 FOR i IN range(greatest(length(a.word), length(b.word))) IF substr(a.word, 1, i) = substr(b.word, 1, i)
+    AND substr(a.word, i + 1 + (length(a.word) >= length(b.word))::INT) = substr(b.word, i + 1 + (length(b.word) >= length(a.word))::INT)]) > 0
+), f AS (SELECT w.word, w.n, coalesce(x.n_near, 0) AS n_near, CASE WHEN x.b_n >= 2 * w.n THEN x.b END AS form, CASE WHEN x.b_n >= 2 * w.n THEN x.b_n END AS form_n
+  FROM w LEFT JOIN (SELECT word, count(*) AS n_near, max(b_n) AS b_n, (list(b ORDER BY b_n DESC, b))[1] AS b FROM p GROUP BY word) x USING (word)
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM f JOIN (
+  WITH RECURSIVE walk AS (SELECT word, coalesce(form, word) AS here, form IS NULL AS done FROM f
+    UNION ALL SELECT walk.word, coalesce(f.form, f.word), f.form IS NULL FROM walk JOIN f ON f.word = walk.here WHERE NOT done)
+  SELECT word, here AS root FROM walk WHERE done) USING (word)""")
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 @query("op13_toxicity")
 def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
