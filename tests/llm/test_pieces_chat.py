@@ -26,15 +26,28 @@ def test_ids_and_text_are_those_of_the_library(spark, library):
     assert [(a or -1, b, c) for a, b, c in found] == [(a or -1, b, c) for a, b, c in want]
 
 
-def test_a_full_word_table_starts_afresh(spark, library, monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_WORDS", 3)
+def test_a_full_word_table_starts_afresh(library, monkeypatch):
     import pyarrow as pa
-    texts = ["ab cd ef gh", "", "ij kl ab", "x  y "]
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 500)
+    monkeypatch.setattr(pieces, "WORDS_AT_ONCE", 3)
+    texts = ["ab cd ef gh", "", "ij kl ab", "x  y ", "ab cd ef gh ij kl mn op qr st uv"]
     batches = [pa.record_batch([pa.array([t])], ["__text"]) for t in texts]
-    ids = [i for b in pieces.encode_batches(batches, TOKENIZER) for i in b.column("ids").to_pylist()]
+    ids = [i for b in pieces.encode_batches(batches, TOKENIZER, False) for i in b.column("ids").to_pylist()]
     assert ids == [library.encode(t) for t in texts]
 
 
+def test_a_text_of_many_megabytes(spark, library):
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 5))) for _ in range(3_000_000))
+    got = pieces.encode_checked(frame(spark, [(1, text, "en", "a", 1, *["x"] * 10)]), TOKENIZER).select("ids", "restored").first()
+    assert got["restored"] and list(got["ids"]) == library.encode(text)
+
+
+def test_whether_a_text_is_restored(spark, library):
+    got = {r["doc_id"]: r["restored"] for r in pieces.encode_checked(frame(spark, corpus()), TOKENIZER).collect() if r["doc_id"]}
+    assert got == {d[0]: library.decode(library.encode(d[1] or "")) == (d[1] or "") for d in corpus() if d[0]}
+
+
 def test_digests_of_nothing(spark):
     assert pieces.token_digests(pieces.encode_decode(empty(spark), TOKENIZER)).count() == 0
     one = pieces.token_digests(pieces.encode_decode(frame(spark, [corpus()[60]]), TOKENIZER)).first()
@@ -67,3 +80,13 @@ def test_every_turn_comes_back(spark):
 def test_no_conversation(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.chat_digests(chat.format_chats(turns)).count() == 0
+
+
+def test_long_runs_of_backslashes_are_linear(spark):
+    import time
+    texts = ["\\" * 1_000_000, "\\" * 1_000_000 + "</turn>", ("\\" * 50_000 + "x") * 20, "</turn>\n" * 100_000]
+    turns = spark.createDataFrame([(1, t, "assistant", text) for t, text in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    began = time.time()
+    got = chat.read_back(chat.format_chats(turns)).first()
+    assert [t["text"] for t in got["turns"]] == texts and got["loss_text"] == "".join(texts)
+    assert time.time() - began < 60

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 HEAD, END = "### ", "</turn>"
 # A backslash is put before each control string, and one is taken off again.
-ESCAPE = rf"(\\*{END})"
-UNESCAPE = rf"\\(\\*{END})"
+# A run of backslashes is looked at once, from its start, and not given back.
+ESCAPE = rf"((?<!\\)\\*+{END})"
+UNESCAPE = rf"(?<!\\)\\(\\*+{END})"
 BLOCK_END = rf"(?<!\\){END}\n"
 TRAINED_ROLE = "assistant"
 
