@@ -115,6 +115,16 @@ def test_near_vectors_match_brute_force(spark):
             assert not r["kept"]
 
 
+def test_vectors_of_one_id_are_nodes_of_their_own(spark):
+    """Id 5 has two vectors, each with a near copy of another id; a null id and an equal row are beside them."""
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    data = [(5, a), (5, b), (2, [1.0, 0.1, 0.0]), (9, [0.1, 1.0, 0.0]), (5, a), (7, b), (8, [0.0, 0.0, 1.0]), (None, a)]
+    got = sorted((r["vec_id"] or -1, r["n_links"], r["component_id"], r["kept"])
+                 for r in nndescent.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect())
+    assert got == sorted([(5, 1, 2, False), (5, 1, 2, False), (2, 1, 2, True), (5, 2, 5, True), (9, 2, 5, False), (7, 2, 5, False),
+                          (8, 0, 8, True), (-1, 1, 2, False)])
+
+
 def test_full_lists_are_counted_whole(spark):
     """Two clouds of near copies, each far larger than a neighbour list and a tile."""
     rng = np.random.default_rng(4)

@@ -292,7 +292,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
     Vectors link at a cosine of ``threshold`` or more.  A vector that is null,
     zero, empty or holds null or non-finite components links with nothing.
     Equal vectors are one node and link with each other; rows that share id
-    and vector count once as a partner and each get their row.  Components
+    and vector count once as a partner and each get their row.  Different
+    vectors of one id are different nodes, each with its own row and links.  Components
     missing at the end count as 0.  A null id takes part without being anyone's
     component and is never kept.  An empty table gives an empty one.  A recall
     below ``AUDIT_RECALL`` that growing does not mend is an error.
@@ -303,10 +304,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
     if width is None:
         return units.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.col("vec_id").isNotNull().alias("kept"))
-    classes = good.where(F.col("vec_id").isNotNull()).distinct().groupBy("unit").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("times"))
-    classes = staged(classes, "classes")
-    nodes = staged(classes.groupBy("id").agg(F.max("times").alias("times"), F.max("unit").alias("unit")).mapInArrow(
+    # A node is a class of equal vectors with a number of its own: an id may have several vectors.
+    classes = staged(good.where(F.col("vec_id").isNotNull()).distinct().groupBy("unit").agg(
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("times")).withColumn("id", F.monotonically_increasing_id()), "classes")
+    nodes = staged(classes.select("id", "times", "unit").mapInArrow(
         lambda x: packed_batches(x, width), "id long, times long, unit binary, half binary"), "nodes")
     # Cells stay about as large as a window in a larger table.
     bits = min(30, max(BITS, (nodes.count() // NEAR_ROWS).bit_length()))
@@ -346,9 +347,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, neighbours
         if grown >= MOST_GROWN:
             raise RuntimeError(f"near_duplicates: recall {recall:.3f} of sampled vectors, less than {AUDIT_RECALL}, with {keep} neighbours")
         keep, grown = 2 * keep, 2 * grown
-    answer = classes.join(n, "id", "left").join(groups, "id", "left").select(
-        "unit", F.col("id").alias("node"), (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component"))
+    # The least id of each component's vectors; alone, a class has its own.
+    leasts = groups.join(classes.select("id", "least"), "id").groupBy("component").agg(F.min("least").alias("first"))
+    named = groups.join(leasts, "component").select("id", "first")
+    answer = classes.join(n, "id", "left").join(named, "id", "left").select(
+        "unit", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("first", "least").alias("component"))
     rows = units.join(answer, "unit", "left")
     component: Column = F.coalesce("component", "vec_id")
     return rows.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
