@@ -7,6 +7,7 @@ is the one with the highest version.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -114,25 +115,27 @@ def latest(cells: DataFrame) -> DataFrame:
 
 
 def typed_scan(
-    cells: DataFrame,
+    cells: DataFrame | None,
     columns: list[CellColumn],
     keys: DataFrame | None = None,
     int_encoding: str = "binary",
     missing_long_as_zero: bool = True,
+    of_keys: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per row key with the declared columns decoded.
 
     Only the declared cells are scanned, so rows without any of them do not
     appear.  Picking the newest version and pivoting is one aggregation.  With
-    ``keys`` only those rows are returned, once per key row.
+    ``keys`` only those rows are returned, once per key row; a table that finds
+    the cells of key bytes by itself gives them with ``of_keys``.
     """
     cell_columns = [c for c in columns if not c.is_row_key]
-    scanned = only_cells(cells, [(c.family, c.qualifier) for c in cell_columns])
     encoded = None
     if keys is not None:
         declared = next((c.kind for c in columns if c.is_row_key), None)
         encoded = cut_lineage(encoded_keys(keys, declared, int_encoding))
-        scanned = only_keys(scanned, encoded)
+        cells = only_keys(cells, encoded) if of_keys is None else of_keys(encoded)
+    scanned = only_cells(cells, [(c.family, c.qualifier) for c in cell_columns])
     picks = []
     for i, column in enumerate(cell_columns):
         here = (F.col("family") == column.family) & (F.col("qualifier") == column.qualifier)

@@ -59,9 +59,9 @@ def choose_splits(
     return []
 
 
-def region_of(key: Column, splits: list[str]) -> Column:
+def region_of(key: Column, splits: list[str] | list[bytes]) -> Column:
     """Number of split points at or below a key; keys compare as bytes."""
-    points = sorted(s.encode() for s in splits)
+    points = sorted(s.encode() if isinstance(s, str) else bytes(s) for s in splits)
     raw = key.cast("binary")
 
     def search(low: int, high: int) -> Column:

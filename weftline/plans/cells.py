@@ -10,6 +10,7 @@ from weftline.operators import regions as G
 from weftline.plans.registry import query
 from weftline.session import scratch_path
 from weftline.sources import cells as S
+from weftline.sources import region_cells as R
 from weftline.sources.tables import table
 
 CUSTOMER_FIELDS = [
@@ -158,6 +159,41 @@ def cells_key_lookup(spark, d):
     return C.typed_scan(stored(spark, customer_cells(spark, d), S.bulk_load), CUSTOMER_COLUMNS, keys=keys)
 
 
+def in_regions(spark, cells, regions=16):
+    """The cells as a table in regions; its path."""
+    path = scratch_path(spark, "regions")
+    R.create_regions(spark, path, R.even_splits(cells, regions))
+    R.load_regions(cells, path)
+    return path
+
+
+@query(
+    "cells_point_lookup",
+    """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+       WHERE c_custkey IN (SELECT min(o_custkey) FROM orders UNION ALL SELECT max(o_custkey) FROM orders
+                           UNION ALL SELECT arg_max(o_custkey, (o_totalprice, o_orderkey)) FROM orders)""",
+)
+def cells_point_lookup(spark, d):
+    """Three rows far apart: the first, the last and the best customer that ordered."""
+    path = in_regions(spark, customer_cells(spark, d))
+    best = F.max_by("o_custkey", F.struct("o_totalprice", "o_orderkey"))
+    ends = table(spark, d, "orders").agg(F.array(F.min("o_custkey"), F.max("o_custkey"), best).alias("k"))
+    keys = ends.select(F.explode(F.array_distinct("k")).alias("c_custkey"))
+    return C.typed_scan(None, CUSTOMER_COLUMNS, keys=keys, of_keys=lambda k: R.cells_of_keys(spark, path, k))
+
+
+@query(
+    "cells_region_lookup",
+    """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+       FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice < 20000""",
+)
+def cells_region_lookup(spark, d):
+    """Customer rows of all small orders, too many keys to name: joined on region and key, one row per order."""
+    path = in_regions(spark, customer_cells(spark, d))
+    keys = table(spark, d, "orders").filter("o_totalprice < 20000").select("o_custkey")
+    return C.typed_scan(None, CUSTOMER_COLUMNS, keys=keys, of_keys=lambda k: R.cells_of_keys(spark, path, k, named=0))
+
+
 @query(
     "cells_copy",
     "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
