@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.operators import recommend as R
+from weftline.operators.simjoin import similar_pairs
 from weftline.plans.registry import query
 from weftline.session import staged
 from weftline.sources.tables import table
@@ -18,13 +19,17 @@ TARGETS_SQL = f"""targets AS MATERIALIZED (
   SELECT user AS target FROM ratings GROUP BY user ORDER BY sum(rating) DESC, user LIMIT {N_TARGETS})"""
 
 
+# Pairs are compared from this cosine of their rating vectors on.
+LEAST_COSINE = 0.2
+
+
 def pairs_sql(group, member):
-    """Pairs at the ends of the member order and of the rating order."""
-    return f"""pairs AS MATERIALIZED (SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b FROM (
-        SELECT min({member}) AS x, max({member}) AS y FROM ratings GROUP BY {group}
-        UNION ALL
-        SELECT arg_min({member}, (rating, {member})), arg_max({member}, (rating, {member})) FROM ratings GROUP BY {group})
-      WHERE x <> y)"""
+    """All pairs whose vectors reach the cosine, by brute force."""
+    return f"""lengths AS MATERIALIZED (SELECT {member} AS m, sqrt(sum(rating * rating)) AS len FROM ratings GROUP BY {member}),
+      pairs AS MATERIALIZED (SELECT a, b FROM (
+        SELECT x.{member} AS a, y.{member} AS b, sum(x.rating * y.rating) AS dot
+        FROM ratings x JOIN ratings y ON x.{group} = y.{group} AND x.{member} < y.{member} GROUP BY ALL)
+      JOIN lengths p ON p.m = a JOIN lengths q ON q.m = b WHERE dot / (p.len * q.len) >= {LEAST_COSINE})"""
 
 
 def stats_sql(member, by):
@@ -64,9 +69,9 @@ def targets_of(ratings):
     f"{ITEM_STATS_SQL} SELECT a, b, n_both, dot, sum_a, sum_b, n_a, n_b, norm_sq_a, norm_sq_b FROM pair_stats",
 )
 def item_pair_stats(spark, d):
-    """First/last and least/most wanted part of every customer, compared over all customers."""
+    """All parts that are ordered alike, compared over all customers."""
     ratings = ratings_of(spark, d)
-    stats = R.pair_statistics(ratings, R.edge_pairs(ratings, "user", "item", "item", "rating"))
+    stats = R.pair_statistics(ratings, similar_pairs(ratings, LEAST_COSINE))
     return stats.select("a", "b", "n_both", "dot", "sum_a", "sum_b", "n_a", "n_b", "norm_sq_a", "norm_sq_b")
 
 
@@ -84,7 +89,7 @@ def item_pair_stats(spark, d):
 )
 def item_similarity(spark, d):
     ratings = ratings_of(spark, d)
-    stats = R.pair_statistics(ratings, R.edge_pairs(ratings, "user", "item", "item", "rating"))
+    stats = R.pair_statistics(ratings, similar_pairs(ratings, LEAST_COSINE))
     measures = R.similarities(stats)
     return measures.select("a", "b", *[F.round(c, 6).alias(c) for c in measures.columns[2:]])
 
@@ -95,9 +100,9 @@ def item_similarity(spark, d):
         SELECT a, b, round(sqrt(norm_sq_a + norm_sq_b - 2 * dot), 6) AS distance FROM pair_stats""",
 )
 def user_distance(spark, d):
-    """Distances of the customers at both ends of every part's order list."""
+    """Distances of all customers that order alike."""
     ratings = ratings_of(spark, d)
-    pairs = R.edge_pairs(ratings, "item", "user", "user", "rating")
+    pairs = similar_pairs(ratings, LEAST_COSINE, "user", "item")
     found = R.distances(R.pair_statistics(ratings, pairs, "user", "item"))
     return found.withColumn("distance", F.round("distance", 6))
 
@@ -108,14 +113,23 @@ def user_distance(spark, d):
         SELECT a, b, round(sqrt(n_a + n_b - 2 * n_both), 6) AS distance FROM pair_stats""",
 )
 def item_distance(spark, d):
-    """Distances of parts by who ordered them: the transposed 0/1 matrix."""
+    """Distances of all parts that are ordered alike, by who ordered them: the transposed 0/1 matrix."""
     ratings = ratings_of(spark, d)
-    pairs = R.edge_pairs(ratings, "user", "item", "item", "rating")
+    pairs = similar_pairs(ratings, LEAST_COSINE)
     flags = ratings.withColumn("rating", F.lit(1.0))
     found = R.distances(R.pair_statistics(flags, pairs, "item", "user"))
     return found.withColumn("distance", F.round("distance", 6))
 
 
+@query(
+    "item_pairs_above",
+    f"""WITH {RATINGS_SQL}, {pairs_sql('user', 'item')} SELECT a, b FROM pairs""",
+)
+def item_pairs_above(spark, d):
+    """Every two parts whose vectors of ordered quantities have at least the cosine."""
+    return similar_pairs(ratings_of(spark, d), LEAST_COSINE)
+
+
 @query(
     "item_similar_top",
     f"""WITH {RATINGS_SQL},
