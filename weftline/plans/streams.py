@@ -11,7 +11,11 @@ from weftline.session import scratch_path
 from weftline.sources.tables import listed, table
 from weftline.sources.topics import decode_topic
 from weftline.streaming import counts as C
-from weftline.streaming.runner import run_append, run_complete, staged_in_order, stream_lines, stream_table
+from weftline.streaming.arrivals import by_arrival
+from weftline.streaming.runner import (
+    run_append, run_batches, run_complete, run_recovering, staged_in_order, stream_lines, stream_table, write_batch, written,
+)
+from weftline.streaming.state import update_all_keys
 
 # Totals that exist before the first batch.
 SEED = [("hello", 1), ("world", 1)]
@@ -209,19 +213,21 @@ BATCH_SQL = f"SELECT (event_id % {N_BATCHES})::INTEGER AS batch_id, event_type F
 BATCH_COUNTS_SQL = f"SELECT batch_id, event_type, count(*) AS n FROM ({BATCH_SQL}) GROUP BY ALL"
 
 
-def in_batches(spark, d):
-    """Events as a stream of several batches: each comes as one file, written after the one before."""
-    folder = scratch_path(spark, "batches")
-    rows = table(spark, d, "events").select("event_id", "event_type")
-    for batch in range(N_BATCHES):
-        rows.filter(F.col("event_id") % N_BATCHES == batch).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+def in_batches(spark, d, run, *columns, batch=None):
+    """Events as a stream of several batches, each a folder that arrives by itself.
+
+    ``run`` gets the stream, and an output folder and a checkpoint that stay the same.
+    """
+    out, checkpoint = stream_out(spark), scratch_path(spark, "stream-state")
+    rows = table(spark, d, "events").select("event_id", "event_type", *columns)
+    number = F.coalesce(F.col("event_id") % N_BATCHES, F.lit(0)) if batch is None else batch
+    return by_arrival(rows, number, lambda stream: run(stream, out, checkpoint))
 
 
 @query("stream_batches", BATCH_COUNTS_SQL)
 def stream_batches(spark, d):
     """Every batch counted on its own."""
-    return C.counts_per_batch(in_batches(spark, d), stream_out(spark), "event_type")
+    return in_batches(spark, d, lambda stream, out, at: C.counts_per_batch(stream, out, "event_type", checkpoint=at))
 
 
 @query(
@@ -231,7 +237,7 @@ def stream_batches(spark, d):
 def stream_batches_sql(spark, d):
     """Every batch summed up by SQL text over its view."""
     sql = "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM batch GROUP BY event_type"
-    return C.counts_per_batch(in_batches(spark, d), stream_out(spark), sql=sql)
+    return in_batches(spark, d, lambda stream, out, at: C.counts_per_batch(stream, out, sql=sql, checkpoint=at))
 
 
 @query(
@@ -241,7 +247,7 @@ def stream_batches_sql(spark, d):
 def stream_batches_listed(spark, d):
     """Counts of every batch, with a flag on the kinds that a list names."""
     first = table(spark, d, "events").agg(F.min("event_type").alias("event_type"))
-    return C.unlisted_counts_per_batch(in_batches(spark, d), first, stream_out(spark), "event_type")
+    return in_batches(spark, d, lambda stream, out, at: C.unlisted_counts_per_batch(stream, first, out, "event_type", checkpoint=at))
 
 
 @query(
@@ -250,8 +256,8 @@ def stream_batches_listed(spark, d):
 )
 def stream_batches_log(spark, d):
     """One line of totals for every batch."""
-    words = in_batches(spark, d).select(F.col("event_type").alias("word"))
-    return C.log_batches(words, stream_out(spark))
+    return in_batches(spark, d, lambda stream, out, at: C.log_batches(
+        stream.select(F.col("event_type").alias("word")), out, checkpoint=at))
 
 
 RUNNING_SQL = f"""SELECT b AS batch_id, event_type, sum(n)::BIGINT AS n FROM ({BATCH_COUNTS_SQL}) JOIN range({N_BATCHES}) r(b) ON batch_id <= b GROUP BY ALL"""
@@ -264,8 +270,8 @@ RUNNING_SQL = f"""SELECT b AS batch_id, event_type, sum(n)::BIGINT AS n FROM ({B
 )
 def stream_running_first(spark, d):
     """The three kinds with most events since the start, as they stand after every batch."""
-    counted = C.running_counts(in_batches(spark, d), "event_type")
-    return C.first_rows_per_batch(counted, stream_out(spark), F.desc("n"), "event_type", n=3)
+    return in_batches(spark, d, lambda stream, out, at: C.first_rows_per_batch(
+        C.running_counts(stream, "event_type"), out, F.desc("n"), "event_type", n=3, checkpoint=at))
 
 
 @query(
@@ -274,6 +280,118 @@ def stream_running_first(spark, d):
 )
 def stream_update_state(spark, d):
     """State that a function changes: the largest number of events that a kind had in one batch so far."""
-    ones = in_batches(spark, d).select("event_type", F.lit(1).cast("bigint").alias("n"))
-    updates = C.update_by_key(ones, "event_type", "n", lambda added, old: max(added, old or 0))
-    return C.updates_per_batch(updates, stream_out(spark))
+
+    def run(stream, out, checkpoint):
+        ones = stream.select("event_type", F.lit(1).cast("bigint").alias("n"))
+        return C.updates_per_batch(C.update_by_key(ones, "event_type", "n", lambda added, old: max(added, old or 0)), out, checkpoint)
+
+    return in_batches(spark, d, run)
+
+
+def ones_of(column):
+    return lambda stream: stream.select(column, F.lit(1).cast("bigint").alias("n"))
+
+
+# Large events are few, so most users are silent in some batches.
+LARGE = "value > 150"
+BATCH_USERS_SQL = f"""large AS MATERIALIZED (SELECT (event_id % {N_BATCHES})::INTEGER AS batch_id, user_id, count(*) AS n FROM events WHERE {LARGE} GROUP BY ALL),
+  arrived AS MATERIALIZED (SELECT DISTINCT (event_id % {N_BATCHES})::INTEGER AS batch_id FROM events WHERE {LARGE}),
+  grid AS MATERIALIZED (SELECT u.user_id, b.batch_id, l.n FROM (SELECT DISTINCT user_id FROM large) u CROSS JOIN arrived b
+    LEFT JOIN large l ON l.user_id = u.user_id AND l.batch_id = b.batch_id)"""
+
+
+@query(
+    "stream_all_keys",
+    f"""WITH RECURSIVE {BATCH_USERS_SQL}, state AS (
+          SELECT user_id, batch_id, n AS total, CASE WHEN n IS NULL THEN NULL ELSE 0 END::BIGINT AS idle FROM grid WHERE batch_id = 0
+          UNION ALL
+          SELECT user_id, g.batch_id,
+                 CASE WHEN g.n IS NOT NULL THEN coalesce(s.total, 0) + g.n WHEN s.idle + 1 < 2 THEN s.total END,
+                 CASE WHEN g.n IS NOT NULL THEN 0 WHEN s.idle + 1 < 2 THEN s.idle + 1 END
+          FROM state s JOIN grid g USING (user_id) WHERE g.batch_id = s.batch_id + 1)
+        SELECT batch_id, user_id, total, idle FROM state WHERE total IS NOT NULL""",
+)
+def stream_all_keys(spark, d):
+    """Large events of every user after each batch, users without any in it too; after two silent batches a user is forgotten."""
+
+    def update(added, total, idle):
+        return F.when(added.isNotNull(), F.coalesce(total, F.lit(0)) + added).when(idle < 2, total)
+
+    return in_batches(spark, d, lambda stream, out, at: update_all_keys(
+        ones_of("user_id")(stream.where(LARGE)), "user_id", "n", out, update, checkpoint=at), "user_id", "value")
+
+
+@query(
+    "stream_seeded_batches",
+    f"""SELECT b::INTEGER AS batch_id, event_type, sum(n)::BIGINT AS total FROM (
+          SELECT batch_id, event_type, n FROM ({BATCH_COUNTS_SQL})
+          UNION ALL SELECT 0, 'hello', 1 UNION ALL SELECT 0, 'world', 1
+          UNION ALL SELECT 0, min(event_type), 1000 FROM events) JOIN range({N_BATCHES}) r(b) ON batch_id <= b GROUP BY ALL""",
+)
+def stream_seeded_batches(spark, d):
+    """Counts since before the first batch: the state starts with three keys, two of which never come."""
+    first = table(spark, d, "events").agg(F.min("event_type").alias("event_type")).withColumn("total", F.lit(1000).cast("bigint"))
+    seed = spark.createDataFrame(SEED, "event_type string, total bigint").unionByName(first)
+    found = in_batches(spark, d, lambda stream, out, at: update_all_keys(
+        ones_of("event_type")(stream), "event_type", "n", out, seed=seed, checkpoint=at))
+    return found.select("batch_id", "event_type", "total")
+
+
+# Most events come in order of time, in quarters; a fifth of the second quarter comes last.
+ARRIVAL_SQL = """SELECT ts, event_type, CASE WHEN q = 1 AND event_id % 5 = 0 THEN 3 ELSE q END AS batch_id FROM (
+    SELECT *, (4 * event_id) // (SELECT max(event_id) + 1 FROM events) AS q FROM events)"""
+
+
+@query(
+    "stream_late_dropped",
+    f"""WITH arrived AS MATERIALIZED ({ARRIVAL_SQL}),
+          ends AS (SELECT batch_id, max(epoch_ms(ts)) - 600000 AS reach FROM arrived GROUP BY batch_id),
+          marks AS (SELECT batch_id, max(reach) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM ends),
+          placed AS (SELECT event_type, (floor(epoch(ts) / 300) * 300)::BIGINT AS start_s, batch_id FROM arrived),
+          judged AS (SELECT event_type, start_s, (start_s + 300) * 1000 > coalesce(mark, -1) AS kept FROM placed JOIN marks USING (batch_id))
+        SELECT start_s, start_s + 300 AS end_s, event_type, count(*) FILTER (WHERE kept) AS n, count(*) FILTER (WHERE NOT kept) AS n_late
+        FROM judged WHERE (start_s + 300) * 1000 <= (SELECT max(reach) FROM ends)
+        GROUP BY ALL HAVING count(*) FILTER (WHERE kept) > 0""",
+)
+def stream_late_dropped(spark, d):
+    """Closed windows with the events that came in time, and how many were dropped as the watermark had passed their window."""
+    top = table(spark, d, "events").agg(F.max("event_id")).first()[0] or 0
+    quarter = F.floor(4 * F.col("event_id") / F.lit(top + 1)).cast("int")
+    arrival = F.when((quarter == 1) & (F.col("event_id") % 5 == 0), F.lit(3)).otherwise(quarter)
+    found = in_batches(spark, d, lambda stream, out, at: run_append(
+        C.windowed_counts(stream, "ts", "5 minutes", None, "event_type", watermark="10 minutes"), out, at), "ts", batch=arrival)
+    every = C.windowed_counts(table(spark, d, "events"), "ts", "5 minutes", None, "event_type")
+    return found.join(every.withColumnRenamed("n", "n_all"), ["start_s", "end_s", "event_type"]).select(
+        "start_s", "end_s", "event_type", "n", (F.col("n_all") - F.col("n")).alias("n_late"))
+
+
+@query("stream_recovered", f"SELECT batch_id, event_type, n, CASE WHEN batch_id = 1 THEN 2 ELSE 1 END::BIGINT AS n_tries FROM ({BATCH_COUNTS_SQL})")
+def stream_recovered(spark, d):
+    """The sink fails once, after it has written the second batch and before that is committed; the query goes on from its checkpoint."""
+    tries = {}
+
+    def run(stream, out, checkpoint):
+        def sink(frame, batch_id):
+            tries[batch_id] = tries.get(batch_id, 0) + 1
+            write_batch(frame.groupBy("event_type").agg(F.count("*").alias("n"), F.lit(tries[batch_id]).cast("bigint").alias("n_tries")), out, batch_id)
+            if batch_id == 1 and tries[batch_id] == 1:
+                raise OSError("the sink has failed")
+
+        run_recovering(stream, sink, checkpoint=checkpoint)
+        return written(spark, out, spark.createDataFrame([], "event_type string, n bigint, n_tries bigint, batch_id int").schema)
+
+    return in_batches(spark, d, run)
+
+
+@query("stream_interval_updates", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_interval_updates(spark, d):
+    """Update output on a processing-time trigger: the changed counts of each batch; the last word on every kind counts."""
+    out = stream_out(spark)
+    counted = C.running_counts(stream_table(spark, d, "events").select("event_type"), "event_type")
+    query_ = run_batches(counted, lambda frame, batch_id: write_batch(frame, out, batch_id), "update", trigger="200 milliseconds")
+    try:
+        query_.processAllAvailable()
+    finally:
+        query_.stop()
+    updates = written(spark, out, spark.createDataFrame([], "event_type string, n bigint, batch_id int").schema)
+    return updates.groupBy("event_type").agg(F.max_by("n", "batch_id").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,23 +26,28 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
 
 
 def staged_in_order(df: DataFrame, time: str, rows_per_file: int = 1_000_000) -> str:
-    """Folder with one file for each range of ``time``, written one after the other.
+    """Folder with one file for each range of ``time``, in the order in which a stream takes them.
 
     A stream over it meets no row that is older than a file it has read, so the
-    watermark drops the same rows however many files make a batch.
+    watermark drops the same rows however many files make a batch.  One job
+    writes all files: rows are dealt out by range of time and row number, so
+    equal times are spread as well; rows without a time come first.  A file
+    stream reads files by their modification time, which is set to the order of
+    the ranges afterwards.
     """
     spark = df.sparkSession
     folder = scratch_path(spark, "ordered")
     files = max(1, -(-df.count() // rows_per_file))
-    cuts = []
-    if files > 1:
-        shares = F.array(*[F.lit(i / files) for i in range(1, files)])
-        cuts = df.agg(F.percentile_approx(time, shares, 10_000)).first()[0]
-    bounds = [None, *sorted(set(cuts)), None]
-    for low, high in zip(bounds, bounds[1:]):
-        part = df if low is None else df.filter(F.col(time) >= F.lit(low))
-        part = part if high is None else part.filter(F.col(time) < F.lit(high))
-        part.coalesce(1).write.mode("append").parquet(folder)
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    numbered.repartitionByRange(files, F.col(time).asc_nulls_first(), "_row").drop("_row").write.parquet(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Part files are numbered by their partition.
+    parts = sorted((s.getPath().getName(), s) for s in system.listStatus(path) if s.getPath().getName().startswith("part-"))
+    latest = max((s.getModificationTime() for _, s in parts), default=0)
+    for place, (_, status) in enumerate(parts):
+        # A second apart, which every file system can tell, and none in the future.
+        system.setTimes(status.getPath(), latest - 1000 * (len(parts) - 1 - place), -1)
     return folder
 
 
@@ -87,6 +92,26 @@ def run_batches(
     return query
 
 
+def run_recovering(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None, restarts: int = 3,
+) -> int:
+    """Process all available input; after a failure start again from the checkpoint, up to ``restarts`` times.
+
+    The batch that failed is handed to ``handle`` again with the same rows and
+    number, so a sink that replaces what it wrote under that number has every
+    batch once.  Returns how often the query was started again; the failure
+    after that is raised.
+    """
+    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream-state")
+    for tried in range(restarts + 1):
+        try:
+            run_batches(stream, handle, mode, checkpoint)
+            return tried
+        except StreamingQueryException:
+            if tried == restarts:
+                raise
+
+
 def written(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
     """What batches have written below ``out``; empty where no batch has come yet."""
     try:
