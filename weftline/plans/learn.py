@@ -6,14 +6,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from weftline.operators import certify
 from weftline.operators import learn as L
 from weftline.plans.registry import query
+from weftline.session import scratch_path, staged
 from weftline.sources.tables import table, widened
 
 
-@query("logreg_predict")
-def logreg_predict(spark, d):
-    """Large orders from line count and quantity, with per-fit overrides."""
+def order_vectors(spark, d):
+    """Orders with label (large) and vector (lines, quantity)."""
     lines = (
         table(spark, d, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -22,9 +23,13 @@ def logreg_predict(spark, d):
     orders = table(spark, d, "orders").select(
         "o_orderkey", (F.col("o_totalprice") > 250000).cast("double").alias("label")
     )
-    vectors = VectorAssembler(inputCols=["n_lines", "quantity"], outputCol="features").transform(
-        orders.join(lines, "o_orderkey")
-    )
+    return VectorAssembler(inputCols=["n_lines", "quantity"], outputCol="features").transform(orders.join(lines, "o_orderkey"))
+
+
+@query("logreg_predict")
+def logreg_predict(spark, d):
+    """Large orders from line count and quantity, with per-fit overrides."""
+    vectors = order_vectors(spark, d)
     # The settings that the results depend on.
     overrides = L.merged({"maxIter": 20}, {"maxIter": 30}, {"regParam": 0.1, "threshold": 0.55}, {"probabilityCol": "p_large"})
     model = L.fit_logistic(vectors.select("label", "features"), overrides=overrides)
@@ -78,3 +83,59 @@ def text_classifier_form(spark, d):
 )
 def logreg_form(spark, d):
     return prediction_form(logreg_predict(spark, d), "o_orderkey", 0.55)
+
+
+# A fit that ends at the optimum, not after a number of steps.
+CONVERGED = {"maxIter": 200, "tol": 1e-12}
+SLOPE = 1e-4
+
+
+def certified(spark, model, rows, key, reg):
+    """Rows with the model's and the recomputed probability, and the slopes of the loss at its weights."""
+    weights = certify.exported_weights(spark, model.coefficients)
+    terms = staged(certify.term_rows(rows, "features", key), "terms")
+    p = certify.recomputed_probability(terms, weights, model.intercept, key)
+    # A row without any feature has the intercept alone.
+    bare = 1 / (1 + F.exp(-F.lit(model.intercept)))
+    scored = L.positive_share(model.transform(rows)).select(key, "label", "p1").join(p, key, "left").withColumn("p", F.coalesce("p", bare))
+    scored = staged(scored, "scored")
+    return scored, certify.logistic_gradient(terms, scored.select(key, "label", "p"), weights, reg)
+
+
+@query(
+    "logreg_certificate",
+    """SELECT o_orderkey, true AS recomputed, true AS optimal FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+)
+def logreg_certificate(spark, d):
+    """The model's probabilities follow from its weights, and at these weights the loss over all orders has no slope."""
+    vectors = staged(order_vectors(spark, d).select("o_orderkey", "label", "features"), "vectors")
+    model = L.fit_logistic(vectors.select("label", "features"), overrides=L.merged(CONVERGED, {"regParam": 0.1}))
+    scored, slopes = certified(spark, model, vectors, "o_orderkey", 0.1)
+    steepest = slopes.agg(F.max(F.abs("scaled"))).first()[0]
+    return scored.select("o_orderkey", (F.abs(F.col("p1") - F.col("p")) < 1e-9).alias("recomputed"), F.lit(steepest < SLOPE).alias("optimal"))
+
+
+@query(
+    "text_classifier_certificate",
+    """SELECT doc_id, true AS recomputed, true AS optimal FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL""",
+)
+def text_classifier_certificate(spark, d):
+    """As above for quality from hashed words, over all labelled documents."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").where("quality IS NOT NULL").select("doc_id", F.col("quality").cast("double").alias("label"))
+    rows = staged(L.hashed_terms(widened(docs.join(labels, "doc_id"))).select("doc_id", "label", "features"), "vectors")
+    model = L.fit_logistic(rows.select("label", "features"), reg=0.001, overrides=CONVERGED)
+    scored, slopes = certified(spark, model, rows, "doc_id", 0.001)
+    steepest = slopes.agg(F.max(F.abs("scaled"))).first()[0]
+    return scored.select("doc_id", (F.abs(F.col("p1") - F.col("p")) < 1e-9).alias("recomputed"), F.lit(steepest < SLOPE).alias("optimal"))
+
+
+@query("model_reload", "SELECT doc_id, true AS same FROM documents")
+def model_reload(spark, d):
+    """A pipeline that was saved and loaded again predicts as before."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    model = L.text_classifier().fit(docs.join(labels, "doc_id"))
+    again = L.save_and_reload(model, scratch_path(spark, "model"))
+    both = [L.positive_share(m.transform(docs)).select("doc_id", F.struct("p1", "prediction").alias(name)) for m, name in ((model, "a"), (again, "b"))]
+    return both[0].join(both[1], "doc_id").select("doc_id", F.col("a").eqNullSafe(F.col("b")).alias("same"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from weftline.operators import certify
 from weftline.operators import recommend as R
+from weftline.operators.ranking import top_per_key
 from weftline.operators.simjoin import similar_pairs
 from weftline.plans.registry import query
 from weftline.session import staged
@@ -244,3 +247,37 @@ def als_recommend_form(spark, d):
     n = F.col("n_items")
     return lists.select(
         F.col("user").cast("bigint").alias("user"), "n_items", (F.col("n_named") == n).alias("named"), (F.col("n_different") == n).alias("different"), (F.col("n_bad") == 0).alias("scored"))
+
+
+# The settings of the factorisation.
+REG, ALPHA = 0.01, 1.0
+
+
+@query("als_residual", f"WITH {RATINGS_SQL} SELECT DISTINCT user::BIGINT AS user, true AS solved FROM ratings")
+def als_residual(spark, d):
+    """Whether every customer's factors solve the normal equations that the parts' factors and all ratings give them."""
+    ratings = ratings_of(spark, d)
+    found = certify.implicit_residuals(ratings, R.fit_implicit(ratings, reg=REG, alpha=ALPHA), REG, ALPHA)
+    return found.select(F.col("user").cast("bigint").alias("user"), (F.col("residual") < 1e-4).alias("solved"))
+
+
+@query(
+    "als_scores",
+    f"""WITH {RATINGS_SQL}, {TARGETS_SQL} SELECT target AS user, p::BIGINT AS place, true AS recomputed, true AS best FROM targets CROSS JOIN range(1, 6) r(p)""",
+)
+def als_scores(spark, d):
+    """The recommended scores are the products of the factors, and no other part has a higher one."""
+    ratings = ratings_of(spark, d)
+    targets = targets_of(ratings)
+    model = R.fit_implicit(ratings, reg=REG, alpha=ALPHA)
+    best = certify.recomputed_scores(staged(R.recommend(model, targets, 5), "lists"), model)
+    placed = best.withColumn("place", F.row_number().over(Window.partitionBy("user").orderBy(F.desc("product"), "item")))
+    # The fifth largest of all products: every part against the customers asked for, whose factors are few numbers.
+    asked = model.userFactors.join(targets.select(F.col("user").alias("id")), "id", "left_semi").collect()
+    users = F.array(*[F.struct(F.lit(r["id"]).alias("user"), F.array(*map(F.lit, r["features"])).alias("x")) for r in asked])
+    every = model.itemFactors.select("features", F.explode(users).alias("u")).select("u.user", certify.dot(F.col("u.x"), F.col("features")).alias("product"))
+    fifth = top_per_key(every, "user", [F.desc("product")], 5).groupBy("user").agg(F.min("product").alias("fifth"))
+    near = 1e-5
+    return placed.join(fifth, "user").select(
+        F.col("user").cast("bigint").alias("user"), F.col("place").cast("bigint").alias("place"),
+        (F.abs(F.col("score") - F.col("product")) < near).alias("recomputed"), (F.col("product") >= F.col("fifth") - near).alias("best"))
