@@ -85,6 +85,44 @@ def pagerank(
     return _scaled(state.select("id", "rank"), personalized)
 
 
+def pagerank_many(
+    edges: DataFrame, sources: DataFrame, iterations: int, reset: float = 0.15, rows_per_split: int = 1_000_000,
+) -> DataFrame:
+    """``(source, id, rank)``: personalized ranks for every vertex in ``sources`` (``id``) after a number of rounds.
+
+    The state is keyed by source and vertex and holds only what a source has
+    reached, so a round is one join for all sources and grows with what they
+    reach.  Ranks of a source sum to 1; vertices it does not reach have no row.
+    Each rank is the one that :func:`pagerank` gives for its source alone.
+    """
+    if iterations <= 0:
+        raise ValueError("the number of iterations must be positive")
+    _check(reset)
+    placed, degrees = layout(_links(edges), rows_per_split, F.sum("n"))
+    try:
+        asked = cut_lineage(sources.select(F.col("id").alias("source")).distinct())
+        missing = asked.join(edge_ids(placed).withColumnRenamed("id", "source"), "source", "left_anti")
+        if not missing.isEmpty():
+            raise ValueError("a source is not a vertex of the graph")
+        own = asked.select("source", F.col("source").alias("id"), F.lit(0.0).alias("c"))
+        state = asked.select("source", F.col("source").alias("id"), F.lit(1.0).alias("rank"))
+        for round_no in range(1, iterations + 1):
+            share = (F.col("rank") / F.col("out_deg")).alias("share")
+            send = senders(state.join(degrees, "id").select("id", "source", share, "splits"))
+            received = placed.join(send, ["src", "split"]).select(
+                F.col("src_source").alias("source"), F.col("dst").alias("id"), (F.col("src_share") * F.col("n")).alias("c"))
+            home = F.when(F.col("id") == F.col("source"), F.lit(float(reset))).otherwise(F.lit(0.0))
+            state = own.unionByName(received).groupBy("source", "id").agg(F.sum("c").alias("c")).select(
+                "source", "id", (home + (1 - reset) * F.col("c")).alias("rank"))
+            if round_no % ROUNDS_PER_JOB == 0 or round_no == iterations:
+                state = cut_lineage(state)
+    finally:
+        placed.unpersist()
+    # One row per source.
+    totals = state.groupBy("source").agg(F.sum("rank").alias("total"))
+    return state.join(totals, "source").where(F.col("rank") > 0).select("source", "id", (F.col("rank") / F.col("total")).alias("rank"))
+
+
 def pagerank_until(
     edges: DataFrame,
     tol: float,

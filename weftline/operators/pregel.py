@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.graph import edge_ids, layout
+from weftline.operators.graph import edge_ids, layout, with_edge_vertices
+from weftline.operators.relational import broadcast_if_small
 from weftline.session import cut_lineage
 
 
@@ -33,9 +34,15 @@ def pregel(
     initial: dict[str, Column] | None = None,
     active: str = "src",
     to: str = "dst",
+    unknown: dict[str, Column] | None = None,
+    closed: bool = False,
 ) -> DataFrame:
     """Run a vertex program from the state in ``vertices`` (unique ``id``).
 
+    Ends of edges that ``vertices`` does not list are vertices too, with the
+    attributes in ``unknown`` and null for others.  ``closed`` says that there
+    are none, which saves looking for them; an edge with such an end is then lost.
+
     Every round, each active vertex with edges sends ``message`` (over edge
     columns and ``src_*``, with ``fields="both"`` also ``dst_*``) along those
     edges where ``when`` holds.  The messages of a destination are reduced by
@@ -53,6 +60,10 @@ def pregel(
     start = vertices if initial is None else vertices.select(
         *[initial[c].alias(c) if c in initial else F.col(c) for c in vertices.columns])
     placed, sources = layout(edges, rows_per_split)
+    if not closed:
+        kinds = dict(start.dtypes)
+        extra = {c: (unknown or {}).get(c, F.lit(None)).cast(kinds[c]) for c in start.columns if c != "id"}
+        start = with_edge_vertices(start, placed, extra)
     return run_rounds(start, placed, sources, message, merge, update, when, stays_active, fields, max_rounds, active, to)
 
 
@@ -121,25 +132,39 @@ def run_rounds(
     return state.select(*vertices.columns)
 
 
-def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int, weight: str = "weight") -> DataFrame:
+# Rounds that are planned as one job before the state is checkpointed and looked at.
+ROUNDS_PER_JOB = 5
+
+
+def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int, weight: str = "weight", rows_per_split: int = 1_000_000) -> DataFrame:
     """``(id, dist)`` from one vertex over non-negative weights; infinity if out of reach.
 
-    Of parallel edges only the lightest matters, so they are reduced first.
-    Messages need just the source side: a receiver that does not improve
-    turns inactive, which has the same effect as comparing before sending.
+    Of parallel edges only the lightest matters, so they are reduced first.  A
+    loop of weight 0 on every vertex carries its distance to the next round, so
+    a round is one join and one aggregate over a single reading of the state,
+    and several rounds make a job.  Only vertices whose distance fell in the
+    last round send along their other edges.  It is over when none did.
     """
-    lightest = edges.groupBy("src", "dst").agg(F.min(weight).alias("weight"))
+    lightest = edges.where("src <> dst").groupBy("src", "dst").agg(F.min(weight).cast("double").alias("weight"))
     # Ends of edges that are not listed are vertices too.
     everyone = vertices.select("id").union(edge_ids(edges)).distinct()
-    start = everyone.select(
-        "id", F.when(F.col("id") == source, F.lit(0.0)).otherwise(F.lit(float("inf"))).alias("dist")
-    )
-    return pregel(
-        start,
-        lightest,
-        message=F.col("src_dist") + F.col("weight"),
-        when=F.col("src_dist") < F.lit(float("inf")),
-        merge=F.min("msg"),
-        update={"dist": F.least("dist", "msg")},
-        stays_active=F.col("msg") < F.col("dist"),
-    )
+    loops = everyone.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("weight"))
+    placed, sources = layout(lightest.unionByName(loops), rows_per_split)
+    large = broadcast_if_small(sources.where("splits > 1").select("id", "splits"))
+    start = F.when(F.col("src") == source, F.lit(0.0)).otherwise(F.lit(float("inf")))
+    try:
+        # Loops are laid out already, so the first state needs no shuffle for them.
+        state = cut_lineage(placed.where("src = dst").select(F.col("src").alias("id"), start.alias("dist"), (F.col("src") == source).alias("fell")))
+        while not state.where("fell").isEmpty():
+            for _ in range(ROUNDS_PER_JOB):
+                known = state.join(large, "id", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
+                loop = F.col("src") == F.col("dst")
+                sent = placed.join(senders(known), ["src", "split"]).where(loop | F.col("src_fell"))
+                best = sent.select(
+                    F.col("dst").alias("id"), (F.col("src_dist") + F.col("weight")).alias("reach"), F.when(loop, F.col("src_dist")).alias("was"),
+                ).groupBy("id").agg(F.min("reach").alias("dist"), F.min("was").alias("was"))
+                state = best.select("id", "dist", (F.col("dist") < F.col("was")).alias("fell"))
+            state = cut_lineage(state)
+    finally:
+        placed.unpersist()
+    return state.select("id", "dist")

@@ -69,12 +69,15 @@ def parquet_merge_schema(spark, d):
 
 @query(
     "range_squares",
-    """SELECT i AS value, i * i AS square FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders)) t(i)""",
+    """SELECT i AS value, i * i AS square, count(o_orderkey) AS n_orders
+       FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders)) t(i) LEFT JOIN orders ON o_orderkey = i GROUP BY i""",
 )
 def range_squares(spark, d):
-    """A generated range as long as the order keys; only its bound reaches the driver."""
-    top = table(spark, d, "orders").agg(F.max("o_orderkey")).first()[0]
-    return spark.range(top + 1).select(F.col("id").alias("value"), (F.col("id") * F.col("id")).alias("square"))
+    """A generated range as long as the order keys, met by the orders that have them; only its bound reaches the driver."""
+    keys = table(spark, d, "orders").select(F.col("o_orderkey").alias("value"))
+    top = keys.agg(F.max("value")).first()[0]
+    numbers = spark.range(top + 1).select(F.col("id").alias("value"), (F.col("id") * F.col("id")).alias("square"))
+    return numbers.join(keys.groupBy("value").agg(F.count("*").alias("n_orders")), "value", "left").fillna(0, ["n_orders"])
 
 
 @query("managed_table_roundtrip", "SELECT c_custkey AS key, c_name AS value FROM customer")

@@ -279,6 +279,21 @@ def pagerank_personalized(spark, d):
     return rounded(PR.pagerank(edges_of(spark, d), iterations=10, source=5))
 
 
+MANY_SOURCES = (1, 2, 3, 5, 7)
+
+
+@query(
+    "pagerank_many_sources",
+    " UNION ALL ".join(f"SELECT {s}::BIGINT AS source, id, rank FROM ({fixed_rank_sql(10, source=s)}) WHERE rank > 0" for s in MANY_SOURCES),
+)
+def pagerank_many_sources(spark, d):
+    """Ranks as seen from each of five suppliers, all in one run; ranks that are printed as 0 are left out."""
+    edges = edges_of(spark, d)
+    sources = edges.select(F.col("src").alias("id")).where(F.col("id").isin(*MANY_SOURCES))
+    ranks = PR.pagerank_many(edges, sources, iterations=10)
+    return ranks.select("source", "id", F.round("rank", 6).alias("rank")).where("rank > 0")
+
+
 @query("pagerank_converged", converged_rank_sql(16, 0.0001))
 def pagerank_converged(spark, d):
     return rounded(PR.pagerank_until(edges_of(spark, d), tol=0.0001))
