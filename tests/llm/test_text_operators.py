@@ -182,6 +182,40 @@ def test_languages_of_odd_texts(spark):
     assert langid.identify(frame(spark, odd[3:4]), {}).first()["lang_pred"] == "und"
 
 
+def test_scripts_without_spaces_and_with_marks(spark):
+    """Letters keep their marks, and a clause without spaces is told from another language by its parts."""
+    assert langid.letters_of("हिन्दी भाषा, ไทยดี 3!") == "हिन्दी भाषा ไทยดี "
+    rng = random.Random(8)
+    parts = {"aa": ["東京", "大阪", "です", "ます", "行き", "見る"], "bb": ["北京", "上海", "我們", "喜歡", "去看", "什麼"], "cc": ["हिन्दी", "भाषा", "में", "है"]}
+    rows = [row(100 * i + j, "".join(rng.choice(parts[lang]) for _ in range(rng.randint(4, 60))) + "。", lang)
+            for i, lang in enumerate(parts) for j in range(60)]
+    docs = frame(spark, rows)
+    got = langid.identify(docs, langid.learn_dictionaries(docs.where("doc_id % 2 = 0"))).where("doc_id % 2 = 1").collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) >= 0.97
+
+
+def test_sizes_are_those_of_each_dictionary(spark):
+    """Brute force: every chunk compressed with every dictionary by itself."""
+    import zstandard
+    learned = langid.learn_dictionaries(frame(spark, languages(60)))
+    rows = languages(20) + [row(7000, "ab cd " * 9000)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(spark, rows), learned).collect()}
+    for r in rows:
+        data = langid.letters_of(r[1]).encode()
+        sizes = {}
+        for lang in sorted(learned):
+            content = zstandard.ZstdCompressionDict(learned[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            one = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(one.compress(data[i:i + langid.CHUNK_BYTES])) for i in range(0, len(data), langid.CHUNK_BYTES))
+        assert sizes[got[r[0]]] <= min(sizes.values()) + 2, (r[0], sizes)
+
+
+def test_dictionaries_are_whole_texts_within_their_bound(spark):
+    rows = [row(i, f"w{'x' * (i % 7)} " * (i % 50 + 1), "aa") for i in range(300)] + [row(500, "copy of all", "bb")] * 40 + [row(501, "long " * 9000, "bb")]
+    learned = langid.learn_dictionaries(frame(spark, rows), size=2000)
+    assert len(learned["aa"]) <= 2000 and learned["bb"] == b"copy of all"
+
+
 def graded(n=300):
     rng, words = random.Random(7), vocabulary(7)
     rows, labels = [], []

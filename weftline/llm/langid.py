@@ -1,22 +1,18 @@
 """Language identification by compression.
 
-A language is a zstandard dictionary of raw content: the words of pieces of its
-training texts, the commonest last, where the compressor finds them first.  A
-text belongs to the language whose dictionary compresses it to the fewest
-bytes; a narrow margin is reported as a rejection.  Words stand alone in the
-dictionaries, so a passage that was copied into many texts draws none of them
-to the language it was learned with.
+A language is a zstandard dictionary of raw content: whole sampled texts of it,
+one after the other, with nothing but letters and marks left.  A text belongs to
+the language whose dictionary compresses it to the fewest bytes; a narrow margin
+is reported as a rejection.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,58 +20,52 @@ from pyspark.sql import types as T
 from weftline.llm.common import text_or_empty, text_slices, texts_of, without
 
 UNKNOWN = "und"
-# Bound of the training sample: pieces for each language and characters of a piece.
-SAMPLE_PIECES, PIECE_CHARS = 48, 2048
+# Bound of the training sample: texts that are drawn for each language, and bytes of those that are taken.
+SAMPLE_TEXTS, DICTIONARY_BYTES = 256, 64_000
 # A whole text is compressed in chunks, so that the dictionary helps all along it.
 CHUNK_BYTES = 8192
 LEVEL = 6
-# Most bytes of a dictionary.
-DICTIONARY_BYTES = 40_000
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Combining marks belong to their letters.
+NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 # Smallest gain over the second language, as a share of the best size.
 MARGIN = 0.01
 
 
 def letters_of(text: str) -> str:
-    """Words of letters in lower case; digits and signs say nothing of the language."""
+    """Letters with their marks in lower case; digits and signs say nothing of the language."""
     return NOT_LETTERS.sub(" ", text.lower())
 
 
-def word_dictionaries(pieces: dict[str, list[str]]) -> dict[str, bytes]:
-    """Dictionary by language; a word goes to the languages where most pieces have it."""
-    counts = {lang: Counter(word for piece in parts for word in set(letters_of(piece).split())) for lang, parts in pieces.items()}
-    most: Counter = Counter()
-    for own in counts.values():
-        most |= own
-    return {
-        lang: " ".join(sorted((w for w in own if own[w] == most[w]), key=lambda w: (own[w], zlib.crc32(w.encode()), w))).encode()[-DICTIONARY_BYTES:]
-        for lang, own in counts.items()
-    }
+def learn_dictionaries(docs: DataFrame, texts: int = SAMPLE_TEXTS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+    """Raw dictionary by language from rows of (text, lang); null languages and texts teach nothing.
 
-
-def learn_dictionaries(docs: DataFrame, pieces: int = SAMPLE_PIECES, chars: int = PIECE_CHARS) -> dict[str, bytes]:
-    """Raw dictionary by language from rows of (doc_id, text, lang); null languages and texts teach nothing.
-
-    For every language the documents are dealt to ``pieces`` groups by a hash,
-    the least hash of each is drawn and a piece of up to ``chars`` characters
-    is cut at a place given by the hash.  So the driver gets at most
-    ``pieces * chars`` characters a language, however many rows there are or
-    are repeated.
+    For every language the texts are dealt to ``texts`` groups by a hash and the
+    least hash of each is drawn, so equal texts are one.  Whole texts are taken
+    in the order of their hash as long as they are ``size`` bytes together; a
+    single one of over a quarter of that is not in the sample.  So the driver
+    gets at most ``size`` bytes of text a language, however many rows there are
+    or are repeated.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", F.lit(1)).alias("h"))
-    drawn = known.groupBy("lang", F.pmod("h", F.lit(pieces)).alias("g")).agg(F.min("h").alias("h")).collect()
-    if not drawn:
+    h = F.xxhash64("text", F.lit(1))
+    known = docs.where(F.col("lang").isNotNull() & (F.octet_length("text") <= size // 4)).select(
+        F.col("lang").cast("string").alias("lang"), "text", h.alias("h"))
+    drawn = known.groupBy("lang", F.pmod("h", F.lit(texts)).alias("g")).agg(
+        F.min(F.struct("h", F.octet_length("text").alias("n"))).alias("least")).select("lang", "least.*").collect()
+    taken, room = [], {}
+    for row in sorted(drawn, key=lambda r: (r["lang"], r["h"])):
+        left = room.get(row["lang"], size)
+        if row["n"] <= left:
+            taken.append((row["lang"], row["h"]))
+            room[row["lang"]] = left - row["n"]
+    if not taken:
         return {}
-    room = F.greatest(F.length("text") - chars, F.lit(0)) + 1
-    cut = F.substring(F.col("text"), F.pmod(F.shiftright("h", 7), room).cast("int") + 1, F.lit(chars))
-    rows = known.where(F.col("h").isin([r["h"] for r in drawn])).groupBy("lang", "h").agg(F.min(cut).alias("piece")).collect()
-    chosen = {(r["lang"], r["h"]) for r in drawn}
+    # At most `texts` rows of two values for each language.
+    wanted = docs.sparkSession.createDataFrame(taken, "lang string, h long")
+    rows = known.join(F.broadcast(wanted), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
     content: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["h"])):
-        if (row["lang"], row["h"]) in chosen:
-            content.setdefault(row["lang"], []).append(row["piece"])
-    return word_dictionaries(content)
+        content.setdefault(row["lang"], []).append(row["text"])
+    return {lang: letters_of(" ".join(parts)).encode() for lang, parts in content.items()}
 
 
 def compressors(dictionaries: dict[str, bytes]) -> list:
