@@ -1,9 +1,10 @@
 """Language identification by compression.
 
 A language is a zstandard dictionary of raw content: whole sampled texts of it,
-one after the other, with nothing but letters and marks left.  A text belongs to
-the language whose dictionary compresses it to the fewest bytes; a narrow margin
-is reported as a rejection.
+one after the other, with nothing but letters and marks left.  Sentences in a
+sampled text that another language's other texts compress better are quotations
+and stay out.  A text belongs to the language whose dictionary compresses it to
+the fewest bytes; a narrow margin is reported as a rejection.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ LEVEL = 6
 NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 # Smallest gain over the second language, as a share of the best size.
 MARGIN = 0.01
+SENTENCE_END = regex.compile(r"[.!?。！？\n]+")
 
 
 def letters_of(text: str) -> str:
@@ -65,7 +67,32 @@ def learn_dictionaries(docs: DataFrame, texts: int = SAMPLE_TEXTS, size: int = D
     content: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["h"])):
         content.setdefault(row["lang"], []).append(row["text"])
-    return {lang: letters_of(" ".join(parts)).encode() for lang, parts in content.items()}
+    return raw_dictionaries(content)
+
+
+def raw_dictionaries(content: dict[str, list[str]]) -> dict[str, bytes]:
+    """Dictionary by language: its texts without the sentences that are another language's.
+
+    A passage that is copied into texts of several languages would draw others
+    that have it to wherever it was sampled.  So the sentences of each half of
+    the texts are judged by the dictionaries of the other half.
+    """
+    halves = [{lang: letters_of(" ".join(parts[k::2])).encode() for lang, parts in content.items()} for k in (0, 1)]
+    langs = sorted(content)
+    judges = [compressors(half) for half in halves]
+    kept: dict[str, bytes] = {}
+    for lang, parts in content.items():
+        sentences = []
+        for i, text in enumerate(parts):
+            for sentence in SENTENCE_END.split(text):
+                data = letters_of(sentence).strip()
+                if not data:
+                    continue
+                sizes = compressed_sizes(data, judges[1 - i % 2])
+                if sizes[langs.index(lang)] <= sizes.min() * (1 + MARGIN):
+                    sentences.append(data)
+        kept[lang] = " ".join(sentences).encode() or letters_of(" ".join(parts)).encode()
+    return kept
 
 
 def compressors(dictionaries: dict[str, bytes]) -> list:
@@ -81,8 +108,9 @@ def compressors(dictionaries: dict[str, bytes]) -> list:
     return made
 
 
-def compressed_sizes(text: str, compress: list) -> np.ndarray:
-    data = letters_of(text).encode()
+def compressed_sizes(letters: str, compress: list) -> np.ndarray:
+    """Bytes of a text of :func:`letters_of` with each dictionary."""
+    data = letters.encode()
     sizes = np.zeros(len(compress))
     for start in range(0, len(data), CHUNK_BYTES):
         chunk = data[start:start + CHUNK_BYTES]
@@ -90,20 +118,31 @@ def compressed_sizes(text: str, compress: list) -> np.ndarray:
     return sizes
 
 
-def judged(text: str, langs: list[str], compress: list, margin: float) -> tuple[str, float, bool]:
+def judged(text: str, langs: list[str], dictionaries: list[bytes], compress: list, margin: float) -> tuple[str, float, bool]:
+    """Language, score and whether the margin is narrow.
+
+    A text of a few words is often stored as it is by all; then the dictionary
+    that has most of its words counts as smallest.
+    """
     if not langs or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
-    sizes = compressed_sizes(text, compress)
-    order = np.argsort(sizes, kind="stable")
-    best = int(order[0])
-    narrow = len(langs) > 1 and sizes[order[1]] - sizes[best] < margin * sizes[best]
+    letters = letters_of(text)
+    sizes = compressed_sizes(letters, compress)
+    ties = np.flatnonzero(sizes == sizes.min())
+    best = int(ties[0])
+    if len(ties) > 1:
+        words = [w.encode() for w in letters.split()]
+        best = int(max(ties, key=lambda i: (sum(len(w) for w in words if b" " + w + b" " in dictionaries[i]), -i)))
+    rest = np.delete(sizes, best)
+    narrow = len(rest) > 0 and rest.min() - sizes[best] < margin * sizes[best]
     return langs[best], float(1 / np.exp2(np.maximum(sizes[best] - sizes, -1000)).sum()), bool(narrow)
 
 
 def identify_batches(batches: Iterable[pa.RecordBatch], dictionaries: dict[str, bytes], margin: float) -> Iterator[pa.RecordBatch]:
     langs, compress = sorted(dictionaries), compressors(dictionaries)
+    contents = [dictionaries[lang] for lang in langs]
     for part in text_slices(batches, "__text"):
-        found = [judged(text, langs, compress, margin) for text in texts_of(part, "__text")]
+        found = [judged(text, langs, contents, compress, margin) for text in texts_of(part, "__text")]
         columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
         yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], [*part.schema.names[:-1], "lang_pred", "score", "narrow"])
 
@@ -114,7 +153,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
     ``narrow`` marks a text whose best language is hardly better than the next;
     callers that want to reject such texts drop them.  A null text, one without
     a letter, or having learned no language gives ``und``, 0 and narrow.  Equal
-    sizes go to the language first by name.  Rows are judged one by one, so
+    sizes go to the language that knows most of the words, then by name.  Rows are judged one by one, so
     repeated rows get the same answer and an empty table an empty one.  Other
     columns stay; input columns called like a result give way.
     """
