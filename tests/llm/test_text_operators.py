@@ -243,6 +243,49 @@ def test_quality_of_held_out_texts(spark):
     assert quality.score(empty(spark), model).count() == 0
 
 
+def test_word_vectors_are_sums_of_their_neighbours():
+    """Brute force: index vector plus the mean of the index vectors within the window, for words and for forms."""
+    rng, words = random.Random(3), vocabulary(3, 30)
+    samples = [[rng.choice(words).title() if rng.random() < 0.3 else rng.choice(words) + rng.choice(["", "!", "2"]) for _ in range(rng.randint(0, 60))] for _ in range(120)]
+    forms, frequent, vectors = quality.word_vectors(samples)
+    assert frequent and quality.REPEAT in forms
+
+    def brute(names_of):
+        total, times = defaultdict(lambda: np.zeros(quality.DIMENSIONS)), Counter()
+        for own in map(names_of, samples):
+            for i, name in enumerate(own):
+                for j in range(max(0, i - quality.WINDOW), min(len(own), i + quality.WINDOW + 1)):
+                    if j != i:
+                        total[name] += quality.index_vector(own[j])
+                        times[name] += 1
+        return lambda name: quality.index_vector(name) + total[name] / max(times[name], 1)
+
+    of_form = brute(lambda own: [quality.form(w) for w in own])
+    of_word = brute(lambda own: ["word " + w.lower() if w.lower() in frequent else quality.form(w) for w in own])
+    assert all(np.allclose(vectors[i], of_form(name), atol=1e-4) for name, i in forms.items())
+    assert all(np.allclose(vectors[i], of_word("word " + w), atol=1e-4) for w, i in frequent.items())
+
+
+def test_pooling_and_network_are_those_of_plain_sums(spark):
+    rows, labels = graded(150)
+    model = quality.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    pooler = quality.Pooler(model.forms, model.frequent, model.vectors)
+    got = {r["doc_id"]: r["score"] for r in quality.score(frame(spark, rows), model).collect()}
+    for doc_id, text, *_ in rows[:40]:
+        words = WORDS.findall(text)
+        by_form, by_word, repeats = np.zeros(quality.DIMENSIONS), np.zeros(quality.DIMENSIONS), 0
+        for i, w in enumerate(words):
+            a, b = pooler.ids(w)
+            by_form += model.vectors[a]
+            by_word += model.vectors[b] if b >= 0 else 0
+            repeats += i > 0 and w == words[i - 1]
+        by_form += repeats * model.vectors[model.forms[quality.REPEAT]]
+        x = np.clip((np.concatenate([by_form, by_word, [repeats]]) / len(words) - model.mean) / model.scale, -20, 20)
+        w1, b1, w2, b2 = model.layers
+        z = float((np.tanh(x @ w1 + b1) @ w2 + b2)[0]) if np.ndim(b2) else float(np.tanh(x @ w1 + b1) @ w2 + b2)
+        assert abs(got[doc_id] - 1 / (1 + np.exp(-z / model.temperature))) < 1e-4
+
+
 def test_quality_without_labels(spark):
     docs = frame(spark, corpus(1, 10))
     none = spark.createDataFrame([], "doc_id long, quality int")

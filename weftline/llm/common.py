@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.session import staged
+
 # A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
@@ -48,6 +50,25 @@ def fold(doc_id: Column, folds: int = 4) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(0))
 
 
+def labelled_sample(docs: DataFrame, drawn: DataFrame, seed: int, most_bytes: int) -> list:
+    """Rows (doc_id, y, text) of the documents in ``drawn`` (doc_id, y; few rows), whole texts within a bound.
+
+    Texts are taken in the order of a hash of their ids as long as they have
+    ``most_bytes`` together; a single one of over a sixteenth of that is not in
+    the sample.  Of several texts of one id the least counts.
+    """
+    h = F.xxhash64("doc_id", F.lit(seed))
+    rows = staged(docs.where(F.octet_length("text") <= most_bytes // 16).select("doc_id", "text").join(
+        F.broadcast(drawn), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")), "labelled-sample")
+    sizes = rows.select("doc_id", F.octet_length("text").alias("size")).orderBy(h, "doc_id").collect()
+    total = np.cumsum([r["size"] for r in sizes])
+    within = [(r["doc_id"],) for r, t in zip(sizes, total) if t <= most_bytes]
+    if not within:
+        return []
+    ids = docs.sparkSession.createDataFrame(within, T.StructType([rows.schema["doc_id"]]))
+    return rows.join(F.broadcast(ids), "doc_id").collect()
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in slices of about ``limit`` bytes of text; a longer text comes alone."""
     for batch in batches:

@@ -1,8 +1,9 @@
 """Quality classifier: random-indexing word vectors, pooled, and a small network.
 
 Words are looked at by their form (letter case, digits, signs), and frequent
-words also by themselves.  A form has a sparse random index vector; its word
-vector adds the index vectors of its neighbours in the training sample.  A
+words also by themselves.  Forms and frequent words have a sparse random index
+vector each; a word vector adds to it the index vectors of its neighbours in the
+training sample, where a rare neighbour counts by its form.  A
 document is the mean of its words' vectors, over its whole text.  Two dense
 layers give a logit, which a temperature fitted on documents that the network
 has not seen turns into a calibrated probability.
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import WORDS, text_or_empty, text_slices, texts_of, without
+from weftline.llm.common import WORDS, labelled_sample, text_or_empty, text_slices, texts_of, without
 
-# Bound of the training sample: labelled documents and characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 3000, 4000
+# Bound of the training sample: labelled documents, and bytes of their whole texts.
+SAMPLE_DOCS, SAMPLE_BYTES = 3000, 10_000_000
 DIMENSIONS, NONZEROS, HIDDEN = 64, 6, 24
 # A word counts as frequent in this many sampled documents; at most so many words are kept.
 FREQUENT_DOCS, FREQUENT_WORDS = 40, 2000
@@ -54,7 +55,7 @@ def form(word: str) -> str:
     """``Hello,`` is ``Aa,`` and ``IN!!`` is ``AA!!``; runs of a sign count as two."""
     if word.isalpha() and word.islower():
         return "a"
-    return SIGNS.sub(r"\1\1", DIGITS.sub("0", LETTERS.sub(case_of, word)))[:32]
+    return SIGNS.sub(r"\1\1", DIGITS.sub("0", LETTERS.sub(case_of, word)))
 
 
 def index_vector(name: str) -> np.ndarray:
@@ -76,29 +77,42 @@ class Model:
     temperature: float
 
 
+def in_context(samples: list[list[str]], names: set[str]) -> np.ndarray:
+    """Vectors of ``names`` in their order: index vector, plus the mean index vector of the neighbours in the samples."""
+    order = sorted(names)
+    place = {name: i for i, name in enumerate(order)}
+    own = np.stack([index_vector(name) for name in order]) if order else np.zeros((0, DIMENSIONS), np.float32)
+    pairs = [np.zeros(0, np.int64)]
+    for words in samples:
+        at = np.array([place[w] for w in words], np.int64)
+        for step in range(1, WINDOW + 1):
+            pairs += [at[:-step] * len(order) + at[step:], at[step:] * len(order) + at[:-step]]
+    found, n = np.unique(np.concatenate(pairs), return_counts=True)
+    total, times = np.zeros_like(own), np.bincount(found // max(len(order), 1), n, len(order))
+    for start in range(0, len(found), 100_000):
+        part, weight = found[start:start + 100_000], n[start:start + 100_000].astype(np.float32)
+        np.add.at(total, part // len(order), own[part % len(order)] * weight[:, None])
+    return own + total / np.maximum(times, 1)[:, None]
+
+
 def word_vectors(samples: list[list[str]]) -> tuple[dict[str, int], dict[str, int], np.ndarray]:
     """Tables of forms and frequent words, and their vectors with the spare ones last."""
     in_docs = Counter()
     for words in samples:
         in_docs.update({word.lower() for word in words})
     frequent = [w for w, n in sorted(in_docs.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT_WORDS] if n >= FREQUENT_DOCS]
-    near: dict[str, Counter] = {}
-    for words in samples:
-        shapes = [form(word) for word in words]
-        for step in range(1, WINDOW + 1):
-            for a, b in zip(shapes, shapes[step:]):
-                near.setdefault(a, Counter())[b] += 1
-                near.setdefault(b, Counter())[a] += 1
-    forms = {name: i for i, name in enumerate(sorted({*near, REPEAT, *(form(w) for words in samples for w in words)}))}
-    own = np.stack([index_vector(name) for name in forms])
-    vectors = own.copy()
-    for name, others in near.items():
-        total = sum(others.values())
-        vectors[forms[name]] += sum(own[forms[b]] * (n / total) for b, n in others.items())
+    shapes = [[form(word) for word in words] for words in samples]
+    forms = {REPEAT, *chain.from_iterable(shapes)}
+    known = set(frequent)
+    # Names of words are marked, so that none is taken for a form.
+    mixed = [["word " + w.lower() if w.lower() in known else f for w, f in zip(words, own)] for words, own in zip(samples, shapes)]
+    names = {"word " + w for w in frequent} | forms
+    words_at = {name: i for i, name in enumerate(sorted(names))}
+    by_word = in_context(mixed, names)
     spare = np.stack([index_vector(f"spare {i}") for i in range(SPARE)])
-    known = {word: len(forms) + i for i, word in enumerate(frequent)}
-    rows = [vectors, *([np.stack([index_vector(f"word {w}") for w in frequent])] if frequent else []), spare]
-    return forms, known, np.concatenate(rows).astype(np.float32)
+    rows = [in_context(shapes, forms), *([np.stack([by_word[words_at["word " + w]] for w in frequent])] if frequent else []), spare]
+    return ({name: i for i, name in enumerate(sorted(forms))}, {word: len(forms) + i for i, word in enumerate(frequent)},
+            np.concatenate(rows).astype(np.float32))
 
 
 class Pooler:
@@ -173,22 +187,17 @@ def temperature_of(z: np.ndarray, y: np.ndarray) -> float:
     return min(np.geomspace(0.5, 8, 33), key=loss) if len(z) else 1.0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Model | None:
-    """Model from rows of ``labels`` (doc_id, quality) and their texts; None without a labelled text.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """Model from rows of ``labels`` (doc_id, quality) and their whole texts; None without a labelled text.
 
-    The sample is the ``sample`` labelled ids with the least hash, and of each
-    text up to ``chars`` characters from a place given by the hash, so the
-    driver gets a bounded amount.  A fifth of it is set aside for the
+    The sample is the ``sample`` labelled ids with the least hash, as long as
+    their texts have ``sample_bytes`` together; a single text of over a
+    sixteenth of that is not in it.  A fifth of it is set aside for the
     temperature.  A document labelled twice counts with its lower label.
     """
-    h = F.xxhash64("doc_id", F.lit(3))
     drawn = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min("quality").alias("y")).orderBy(h, "doc_id").limit(sample)
-    # At most `sample` rows of two numbers.
-    room = F.greatest(F.length("text") - chars, F.lit(0)) + 1
-    cut = F.substring(F.col("text"), F.pmod(F.shiftright(h, 7), room).cast("int") + 1, F.lit(chars))
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy(
-        "doc_id", "y").agg(F.min(cut).alias("text")).collect()
+        F.min("quality").alias("y")).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)
+    rows = labelled_sample(docs, drawn, 3, sample_bytes)
     if not rows:
         return None
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))

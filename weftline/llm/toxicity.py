@@ -21,9 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import WORDS, split_words, text_or_empty, text_slices, without
+from weftline.llm.common import WORDS, labelled_sample, split_words, text_or_empty, text_slices, without
 from weftline.llm.quality import sigmoid
-from weftline.session import staged
 
 # Bound of the training sample: labelled documents of each label, and bytes of their whole texts.
 SAMPLE_DOCS, SAMPLE_BYTES = 2000, 10_000_000
@@ -198,15 +197,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, sample_by
         some = known.where(F.col("y") == label).orderBy(h, "doc_id").limit(sample)
         drawn = some if drawn is None else drawn.unionByName(some)
     # At most 2 x `sample` rows of an id and a label.
-    rows = staged(docs.where(F.octet_length("text") <= sample_bytes // 16).select("doc_id", "text").join(
-        F.broadcast(drawn), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")), "toxicity-sample")
-    sizes = rows.select("doc_id", F.octet_length("text").alias("size")).orderBy(h, "doc_id").collect()
-    total = np.cumsum([r["size"] for r in sizes])
-    within = [r["doc_id"] for r, t in zip(sizes, total) if t <= sample_bytes]
-    if not within:
+    taken = sorted(labelled_sample(docs, drawn, 5, sample_bytes), key=lambda r: str(r["doc_id"]))
+    if not taken:
         return None
-    ids = docs.sparkSession.createDataFrame([(i,) for i in within], T.StructType([rows.schema["doc_id"]]))
-    taken = sorted(rows.join(F.broadcast(ids), "doc_id").collect(), key=lambda r: str(r["doc_id"]))
     return fitted(pa.array([r["text"] for r in taken], pa.string()), np.array([float(r["y"]) for r in taken]), shares)
 
 
