@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.functions.aggregates import average_or_nan, register_average, sum_count_average
+from weftline.functions.aggregates import average_or_nan, register_average, register_column_average, sum_count_average
 from weftline.operators import relational as R
 from weftline.session import scratch_path
 from weftline.sources import files, jdbc, tables, topics
@@ -114,3 +114,14 @@ def test_jdbc_options():
 def test_topics(spark, rows):
     records = spark.createDataFrame([("a", b"x y"), ("b", b"z"), ("c", b"no")], "topic string, value binary")
     assert rows(topics.decode_topic(records, ["a", "b"])) == [("a", "x y"), ("b", "z")]
+
+
+def test_average_of_a_plain_column_with_a_hot_group(spark):
+    """One group has nearly all of two million rows; others have a null only, or nothing that counts."""
+    register_column_average(spark, "test_average_of")
+    data = spark.range(2_000_000).selectExpr("CASE WHEN id < 1999990 THEN 'hot' ELSE concat('k', id % 3) END AS k", "CASE WHEN id >= 1999990 AND id % 3 = 1 THEN NULL ELSE id END AS x")
+    data.createOrReplaceTempView("hot_rows")
+    got = {r[0]: r[1] for r in spark.sql("SELECT k, test_average_of(x) FROM hot_rows GROUP BY k").collect()}
+    assert got["hot"] == (1_999_990 - 1) / 2 and math.isnan(got["k1"]) and got["k0"] > 1_999_990
+    assert math.isnan(spark.sql("SELECT test_average_of(x) FROM hot_rows WHERE x IS NULL").first()[0])
+    assert spark.sql("SELECT k, test_average_of(x) FROM hot_rows WHERE x < 0 GROUP BY k").collect() == []

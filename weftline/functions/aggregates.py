@@ -36,3 +36,20 @@ def register_average(spark: SparkSession, name: str = "my_average") -> None:
         return total / rows if rows else float("nan")
 
     spark.udf.register(name, merge)
+
+
+def register_column_average(spark: SparkSession, name: str = "average_of") -> None:
+    """Register a SQL aggregate over a plain column: ``SELECT key, average_of(x) FROM t GROUP BY key``.
+
+    Nulls do not count, and a group without values has NaN.  A worker gets the
+    values of one group at a time, 8 bytes each and nothing else of the rows, so
+    a group must fit there.  Where one may not, :func:`register_average` takes
+    the sums that Spark has reduced.
+    """
+
+    @F.arrow_udf("double")
+    def mean(values: pa.Array) -> float:
+        rows = len(values) - values.null_count
+        return pc.sum(values.cast(pa.float64())).as_py() / rows if rows else float("nan")
+
+    spark.udf.register(name, mean)

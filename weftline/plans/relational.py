@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.functions.aggregates import average_or_nan, register_average, sum_count_average
+from weftline.functions.aggregates import average_or_nan, register_average, register_column_average, sum_count_average
 from weftline.functions.text import explode_lines, words_of_text
 from weftline.operators import relational as R
 from weftline.plans.registry import LINES_SQL, TRIMMED_WORDS_SQL, WORDS_SQL, query
@@ -205,6 +205,22 @@ def udaf_average(spark, d):
     )
 
 
+@query(
+    "udaf_column_average",
+    """SELECT o_orderpriority, round(avg(o_totalprice), 4) AS average_price,
+              round(coalesce(avg(CASE WHEN o_custkey < 3 THEN o_totalprice END), 'nan'::DOUBLE), 4) AS average_of_few
+       FROM orders GROUP BY o_orderpriority""",
+)
+def udaf_column_average(spark, d):
+    """A registered SQL aggregate over plain columns, in some groups over few values or none."""
+    register_column_average(spark)
+    table(spark, d, "orders").createOrReplaceTempView("priced_orders")
+    return spark.sql(
+        "SELECT o_orderpriority, round(average_of(o_totalprice), 4) AS average_price,"
+        " round(average_of(CASE WHEN o_custkey < 3 THEN o_totalprice END), 4) AS average_of_few"
+        " FROM priced_orders GROUP BY o_orderpriority")
+
+
 @query(
     "empty_average",
     """SELECT n_nationkey, round(coalesce(avg(c_acctbal), 'nan'::DOUBLE), 4) AS average_balance
