@@ -59,11 +59,78 @@ def test_mix_comes_near_its_targets(spark):
 
 
 def test_permutation_meets_every_block_once_a_pass(spark):
-    for blocks in (1, 2, 7, 1000, 3_145_739):
+    for blocks in (1, 2, 3, 5, 7, 12, 1000, 3_145_739):
         k = spark.range(min(3 * blocks, 5000)).select(
             "id", mixing.permuted(mixing.F.col("id"), mixing.F.lit(4), mixing.F.lit(blocks).cast("long")).alias("b"))
-        seen = Counter((r["id"] // blocks, r["b"]) for r in k.collect())
-        assert max(seen.values()) == 1 and all(0 <= b < blocks for _, b in seen)
+        found = sorted((r["id"], r["b"]) for r in k.collect())
+        seen = Counter((i // blocks, b) for i, b in found)
+        assert max(seen.values()) == 1 and all(0 <= b < blocks for _, b in found)
+        if blocks <= 1000:
+            assert len(seen) == 3 * blocks
+        if blocks >= 1000:
+            # Neighbours land at no constant distance, and every pass has an order of its own.
+            steps = Counter((b - a) % blocks for (_, a), (_, b) in zip(found, found[1:]))
+            assert max(steps.values()) < 0.02 * len(found)
+    orders = [tuple(r["b"] for r in spark.range(12).select(mixing.permuted(
+        mixing.F.col("id") + 12 * turn, mixing.F.lit(4), mixing.F.lit(12).cast("long")).alias("b")).collect()) for turn in range(3)]
+    assert len(set(orders)) == 3
+
+
+def sources_of(spark, rows):
+    return spark.createDataFrame(rows, "src int, source_size long, target double")
+
+
+def test_draws_are_multinomial_and_settle_at_the_targets(spark):
+    rows = [(0, 320_000, 320_000.0), (1, 64_000, 128_000.0), (2, 96, 96.0), (3, 0, 0.0), (4, 32, 64.0)]
+    slots = mixing.drawn_slots(sources_of(spark, rows), 32, 100).collect()
+    wanted = {0: 10_000, 1: 4_000, 2: 3, 4: 2}
+    by_source, by_shard = defaultdict(list), defaultdict(Counter)
+    for r in slots:
+        by_source[r["src"]].append(r["k"])
+        by_shard[r["shard"]][r["src"]] += 1
+    assert by_source.keys() == wanted.keys()
+    for src, ks in by_source.items():
+        # Slots of a source are numbered from 0 without a gap.
+        assert sorted(ks) == list(range(len(ks))) and wanted[src] <= len(ks) <= wanted[src] + 5 * wanted[src] ** 0.5
+    aims = {s: max(0, int(n - 3 * n ** 0.5)) for s, n in wanted.items()}
+    drawn = sum(aims.values())
+    full = [by_shard[s] for s in range(drawn // 100)]
+    assert all(sum(c.values()) == 100 for c in full)
+    # Counts of source 0 in a shard: mean and variance of a binomial of 100.
+    p, counts = aims[0] / drawn, np.array([c[0] for c in full])
+    assert abs(counts.mean() - 100 * p) < 1.5 and 0.6 < counts.var() / (100 * p * (1 - p)) < 1.5
+    again = mixing.drawn_slots(sources_of(spark, rows), 32, 100).collect()
+    assert Counter(map(tuple, slots)) == Counter(map(tuple, again))
+
+
+def test_taken_words_are_those_of_a_walk_over_the_slots(spark):
+    """Brute force: lay each source's words out, follow every slot to its block and count words by document."""
+    rows = corpus(3, 120)
+    docs = frame(spark, rows)
+    mixed = mixing.mix(docs, block_words=16, slots_per_shard=50)
+    placed = mixed.rows.collect()
+    line = defaultdict(dict)
+    for i, r in enumerate(placed):
+        for at in range(r["start"], r["start"] + r["size"]):
+            assert at not in line[r["src"]]
+            line[r["src"]][at] = i
+    sources = {r["src"]: (r["source_size"], r["target"]) for r in placed}
+    slots = mixing.drawn_slots(sources_of(spark, [(s, *x) for s, x in sources.items()]), 16, 50)
+    F = mixing.F
+    walked = Counter()
+    for r in slots.where(F.col("k") < 3 * F.col("blocks")).select("src", mixing.permuted(F.col("k"), F.col("src"), F.col("blocks")).alias("block")).collect():
+        for at in range(16 * r["block"], 16 * r["block"] + 16):
+            if at in line[r["src"]]:
+                walked[line[r["src"]][at]] += 1
+    want = Counter((r["doc_id"], r["size"], walked[i]) for i, r in enumerate(placed))
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in mixing.taken_words(mixed).collect()) == want
+
+
+def test_a_source_for_every_document(spark):
+    rows = [row(i, prose(random.Random(i), ["a", "b", "c"], 20 + i % 90), source=f"s{i}") for i in range(3000)]
+    got = mixing.taken_words(mixing.mix(frame(spark, rows))).collect()
+    assert len(got) == 3000 and all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    assert abs(sum(r["taken"] for r in got) / sum(r["target"] for r in got) - 1) < 0.1
 
 
 def test_mixed_documents_have_the_words_taken(spark):

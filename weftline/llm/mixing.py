@@ -1,9 +1,11 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-The words of each source are packed into blocks of fixed length.  Every output
-shard draws how many of its slots go to each source; the slots of a source are
-numbered through and mapped to blocks by a pseudorandom permutation of block
-numbers, once for every pass over the source; blocks are joined by number.
+The words of each source are packed into blocks of fixed length.  Every slot of
+an output shard draws its source, so a shard's counts are multinomial; a last
+part of the shards settles what the draws left open of each target.  The slots
+of a source are numbered through and mapped to blocks by a pseudorandom
+permutation of block numbers, once for every pass over the source; blocks are
+joined by number.
 """
 
 from __future__ import annotations
@@ -25,8 +27,14 @@ SLOTS_PER_SHARD = 8192
 GROUP_BITS = 10
 # Up to so many sources are broadcast; beyond, the join shuffles.
 BROADCAST_SOURCES = 50_000
-# Primes below 2^22, so that the product with a block number stays a long.
-MULTIPLIERS = (3_145_739, 2_750_159, 2_359_303, 4_194_301, 3_999_971)
+# Shards are numbered through in groups of so many, so that no task orders all shards of a source.
+SHARD_GROUP = 4096
+# Cells of the unit line at least, by which a draw finds its source; beyond as many sources there are more.
+CELLS = 4096
+# Draws stop so many standard deviations short of a source's target; the rest is settled.
+SHORT = 3.0
+# Rounds of the permutation, and walks along its cycle before the rare long ones.
+ROUNDS, WALKS = 4, 4
 SEED = 11
 
 
@@ -79,56 +87,102 @@ def uniform(*keys: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys, F.lit(SEED)), 11) * (2.0**-53)
 
 
+def shares(sources: DataFrame, block_words: int) -> DataFrame:
+    """(src, blocks, wanted, aim, drawn, low, high): blocks that the mix wants of each source, and its part of the unit line.
+
+    ``aim`` is how many of them the draws should give: short of all by a few
+    standard deviations.  One row per source that has words.
+    """
+    blocks = F.ceil(F.col("source_size") / block_words).cast("long")
+    wanted = F.round(F.col("target") / F.col("source_size") * blocks).cast("long")
+    aim = F.floor(F.greatest(F.col("wanted") - SHORT * F.sqrt("wanted"), F.lit(0.0))).cast("long")
+    everything = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    upto = F.sum("aim").over(W.orderBy("src").rowsBetween(W.unboundedPreceding, 0))
+    total = F.sum("aim").over(everything)
+    return sources.where(F.col("source_size") > 0).select("src", blocks.alias("blocks"), wanted.alias("wanted")).where(
+        F.col("wanted") > 0).withColumn("aim", aim).withColumn("drawn", total).withColumn("upto", upto).select(
+        "src", "blocks", "wanted", "aim", "drawn", ((F.col("upto") - F.col("aim")) / F.greatest("drawn", F.lit(1))).alias("low"),
+        F.when(F.col("upto") >= F.col("drawn"), 1.0).otherwise(F.col("upto") / F.greatest("drawn", F.lit(1))).alias("high"))
+
+
 def drawn_slots(sources: DataFrame, block_words: int, slots_per_shard: int) -> DataFrame:
     """(src, blocks, shard, k): every slot of every shard, numbered through for each source.
 
-    A shard of n slots makes n draws, the j-th uniform in [j/n, (j+1)/n), and
-    a draw goes to the source whose share of the unit line it falls in: a
-    multinomial draw with strata, which keeps the counts near their mean.
-    Counts follow from the two ends of each share, so nothing is enumerated
-    before the counts are known.
+    Each slot of the drawn shards is an independent draw from the sources'
+    shares, so the counts of a shard are multinomial.  The draws stop short of
+    the targets, and what is missing of a source's target fills further shards.
+    So a source gets its target, or now and then a little more by chance.  A draw finds its source
+    by the cell of the unit line it falls in; slots are numbered by sums over
+    groups of shards, over the shards of a group, and within a shard.
     """
-    blocks = F.ceil(F.col("source_size") / block_words)
-    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * blocks).otherwise(0.0)
-    by_src = W.orderBy("src")
-    everything = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    shares = sources.select("src", blocks.cast("long").alias("blocks"), wanted.alias("wanted")).withColumn(
-        "total", F.sum("wanted").over(everything)).withColumn(
-        "upto", F.sum("wanted").over(by_src.rowsBetween(W.unboundedPreceding, 0))).withColumn(
-        "low", (F.col("upto") - F.col("wanted")) / F.greatest("total", F.lit(1.0))).withColumn(
-        "high", F.when(F.col("upto") >= F.col("total") * (1 - 1e-12), 1.0).otherwise(F.col("upto") / F.greatest("total", F.lit(1.0))))
-    slots = F.round("total").cast("long")
-    shards = F.greatest(F.ceil(slots / slots_per_shard), F.lit(1)).cast("long")
-    dealt = shares.where(F.col("blocks") > 0).select(
-        "src", "blocks", "low", "high", slots.alias("slots"), shards.alias("shards"),
-        F.explode(F.sequence(F.lit(0).cast("long"), shards - 1)).alias("shard"))
-    dealt = dealt.withColumn("n", F.floor((F.col("shard") + 1) * F.col("slots") / F.col("shards"))
-                             - F.floor(F.col("shard") * F.col("slots") / F.col("shards")))
-
-    def draws_below(x: Column) -> Column:
-        at = F.col("n") * x
-        whole = F.floor(at)
-        return F.when(x >= 1.0, F.col("n")).otherwise(
-            whole + F.when(uniform(F.col("shard"), whole) < at - whole, 1).otherwise(0))
-
-    counts = dealt.withColumn("draws", draws_below(F.col("high")) - draws_below(F.col("low")))
-    first = F.coalesce(F.sum("draws").over(
-        W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    # A row stands for many slots, so rows are dealt out by number, not by their size in bytes.
-    partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = counts.withColumn("first", first).where(F.col("draws") > 0).repartition(partitions, "src", "shard")
-    return numbered.select("src", "blocks", "shard", F.explode(
-        F.sequence(F.col("first"), F.col("first") + F.col("draws") - 1)).alias("k"))
+    spark = sources.sparkSession
+    parts = staged(shares(sources, block_words), "mix-shares")
+    count, total, drawn = parts.agg(F.count(F.lit(1)), F.sum("wanted"), F.max("drawn")).first()
+    if not count:
+        return spark.createDataFrame([], "src int, blocks long, shard long, k long")
+    cells = max(CELLS, 2 * count)
+    drawn_shards = -(-drawn // slots_per_shard)
+    # Every cell with the sources that reach into it: at most one row for each cell and source more.
+    reached = parts.where(F.col("aim") > 0).select("src", "low", "high", F.explode(F.sequence(
+        F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1)))).alias("cell"))
+    reached = F.broadcast(reached) if count <= BROADCAST_SOURCES else reached
+    slots = spark.range(drawn).select((F.col("id") / slots_per_shard).cast("long").alias("shard"), "id", uniform(F.col("id")).alias("u"))
+    slots = slots.withColumn("cell", F.floor(F.col("u") * cells)).join(reached, "cell").where(
+        (F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))).select("src", "shard", "id")
+    slots = staged(slots.withColumn("g", (F.col("shard") / SHARD_GROUP).cast("long")), "mix-draws")
+    by_shard = slots.groupBy("src", "g", "shard").agg(F.count(F.lit(1)).alias("n"))
+    by_group = by_shard.groupBy("src", "g").agg(F.sum("n").alias("group_n"))
+    earlier = lambda column, of: F.coalesce(F.sum(column).over(of.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    firsts = by_shard.join(by_group.select("src", "g", earlier("group_n", W.partitionBy("src").orderBy("g")).alias("group_first")), ["src", "g"]).select(
+        "src", "shard", (F.col("group_first") + earlier("n", W.partitionBy("src", "g").orderBy("shard"))).alias("first"))
+    place = F.row_number().over(W.partitionBy("src", "shard").orderBy("id")) - 1
+    numbered = slots.select("src", "shard", place.alias("place")).join(firsts, ["src", "shard"]).join(
+        parts.select("src", "blocks"), "src").select("src", "blocks", "shard", (F.col("first") + F.col("place")).alias("k"))
+    got = by_group.groupBy("src").agg(F.sum("group_n").alias("got"))
+    missing = parts.join(got, "src", "left").withColumn("got", F.coalesce("got", F.lit(0))).where(F.col("wanted") > F.col("got"))
+    # Long rows are dealt out as ranges of one shard's length before they are opened.
+    starts = missing.select("src", "blocks", "got", "wanted", F.explode(F.sequence(
+        F.col("got"), F.col("wanted") - 1, F.lit(slots_per_shard).cast("long"))).alias("at"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = starts.repartition(partitions, "src", "at").select("src", "blocks", F.explode(F.sequence(
+        F.col("at"), F.least(F.col("at") + slots_per_shard, F.col("wanted")) - 1)).alias("k"))
+    more = max(1, -(-(total - drawn) // slots_per_shard))
+    settled = rest.select("src", "blocks", (F.lit(drawn_shards) + F.pmod(F.xxhash64("src", "k", F.lit(SEED)), F.lit(more))).cast("long").alias("shard"), "k")
+    return numbered.unionByName(settled)
+
+
+def scrambled(x: Column, key: Column, a: Column, b: Column) -> Column:
+    """A permutation of the numbers below a * b that depends on the key.
+
+    The number is a pair (below a, below b); in turn each half is shifted by a
+    hash of the other, which can be undone, and so no two numbers meet.
+    """
+    start = F.struct(F.floor(x / b).alias("l"), (x % b).alias("r"))
+
+    def turn(s: Column, i: Column) -> Column:
+        left = F.when(i % 2 == 0, F.pmod(s["l"] + F.pmod(F.xxhash64(s["r"], key, i), a), a)).otherwise(s["l"])
+        right = F.when(i % 2 == 1, F.pmod(s["r"] + F.pmod(F.xxhash64(s["l"], key, i), b), b)).otherwise(s["r"])
+        return F.struct(left.alias("l"), right.alias("r"))
+
+    return F.aggregate(F.array(*[F.lit(i) for i in range(2 * ROUNDS)]), start, turn, lambda s: s["l"] * b + s["r"])
 
 
 def permuted(k: Column, src: Column, blocks: Column) -> Column:
-    """Block of the k-th slot: every pass meets each block once, in an order of its own."""
-    turn = F.floor(k / blocks)
-    usable = F.filter(F.array(*[F.lit(p).cast("long") for p in MULTIPLIERS]), lambda p: blocks % p != 0)
-    pick = F.xxhash64(src, turn, F.lit(SEED))
-    multiplier = F.get(usable, F.pmod(pick, F.size(usable)).cast("int"))
-    shift = F.pmod(F.shiftright(pick, 8), blocks)
-    return F.pmod((k % blocks) * multiplier + shift, blocks)
+    """Block of the k-th slot: every pass meets each block once, in a pseudorandom order of its own.
+
+    Numbers below ``blocks`` are permuted in the next larger rectangle, walking
+    on until the result is below ``blocks`` again, which keeps it a permutation.
+    """
+    key = F.xxhash64(src, F.floor(k / blocks), F.lit(SEED))
+    a = F.ceil(F.sqrt(blocks)).cast("long")
+    b = F.ceil(blocks / a).cast("long")
+
+    def walk(x: Column, steps: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1).cast("long"), steps), x, lambda y, _: F.when(y < blocks, y).otherwise(scrambled(y, key, a, b)))
+
+    near = walk(scrambled(k % blocks, key, a, b), F.lit(WALKS).cast("long"))
+    # A cycle has at most the numbers beyond `blocks` outside.
+    return F.when(near < blocks, near).otherwise(walk(near, a * b - blocks + 1))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = MAX_PASSES,
