@@ -147,7 +147,8 @@ def rare_first(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     ids = opened.select("id", "n", "component").distinct()
     each = sets.join(ids.select("id"), "id", "left_semi").mapInArrow(shingle_batches, "id long, key long")
-    seen = each.withColumn("seen", F.count(F.lit(1)).over(W.partitionBy("key"))).where(F.col("seen") > 1)
+    # Counts combine before the shuffle, and the join may split the rows of a shingle that many have.
+    seen = each.join(each.groupBy("key").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") > 1), "key")
     # Those that nobody else has come first and only take up places.
     alone = F.col("n") - F.count(F.lit(1)).over(W.partitionBy("id"))
     place = F.row_number().over(W.partitionBy("id").orderBy("seen", "key"))
