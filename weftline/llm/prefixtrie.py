@@ -291,7 +291,12 @@ def turn_id(role: Column, text: Column) -> Column:
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """(conv_id, place from 1, id, chars) of every turn; ties of ``turn`` go by the turn's id."""
+    """(conv_id, place from 1, id, chars) of every turn of ``turns`` (conv_id, turn, role, text).
+
+    A null turn comes first, ties go by the turn's id, repeated rows are turns
+    of their own, a null role or text counts as empty, and rows without a
+    conv_id belong to no conversation.  Other columns are not read.
+    """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     return turns.where(F.col("conv_id").isNotNull()).select(
         "conv_id", "turn", turn_id(role, text).alias("id"), F.length(text).cast("long").alias("chars"),
