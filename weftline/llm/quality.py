@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from weftline.llm.common import WORDS, labelled_sample, text_or_empty, text_slices, texts_of, without
 
 # Bound of the training sample: labelled documents, and bytes of their whole texts.
-SAMPLE_DOCS, SAMPLE_BYTES = 3000, 10_000_000
+SAMPLE_DOCS, SAMPLE_BYTES = 3000, 6_000_000
 DIMENSIONS, NONZEROS, HIDDEN = 64, 6, 24
 # A word counts as frequent in this many sampled documents; at most so many words are kept.
 FREQUENT_DOCS, FREQUENT_WORDS = 40, 2000
@@ -82,16 +82,18 @@ def in_context(samples: list[list[str]], names: set[str]) -> np.ndarray:
     order = sorted(names)
     place = {name: i for i, name in enumerate(order)}
     own = np.stack([index_vector(name) for name in order]) if order else np.zeros((0, DIMENSIONS), np.float32)
-    pairs = [np.zeros(0, np.int64)]
-    for words in samples:
-        at = np.array([place[w] for w in words], np.int64)
-        for step in range(1, WINDOW + 1):
-            pairs += [at[:-step] * len(order) + at[step:], at[step:] * len(order) + at[:-step]]
-    found, n = np.unique(np.concatenate(pairs), return_counts=True)
-    total, times = np.zeros_like(own), np.bincount(found // max(len(order), 1), n, len(order))
-    for start in range(0, len(found), 100_000):
-        part, weight = found[start:start + 100_000], n[start:start + 100_000].astype(np.float32)
-        np.add.at(total, part // len(order), own[part % len(order)] * weight[:, None])
+    total, times = np.zeros_like(own), np.zeros(len(order))
+    # Sums add up over a few documents at a time, so that no list of all pairs is held.
+    for start in range(0, len(samples), 50):
+        pairs = [np.zeros(0, np.int64)]
+        for words in samples[start:start + 50]:
+            at = np.fromiter((place[w] for w in words), np.int64, len(words))
+            for step in range(1, WINDOW + 1):
+                pairs += [at[:-step] * len(order) + at[step:], at[step:] * len(order) + at[:-step]]
+        found, n = np.unique(np.concatenate(pairs), return_counts=True)
+        if len(found):
+            np.add.at(times, found // len(order), n)
+            np.add.at(total, found // len(order), own[found % len(order)] * n[:, None].astype(np.float32))
     return own + total / np.maximum(times, 1)[:, None]
 
 
@@ -101,11 +103,16 @@ def word_vectors(samples: list[list[str]]) -> tuple[dict[str, int], dict[str, in
     for words in samples:
         in_docs.update({word.lower() for word in words})
     frequent = [w for w, n in sorted(in_docs.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT_WORDS] if n >= FREQUENT_DOCS]
-    shapes = [[form(word) for word in words] for words in samples]
+    # One string for all equal ones: the sample has many words, but few different ones.
+    forms_of = {word: form(word) for word in set(chain.from_iterable(samples))}
+    one: dict[str, str] = {}
+    forms_of = {word: one.setdefault(f, f) for word, f in forms_of.items()}
+    shapes = [[forms_of[word] for word in words] for words in samples]
     forms = {REPEAT, *chain.from_iterable(shapes)}
     known = set(frequent)
     # Names of words are marked, so that none is taken for a form.
-    mixed = [["word " + w.lower() if w.lower() in known else f for w, f in zip(words, own)] for words, own in zip(samples, shapes)]
+    names_of = {word: one.setdefault("word " + word.lower(), "word " + word.lower()) if word.lower() in known else f for word, f in forms_of.items()}
+    mixed = [[names_of[word] for word in words] for words in samples]
     names = {"word " + w for w in frequent} | forms
     words_at = {name: i for i, name in enumerate(sorted(names))}
     by_word = in_context(mixed, names)
@@ -201,7 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, sample_by
     if not rows:
         return None
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
-    samples = [WORDS.findall(r["text"]) for r in rows]
+    same: dict[str, str] = {}
+    samples = [[same.setdefault(word, word) for word in WORDS.findall(r["text"])] for r in rows]
     y = np.array([1.0 if r["y"] >= 1 else 0.0 for r in rows])
     forms, frequent, vectors = word_vectors(samples)
     pooler = Pooler(forms, frequent, vectors)
