@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from weftline.llm import minhash, mixing, pieces, quality, secrets
 from weftline.llm.common import text_or_empty
 from weftline.llm.queries import TOKENIZER, is_held_out, table
-from weftline.session import staged, tune
+from weftline.session import bound_batches, staged, tune
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     The classifier learns from the labelled documents of this input, less the
     held-out fold.  Without any label nothing is known of quality, and all stay.
     """
+    bound_batches(spark)
     labels = table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(~is_held_out(labels)))
     if model is None:
@@ -37,6 +38,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Equal rows are one document.  Documents without an id stay where no equal
     has one.
     """
+    bound_batches(spark)
     groups = minhash.near_duplicates(docs.select("doc_id", "text"))
     chosen = groups.where(F.col("kept") | F.col("component_id").isNull()).select(F.col("doc_id").alias("kept_id")).distinct()
     # The row travels as one column, so none of its names can clash.
@@ -57,6 +59,7 @@ def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with whether decoding gives back the text."""
+    bound_batches(spark)
     # The texts do not leave the worker again.
     coded = pieces.encode_checked(docs.select("doc_id", "lang", "source", "text"), TOKENIZER)
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "restored")
