@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.graph import edge_ids, layout
 from weftline.operators.pregel import run_rounds, senders
-from weftline.session import cut_lineage
+from weftline.operators.ranking import global_rank
+from weftline.operators.relational import broadcast_if_small
+from weftline.session import cut_lineage, release, staged
 
 # Rounds that are planned as one job before the state is checkpointed.
 ROUNDS_PER_JOB = 5
+# Of many sources: as many as share a row of the state, and messages of a job.
+SOURCES_PER_ROW, MESSAGES_PER_JOB = 8, 100_000_000
 
 
 def _check(reset: float) -> None:
@@ -87,12 +93,17 @@ def pagerank(
 
 def pagerank_many(
     edges: DataFrame, sources: DataFrame, iterations: int, reset: float = 0.15, rows_per_split: int = 1_000_000,
+    rows_per_job: int = MESSAGES_PER_JOB,
 ) -> DataFrame:
     """``(source, id, rank)``: personalized ranks for every vertex in ``sources`` (``id``) after a number of rounds.
 
-    The state is keyed by source and vertex and holds only what a source has
-    reached, so a round is one join for all sources and grows with what they
-    reach.  Ranks of a source sum to 1; vertices it does not reach have no row.
+    The state is keyed by a group of up to ``SOURCES_PER_ROW`` sources and the
+    vertex, with a column for each source of the group, null where the source
+    has not reached the vertex.  So an edge carries one message for a group, and
+    a round is one join for all sources and grows with what they reach.  A round
+    sends to its destinations slice by slice, about ``rows_per_job`` messages
+    each; the disk holds the messages of one slice and the ranks of two rounds.
+    Ranks of a source sum to 1; vertices it does not reach have no row.
     Each rank is the one that :func:`pagerank` gives for its source alone.
     """
     if iterations <= 0:
@@ -104,23 +115,45 @@ def pagerank_many(
         missing = asked.join(edge_ids(placed).withColumnRenamed("id", "source"), "source", "left_anti")
         if not missing.isEmpty():
             raise ValueError("a source is not a vertex of the graph")
-        own = asked.select("source", F.col("source").alias("id"), F.lit(0.0).alias("c"))
-        state = asked.select("source", F.col("source").alias("id"), F.lit(1.0).alias("rank"))
-        for round_no in range(1, iterations + 1):
-            share = (F.col("rank") / F.col("out_deg")).alias("share")
-            send = senders(state.join(degrees, "id").select("id", "source", share, "splits"))
-            received = placed.join(send, ["src", "split"]).select(
-                F.col("src_source").alias("source"), F.col("dst").alias("id"), (F.col("src_share") * F.col("n")).alias("c"))
-            home = F.when(F.col("id") == F.col("source"), F.lit(float(reset))).otherwise(F.lit(0.0))
-            state = own.unionByName(received).groupBy("source", "id").agg(F.sum("c").alias("c")).select(
-                "source", "id", (home + (1 - reset) * F.col("c")).alias("rank"))
-            if round_no % ROUNDS_PER_JOB == 0 or round_no == iterations:
-                state = cut_lineage(state)
+        ranked = global_rank(asked, ["source"])
+        n_asked = ranked.count()
+        width = min(SOURCES_PER_ROW, max(1, n_asked))
+        groups = -(-n_asked // width)
+        places = cut_lineage(ranked.select("source", F.floor(F.col("rank") / width).cast("long").alias("group"), (F.col("rank") % width).cast("int").alias("place")))
+        slots = range(width)
+        here = [F.col("place") == i for i in slots]
+        home = F.element_at(F.array(*[F.lit(1 << i).cast("long") for i in slots]), F.col("place") + 1)
+        # A bit for the source whose own vertex this is.
+        own = places.select("group", F.col("source").alias("id"), home.alias("home"), *[F.when(h, F.lit(0.0)).alias(f"c{i}") for i, h in enumerate(here)])
+        state = places.select("group", F.col("source").alias("id"), *[F.when(h, F.lit(1.0)).alias(f"r{i}") for i, h in enumerate(here)])
+        slices = max(1, -(-placed.count() * groups // rows_per_job))
+        mine = [F.pmod(F.xxhash64("id"), F.lit(slices)) == i for i in range(slices)]
+        before: list[DataFrame] = []
+        for _ in range(iterations):
+            shares = [(F.col(f"r{i}") / F.col("out_deg")).alias(f"s{i}") for i in slots]
+            send = senders(state.join(degrees, "id").select("id", "group", *shares, "splits"))
+            received = placed.withColumnRenamed("dst", "id").join(send, ["src", "split"]).select(
+                F.col("src_group").alias("group"), "id", F.lit(None).cast("long").alias("home"),
+                *[(F.col(f"src_s{i}") * F.col("n")).alias(f"c{i}") for i in slots])
+            parts = []
+            for slice_no in range(slices):
+                summed = own.unionByName(received).where(mine[slice_no]).groupBy("group", "id").agg(
+                    F.bit_or("home").alias("home"), *[F.sum(f"c{i}").alias(f"c{i}") for i in slots])
+                at_home = [F.when(F.col("home").bitwiseAND(F.lit(1 << i)) != 0, F.lit(float(reset))).otherwise(F.lit(0.0)) for i in slots]
+                # Each slice is a job, whose shuffle files go with it.
+                parts.append(staged(summed.select(
+                    "group", "id", *[(at_home[i] + (1 - reset) * F.col(f"c{i}")).alias(f"r{i}") for i in slots]), "ranks"))
+            state = reduce(DataFrame.unionByName, parts)
+            for part in before:
+                release(part)
+            before = parts
     finally:
         placed.unpersist()
+    ranks = state.select("group", "id", F.inline(F.array(*[F.struct(F.lit(i).alias("place"), F.col(f"r{i}").alias("rank")) for i in slots]))).where("rank IS NOT NULL")
+    ranks = ranks.join(broadcast_if_small(places), ["group", "place"]).select("source", "id", "rank")
     # One row per source.
-    totals = state.groupBy("source").agg(F.sum("rank").alias("total"))
-    return state.join(totals, "source").where(F.col("rank") > 0).select("source", "id", (F.col("rank") / F.col("total")).alias("rank"))
+    totals = ranks.groupBy("source").agg(F.sum("rank").alias("total"))
+    return ranks.join(totals, "source").where(F.col("rank") > 0).select("source", "id", (F.col("rank") / F.col("total")).alias("rank"))
 
 
 def pagerank_until(
