@@ -89,3 +89,21 @@ def test_a_row_costs_what_it_has(spark):
     data = spark.createDataFrame(
         [(1, SparseVector(1000, {3: 2.0, 700: -1.0})), (2, Vectors.dense([0.0, 5.0])), (3, SparseVector(9, {}))], ["id", "features"])
     assert sorted(tuple(r) for r in certify.term_rows(data, "features", "id").collect()) == [(1, 3, 2.0), (1, 700, -1.0), (2, 1, 5.0)]
+
+
+def test_residuals_in_slices_are_the_same(ratings, monkeypatch):
+    model = recommend.fit_implicit(ratings, rank=3, iterations=2)
+    whole = {r["user"]: r["residual"] for r in certify.implicit_residuals(ratings, model, 0.01, 1.0).collect()}
+    monkeypatch.setattr(certify, "RATINGS_PER_JOB", 40)
+    sliced = {r["user"]: r["residual"] for r in certify.implicit_residuals(ratings, model, 0.01, 1.0).collect()}
+    assert sliced == pytest.approx(whole, abs=1e-6) and len(sliced) == 30
+
+
+def test_ratings_move_once_with_factors(ratings):
+    """To their user, and no further."""
+    model = recommend.fit_implicit(ratings, rank=3, iterations=1)
+    plan = certify.implicit_residuals(ratings, model, 0.01, 1.0)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    joins = [n for n, line in enumerate(lines) if "Join Inner" in line and "user" in line]
+    inner = [n for n, line in enumerate(lines) if "Join Inner" in line and "item" in line]
+    assert joins and inner and max(joins) < min(inner)

@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 import glob
+import time
 
 import pytest
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from weftline.operators import pagerank as PR
+from weftline.operators import recommend
 from weftline.session import release, staged, tune
 
 
-def shuffle_blocks(spark) -> int:
-    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-    return sum("shuffle_" in blocks.apply(i).getName() for i in range(blocks.size()))
+def shuffles(spark) -> set[str]:
+    """Numbers of the shuffles that have files on this machine."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
 
 
 def test_shuffle_files_go_with_their_job(spark):
     tune(spark)
-    before = shuffle_blocks(spark)
+    before = shuffles(spark)
     kept = staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
     assert kept.count() == 7
-    assert shuffle_blocks(spark) <= before
+    assert shuffles(spark) <= before
 
 
 def test_released_files_are_gone(spark):
@@ -49,3 +54,36 @@ def test_many_sources_in_groups_and_slices(spark, monkeypatch):
     left = [f for f in frames if glob.glob(f.staged_at.removeprefix("file:"))]
     # 46 edges for each of two groups: three slices a round.
     assert len(frames) == 12 and left == frames[-3:]
+
+
+def test_a_fit_drops_the_files_of_its_steps(spark):
+    """Factors were sent in ten half steps; the files of few of them are left."""
+    rows = [(u, i, float((u * i) % 5)) for u in range(40) for i in range(30) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double")
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(2)
+    before = shuffles(spark)
+    model = recommend.fit_implicit(ratings, rank=2)
+    for _ in range(20):
+        left = shuffles(spark) - before
+        if len(left) <= 6:
+            break
+        time.sleep(0.5)
+    assert len(left) <= 6 and model.userFactors.count() == 40
+
+
+def test_blocks_follow_the_ratings(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(recommend, "ALS", lambda **settings: seen.update(settings) or ALS(**settings))
+    monkeypatch.setattr(recommend, "LEAST_BLOCKS", 1)
+    ratings = spark.createDataFrame([(u, u % 7, 1.0) for u in range(50)], "user int, item int, rating double")
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        recommend.fit_implicit(ratings, rank=2, iterations=1)
+        assert seen["numUserBlocks"] == seen["numItemBlocks"] == spark.sparkContext.defaultParallelism
+        monkeypatch.setattr(recommend, "RATINGS_PER_BLOCK", 5)
+        recommend.fit_implicit(ratings, rank=2, iterations=1)
+        assert seen["numUserBlocks"] == 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
