@@ -1,4 +1,4 @@
-"""What jobs leave on disk while a program goes on."""
+"""What jobs leave on disk while a program goes on, and steps that do not grow with the input."""
 
 from __future__ import annotations
 
@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from weftline.operators import pagerank as PR
 from weftline.operators import recommend
+from weftline.plans import streams
+from weftline.plans.registry import QUERIES
 from weftline.session import release, staged, tune
+from weftline.streaming import runner
 
 
 def shuffles(spark) -> set[str]:
@@ -87,3 +90,25 @@ def test_blocks_follow_the_ratings(spark, monkeypatch):
         assert seen["numUserBlocks"] == 10
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", asked)
+
+
+def test_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    """Twenty files in a few batches, and every closed window once with its count."""
+    minutes = 25_000 * 20 // 500
+    rows = spark.range(25_000 * 20).select(
+        (F.lit("2024-01-01").cast("timestamp").cast("long") + F.col("id") % minutes * 60).cast("timestamp").alias("ts"), F.lit("view").alias("event_type"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "stream_out", lambda spark: f"{tmp_path}/out")
+    got = QUERIES["stream_watermark_append"](spark, str(tmp_path)).collect()
+    # The last three windows are within the watermark of the last minute.
+    assert len(got) == minutes // 5 - 3 and {r["n"] for r in got} == {2500} and len({r["start_s"] for r in got}) == len(got)
+    offsets = [f for f in glob.glob(f"{tmp_path}/out/_spark_metadata/*") if f.rsplit("/", 1)[1].split(".")[0].isdigit()]
+    assert 3 < len(offsets) <= 10
+
+
+def test_files_of_a_batch_are_bounded(spark, monkeypatch):
+    rows = spark.range(200).select(F.col("id").cast("timestamp").alias("ts"))
+    folder = runner.staged_in_order(rows, "ts", rows_per_file=10)
+    assert [runner.files_per_batch(spark, folder, n) for n in (1, 8, 20, 50)] == [20, 3, 1, 1]
+    monkeypatch.setattr(runner, "FILES_PER_BATCH", 5)
+    assert runner.files_per_batch(spark, folder, 1) == 5

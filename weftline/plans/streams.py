@@ -13,7 +13,7 @@ from weftline.sources.topics import decode_topic
 from weftline.streaming import counts as C
 from weftline.streaming.arrivals import by_arrival
 from weftline.streaming.runner import (
-    run_append, run_batches, run_complete, run_recovering, staged_in_order, stream_lines, stream_table, write_batch, written,
+    files_per_batch, run_append, run_batches, run_complete, run_recovering, staged_in_order, stream_lines, stream_table, write_batch, written,
 )
 from weftline.streaming.state import update_all_keys
 
@@ -106,10 +106,10 @@ def stream_window_words(spark, d):
     ),
 )
 def stream_watermark_append(spark, d):
-    """Only windows that the watermark has closed are written, each once; events arrive in order of time, file by file."""
+    """Only windows that the watermark has closed are written, each once; events arrive in order of time, some files at a time."""
     rows = table(spark, d, "events").select("ts", "event_type").withColumn("ts", F.col("ts").cast("timestamp"))
     folder = staged_in_order(rows, "ts", rows_per_file=25_000)
-    events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch(spark, folder)).parquet(folder)
     counted = C.windowed_counts(events, "ts", "5 minutes", None, "event_type", watermark="10 minutes")
     return run_append(counted, stream_out(spark))
 

@@ -15,6 +15,8 @@ from weftline.sources.tables import table
 
 # Files per micro-batch: enough to keep a cluster busy, few enough to redo after a failure.
 FILES_PER_BATCH = 1000
+# Micro-batches of a stream over files that are all there: each costs its planning and a commit of every state partition.
+BATCHES = 8
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -51,6 +53,14 @@ def staged_in_order(df: DataFrame, time: str, rows_per_file: int = 1_000_000) ->
     return folder
 
 
+def files_per_batch(spark: SparkSession, folder: str, batches: int = BATCHES) -> int:
+    """Files of a folder of :func:`staged_in_order` to take at a time: all in about ``batches`` micro-batches, of bounded size."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    files = sum(status.getPath().getName().startswith("part-") for status in listed)
+    return max(1, min(FILES_PER_BATCH, -(-files // batches)))
+
+
 def stream_lines(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """Lines of the text files that appear in a folder, with the folder's file time."""
     lines = spark.readStream.option("lineSep", "\n").options(**options).text(folder)
