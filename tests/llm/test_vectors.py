@@ -182,3 +182,24 @@ def test_no_vectors(spark):
     assert nndescent.near_duplicates(none).count() == 0
     bad = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted(tuple(r) for r in nndescent.near_duplicates(bad).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_top_k_joins_no_exploded_chunks(spark):
+    """No side of a join holds chunks times blocks, which Spark could take for small and send to the driver; tasks are bounded."""
+    vectors = spark.createDataFrame(rows(), SCHEMA)
+    found = bitslice.top_k(vectors, vectors, 5, 4, 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    blocks = spark.createDataFrame([(b, b"", b"", b"", b"") for b in range(150) if b != 7], bitslice.BLOCK_SCHEMA)
+    chunks = spark.range(90).selectExpr("id AS chunk_no", "array(named_struct('vec_id', id, 'q', array(1))) AS chunk")
+    both = bitslice.met(blocks, chunks, 150, 90)
+    assert both.rdd.getNumPartitions() <= max(4, 4 * spark.sparkContext.defaultParallelism)
+    # Each chunk meets each block once, after the block's own row.
+    open_block, pairs = None, []
+    for part in both.rdd.glom().collect():
+        for r in part:
+            if r["chunk"] is None:
+                open_block = (r["block"], r["share"])
+            elif open_block == (r["block"], r["share"]):
+                pairs.append((r["block"], r["chunk_no"]))
+    assert sorted(pairs) == [(b, c) for b in range(150) if b != 7 for c in range(90)]

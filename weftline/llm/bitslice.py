@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weftline.session import bound_batches, staged
+
 LEVELS = 256
 BLOCK_ROWS, CHUNK_QUERIES = 4096, 64
 # Components beyond this have no place in the index; their rows are scored without it.
@@ -148,11 +150,35 @@ def search(block, queries: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndar
 
 
 def search_batches(frames: Iterable[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """Rows in order: each block's index, then the chunks of queries that meet it."""
+    block, at = None, None
     for frame in frames:
-        for pair in frame.itertuples(index=False):
-            ids = np.array([r["vec_id"] for r in pair.chunk], np.int64)
-            place, row, score = search(pair, matrix(r["q"] for r in pair.chunk), ids, k)
-            yield pd.DataFrame({"query_id": ids[place], "vec_id": row, "score": score})
+        for row in frame.itertuples(index=False):
+            if row.chunk is None:
+                block, at = row, (row.block, row.share)
+                continue
+            # No rows may have been dealt to a block.
+            if at != (row.block, row.share):
+                continue
+            ids = np.array([r["vec_id"] for r in row.chunk], np.int64)
+            place, own, score = search(block, matrix(r["q"] for r in row.chunk), ids, k)
+            yield pd.DataFrame({"query_id": ids[place], "vec_id": own, "score": score})
+
+
+def met(blocks: DataFrame, chunks: DataFrame, n_blocks: int, n_chunks: int) -> DataFrame:
+    """For every block its index, then the chunks, in one task: an index travels once for a share of all chunks.
+
+    Blocks are few for a small table, so each comes in several shares of the
+    chunks; there are more of them than tasks, which evens out the tasks.
+    """
+    spark = blocks.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    shares = max(1, min(n_chunks, -(-4 * tasks // n_blocks)))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    first = blocks.withColumn("share", numbers(shares)).withColumn("chunk_no", F.lit(-1).cast("long"))
+    asked = chunks.withColumn("share", F.col("chunk_no") % shares).withColumn("block", numbers(n_blocks))
+    both = first.unionByName(asked, allowMissingColumns=True)
+    return both.repartition(min(n_blocks * shares, tasks), "block", "share").sortWithinPartitions("block", "share", "chunk_no")
 
 
 def whole(vectors: Iterable) -> list[list[int]]:
@@ -214,16 +240,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     queries all rows, without the index.  A score that does not fit a long is
     an error.
     """
-    rows, asked = stepped_rows(vectors), stepped_rows(queries)
+    bound_batches(vectors.sparkSession)
+    rows, asked = staged(stepped_rows(vectors), "vectors"), staged(stepped_rows(queries), "queries")
     (n_in, n_out), (asked_in, asked_out) = counts(rows), counts(asked)
     n_blocks, n_chunks = max(1, -(-n_in // block_rows)), max(1, -(-asked_in // chunk_queries))
     indexed = lambda frame: frame.where("inside").select(
         "vec_id", "x", F.transform("x", lambda v: (v * F.lit(float(LEVELS))).cast("int")).alias("q"))
     blocks = indexed(rows).select("vec_id", "q", dealt(n_blocks).alias("block")).groupBy("block").applyInPandas(sliced, BLOCK_SCHEMA)
     chunks = indexed(asked).groupBy(dealt(n_chunks).alias("chunk_no")).agg(F.collect_list(F.struct("vec_id", "q")).alias("chunk"))
-    pairs = chunks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).join(blocks, "block")
-    spread = pairs.repartition(max(1, min(n_blocks * n_chunks, 4 * n_chunks + n_blocks)), "block", "chunk_no")
-    found = spread.drop("block", "chunk_no").mapInPandas(lambda frames: search_batches(frames, k), FOUND)
+    found = met(blocks, chunks, n_blocks, n_chunks).select("block", "share", "ids", "low", "bits", "slices", "chunk").mapInPandas(lambda frames: search_batches(frames, k), FOUND)
     if n_out:
         found = found.unionByName(scored(rows.where("NOT inside"), n_out, asked, asked_in + asked_out, k, block_rows, chunk_queries))
     if asked_out:
